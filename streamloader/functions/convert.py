@@ -135,30 +135,56 @@ def convert(value: Column, source: T.DataType, field: T.StructField) -> Converte
         return _number(number, False, field)
     if isinstance(source, T.BooleanType):
         return _boolean(value, field)
-    if isinstance(source, T.TimestampType) and isinstance(field.dataType, T.LongType):
-        return Converted(F.unix_millis(value), _none())
+    if isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(field.dataType, T.LongType):
+        return Converted(F.unix_millis(value.cast("timestamp")), _none())
     return _refuse(value, field.dataType, TYPE_MISMATCH)
 
 
-def convert_variant(value: Column, field: T.StructField) -> Converted:
+class JsonValue(NamedTuple):
+    """A JSON value taken apart: its type tag and its reading under that tag."""
+
+    tag: Column
+    whole: Column
+    number: Column
+    text: Column
+    flag: Column
+
+
+JSON_PARTS = JsonValue._fields
+
+
+def json_tag(value: Column) -> Column:
+    """Type tag of a variant: a number is BIGINT without fraction or exponent, else not."""
+    return F.schema_of_variant(value)
+
+
+def json_parts(value: Column, tag: Column) -> JsonValue:
+    """Readings of a variant, each null unless the tag asks for it."""
+    fraction = tag.isin("DOUBLE", "FLOAT") | tag.startswith("DECIMAL")
+    return JsonValue(
+        tag,
+        F.when(tag == "BIGINT", F.try_variant_get(value, "$", "bigint")),
+        F.when(fraction, F.try_variant_get(value, "$", "double")),
+        F.when(tag == "STRING", F.try_variant_get(value, "$", "string")),
+        F.when(tag == "BOOLEAN", F.try_variant_get(value, "$", "boolean")),
+    )
+
+
+def convert_json(parts: JsonValue, field: T.StructField) -> Converted:
     """Convert a JSON value whose type differs from row to row.
 
-    A JSON number is a long when written without fraction or exponent, else a double.
+    The parts are best columns of an earlier step: the rules name them many times.
     """
-    tag = F.schema_of_variant(value)
     cases = [
-        (tag == "BIGINT", _number(F.try_variant_get(value, "$", "bigint"), True, field)),
-        (tag == "STRING", _text(F.try_variant_get(value, "$", "string"), field)),
-        (tag == "BOOLEAN", _boolean(F.try_variant_get(value, "$", "boolean"), field)),
-        (
-            (tag == "DOUBLE") | tag.startswith("DECIMAL") | (tag == "FLOAT"),
-            _number(F.try_variant_get(value, "$", "double"), False, field),
-        ),
+        (parts.whole, _number(parts.whole, True, field)),
+        (parts.text, _text(parts.text, field)),
+        (parts.flag, _boolean(parts.flag, field)),
+        (parts.number, _number(parts.number, False, field)),
     ]
-    absent = tag.isNull() | (tag == "VOID")
+    absent = parts.tag.isNull() | (parts.tag == "VOID")
     out = F.when(absent, _none(field.dataType))
     why = F.when(absent, _none())
-    for test, (converted, reason) in cases:
-        out = out.when(test, converted)
-        why = why.when(test, reason)
+    for part, (converted, reason) in cases:
+        out = out.when(part.isNotNull(), converted)
+        why = why.when(part.isNotNull(), reason)
     return Converted(out, why.otherwise(F.lit(TYPE_MISMATCH)))

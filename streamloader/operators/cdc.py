@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.once import compute_once
+
 CDC_NO_AFTER = "CDC_NO_AFTER"
 
 
@@ -23,7 +25,7 @@ def unwrap_cdc(df: DataFrame, value: str = "value") -> DataFrame:
     no_after = F.when(wrapped & after.isNull(), F.lit(CDC_NO_AFTER))
     reason = F.coalesce(F.col("reason"), no_after) if "reason" in df.columns else no_after
     return (
-        df.withColumn("_cdc", envelope)
+        compute_once(df, "_cdc", envelope)
         .withColumns(
             {value: F.when(wrapped & after.isNotNull(), after).otherwise(text), "reason": reason}
         )

@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.convert import NULL_REQUIRED, Converted, convert, convert_variant
+from ..functions.convert import (
+    JSON_PARTS,
+    NULL_REQUIRED,
+    Converted,
+    JsonValue,
+    convert,
+    convert_json,
+    json_parts,
+    json_tag,
+)
+from ..functions.once import compute_once
 from ..functions.types import check_names, properties
 
 BAD_JSON = "BAD_JSON"
 UNSUPPORTED_RECORD = "UNSUPPORTED_RECORD"
 
+RESULT_COLUMNS = ("record", "reason", "bad_column", "bad_value")
+
 _CORRUPT = "_corrupt_text"
 _JSON_OPTIONS = {"columnNameOfCorruptRecord": _CORRUPT}
 
@@ -30,16 +42,17 @@ def _result(
     failed = F.coalesce(*[F.when(r.isNotNull(), F.lit(name)) for name, r in reasons.items()])
     first = F.coalesce(*reasons.values())
     bad_value = F.coalesce(*[F.when(r.isNotNull(), texts[name]) for name, r in reasons.items()])
-    usable = record_reason.isNull()
     earlier = F.col("reason") if "reason" in df.columns else F.lit(None).cast("string")
-    return df.withColumns(
-        {
-            "record": F.struct(*[c.value.alias(name) for name, c in outcome.items()]),
-            "reason": F.coalesce(earlier, record_reason, first),
-            "bad_column": F.when(earlier.isNull() & usable, failed),
-            "bad_value": F.when(earlier.isNull() & usable & first.isNotNull(), bad_value),
-        }
+    here = earlier.isNull() & record_reason.isNull()
+    result = F.struct(
+        F.struct(*[c.value.alias(name) for name, c in outcome.items()]).alias("record"),
+        F.coalesce(earlier, record_reason, first).alias("reason"),
+        F.when(here, failed).alias("bad_column"),
+        F.when(here & first.isNotNull(), bad_value).alias("bad_value"),
     )
+    kept = [c for c in df.columns if c not in RESULT_COLUMNS]
+    out = compute_once(df, "_result", result)
+    return out.select(*[F.col(f"`{c}`") for c in kept], "_result.*")
 
 
 def project(df: DataFrame, schema: T.StructType, source: str | None = None) -> DataFrame:
@@ -73,9 +86,13 @@ def project(df: DataFrame, schema: T.StructType, source: str | None = None) -> D
 
 
 def _fast_type(field: T.StructField) -> T.DataType:
-    """Type the column is parsed as: its own, but text where the text decides the rule."""
+    """Type a column is parsed as: that of JSON numbers, or text where the text decides the rule."""
     if "timestamp" in properties(field) or isinstance(field.dataType, T.BinaryType):
         return T.StringType()
+    if isinstance(field.dataType, T.IntegerType):
+        return T.LongType()
+    if isinstance(field.dataType, T.FloatType):
+        return T.DoubleType()
     return field.dataType
 
 
@@ -118,31 +135,47 @@ def project_json(df: DataFrame, schema: T.StructType, value: str = "value") -> D
     in_doubt = F.col("_fast").isNull() | F.col("_fast")[_CORRUPT].isNotNull()
     for doubt in doubts:
         in_doubt = in_doubt | F.coalesce(doubt, F.lit(False))
-    reparsed = F.when(
-        F.col("_doubt"), F.from_json(text, T.StructType([*exact.fields, corrupt]), _JSON_OPTIONS)
-    )
+    reparsed = F.from_json(text, T.StructType([*exact.fields, corrupt]), _JSON_OPTIONS)
+    again = F.col("_doubt")
+
+    # One step per stage of the exact path, so that nothing is computed twice.
     staged = (
-        df.withColumn("_fast", parsed).withColumn("_doubt", in_doubt).withColumn("_exact", reparsed)
+        df.withColumn("_fast", parsed)
+        .withColumn("_doubt", in_doubt)
+        .withColumn("_exact", F.when(again, reparsed))
     )
-
-    outcome, texts = {}, {}
-    for f in schema.fields:
+    numbered = list(enumerate(schema.fields))
+    values = {i: F.col("_exact")[f.name] for i, f in numbered}
+    staged = staged.withColumns({f"_tag{i}": F.when(again, json_tag(values[i])) for i, _ in numbered})
+    staged = staged.withColumns(
+        {
+            f"_{part}{i}": column
+            for i, _ in numbered
+            for part, column in zip(JSON_PARTS, json_parts(values[i], F.col(f"_tag{i}")))
+            if part != "tag"
+        }
+    )
+    converted, texts = {}, {}
+    for i, f in numbered:
         sure = convert(F.col("_fast")[f.name], _fast_type(f), f)
-        slow = convert_variant(F.col("_exact")[f.name], f)
-        both = Converted(
-            F.when(F.col("_doubt"), slow.value).otherwise(sure.value),
-            F.when(F.col("_doubt"), slow.reason).otherwise(sure.reason),
+        slow = convert_json(JsonValue(*[F.col(f"_{part}{i}") for part in JSON_PARTS]), f)
+        converted[f"_value{i}"] = F.when(again, slow.value).otherwise(sure.value)
+        converted[f"_reason{i}"] = F.when(again, slow.reason).otherwise(sure.reason)
+        texts[f.name] = F.when(again, F.try_variant_get(values[i], "$", "string")).otherwise(
+            F.col("_fast")[f.name].cast("string")
         )
-        outcome[f.name] = _required(both, f)
-        texts[f.name] = F.when(
-            F.col("_doubt"), F.try_variant_get(F.col("_exact")[f.name], "$", "string")
-        ).otherwise(F.col("_fast")[f.name].cast("string"))
-    unreadable = F.col("_doubt") & (F.col("_exact").isNull() | F.col("_exact")[_CORRUPT].isNotNull())
+    staged = staged.withColumns(converted)
+    outcome = {
+        f.name: _required(Converted(F.col(f"_value{i}"), F.col(f"_reason{i}")), f) for i, f in numbered
+    }
+    unreadable = again & (F.col("_exact").isNull() | F.col("_exact")[_CORRUPT].isNotNull())
     other_root = F.try_parse_json(text).isNotNull() | text.isNull()
     record_reason = F.when(
         unreadable, F.when(other_root, F.lit(UNSUPPORTED_RECORD)).otherwise(F.lit(BAD_JSON))
     )
-    return _result(staged, outcome, texts, record_reason).drop("_fast", "_doubt", "_exact")
+    return _result(staged, outcome, texts, record_reason).select(
+        *[F.col(f"`{c}`") for c in df.columns if c not in RESULT_COLUMNS], *RESULT_COLUMNS
+    )
 
 
 def field_map(spark: SparkSession, table: T.StructType, record: T.StructType) -> DataFrame:

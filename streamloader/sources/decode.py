@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..functions.once import compute_once
 from ..functions.types import MESSAGE_TYPES, UnsupportedSchema, check_names, column, is_flat, message_type
 
 # Magic byte and header length of registry-framed messages.
@@ -35,7 +36,7 @@ def decode_schema_json(df: DataFrame, value: str = "value") -> DataFrame:
     """
     outer = F.from_json(F.col(value), "schema string, payload string")
     head = F.from_json(F.col("_outer.schema"), "name string, version int")
-    opened = df.withColumn("_outer", outer).withColumn("_head", head)
+    opened = compute_once(df, "_outer", outer).withColumn("_head", head)
     reason = F.when(F.col("_outer.schema").isNull(), F.lit(NO_SCHEMA))
     if "reason" in df.columns:
         reason = F.coalesce(F.col("reason"), reason)
@@ -79,7 +80,7 @@ def decode_payload(df: DataFrame, schema: T.StructType, value: str = "value") ->
     fields = [T.StructField(f.name, f.dataType) for f in schema.fields]
     declared = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), declared, {"columnNameOfCorruptRecord": _CORRUPT})
-    out = df.withColumn("payload", parsed)
+    out = compute_once(df, "payload", parsed)
     reason = F.when(F.col("payload")[_CORRUPT].isNotNull(), F.lit(BAD_PAYLOAD))
     if "reason" in df.columns:
         reason = F.coalesce(F.col("reason"), reason)
