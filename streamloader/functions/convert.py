@@ -52,23 +52,19 @@ def whole_to_int(value: Column) -> Column:
     return (low.bitwiseXOR(F.lit(2**31)) - F.lit(2**31)).cast("int")
 
 
-def _saturate(value: Column, low: int, high: int, dtype: str) -> Column:
-    x = value.cast("double")
+def fraction_to_int(value: Column) -> Column:
+    """A floating value cut to an int: saturated at the bounds, NaN to zero."""
+    x = F.nanvl(value.cast("double"), F.lit(0.0))
     return (
-        F.when(x.isNull(), _none(dtype))
-        .when(F.isnan(x), F.lit(0).cast(dtype))
-        .when(x >= F.lit(float(high)), F.lit(high).cast(dtype))
-        .when(x <= F.lit(float(low)), F.lit(low).cast(dtype))
-        .otherwise(x.cast(dtype))
+        F.when(x >= _INT_MAX, F.lit(_INT_MAX)).when(x <= _INT_MIN, F.lit(_INT_MIN)).otherwise(x.cast("int"))
     )
 
 
-def fraction_to_int(value: Column) -> Column:
-    return _saturate(value, _INT_MIN, _INT_MAX, "int")
-
-
 def fraction_to_long(value: Column) -> Column:
-    return _saturate(value, _LONG_MIN, _LONG_MAX, "bigint")
+    """A floating value cut to a long: saturated at the bounds, NaN to zero."""
+    x = F.nanvl(value.cast("double"), F.lit(0.0))
+    bound = F.when(x > 0, F.lit(_LONG_MAX)).when(x < 0, F.lit(_LONG_MIN))
+    return F.coalesce(x.try_cast("bigint"), bound)
 
 
 def clamp_ms(ms: Column) -> Column:
@@ -140,51 +136,42 @@ def convert(value: Column, source: T.DataType, field: T.StructField) -> Converte
     return _refuse(value, field.dataType, TYPE_MISMATCH)
 
 
-class JsonValue(NamedTuple):
-    """A JSON value taken apart: its type tag and its reading under that tag."""
-
-    tag: Column
-    whole: Column
-    number: Column
-    text: Column
-    flag: Column
-
-
-JSON_PARTS = JsonValue._fields
-
-
 def json_tag(value: Column) -> Column:
-    """Type tag of a variant: a number is BIGINT without fraction or exponent, else not."""
+    """Type tag of a variant.  A number is BIGINT without fraction or exponent, else DOUBLE or DECIMAL."""
     return F.schema_of_variant(value)
 
 
-def json_parts(value: Column, tag: Column) -> JsonValue:
-    """Readings of a variant, each null unless the tag asks for it."""
-    fraction = tag.isin("DOUBLE", "FLOAT") | tag.startswith("DECIMAL")
-    return JsonValue(
-        tag,
-        F.when(tag == "BIGINT", F.try_variant_get(value, "$", "bigint")),
-        F.when(fraction, F.try_variant_get(value, "$", "double")),
-        F.when(tag == "STRING", F.try_variant_get(value, "$", "string")),
-        F.when(tag == "BOOLEAN", F.try_variant_get(value, "$", "boolean")),
-    )
+def json_fraction(value: Column, tag: Column, field: T.StructField) -> Column | None:
+    """Reading of a value the field's rules need several times, to be kept as a column of its own."""
+    if isinstance(field.dataType, (T.LongType, T.IntegerType)):
+        return F.when(~tag.isin("BIGINT", "STRING"), F.try_variant_get(value, "$", "double"))
+    if isinstance(field.dataType, T.StringType) and "datetime" in properties(field):
+        return F.when(~tag.isin("STRING", "BOOLEAN"), F.try_variant_get(value, "$", "double"))
+    return None
 
 
-def convert_json(parts: JsonValue, field: T.StructField) -> Converted:
+def convert_json(value: Column, tag: Column, fraction: Column | None, field: T.StructField) -> Column:
     """Convert a JSON value whose type differs from row to row.
 
-    The parts are best columns of an earlier step: the rules name them many times.
+    A value that is there and comes out null was refused.  Booleans read as the numbers one and zero.
     """
-    cases = [
-        (parts.whole, _number(parts.whole, True, field)),
-        (parts.text, _text(parts.text, field)),
-        (parts.flag, _boolean(parts.flag, field)),
-        (parts.number, _number(parts.number, False, field)),
-    ]
-    absent = parts.tag.isNull() | (parts.tag == "VOID")
-    out = F.when(absent, _none(field.dataType))
-    why = F.when(absent, _none())
-    for part, (converted, reason) in cases:
-        out = out.when(part.isNotNull(), converted)
-        why = why.when(part.isNotNull(), reason)
-    return Converted(out, why.otherwise(F.lit(TYPE_MISMATCH)))
+    target = field.dataType
+    text = F.try_variant_get(value, "$", "string")
+    double = F.try_variant_get(value, "$", "double")
+    whole = F.when(tag == "BIGINT", F.try_variant_get(value, "$", "bigint"))
+    if isinstance(target, T.LongType):
+        out = F.coalesce(whole, fraction_to_long(fraction))
+        if "timestamp" in properties(field):
+            out = F.when(tag == "STRING", text_to_ms(text).value).otherwise(out)
+    elif isinstance(target, T.IntegerType):
+        out = F.coalesce(whole_to_int(whole), fraction_to_int(fraction))
+    elif isinstance(target, _FRACTION):
+        out = F.when(tag != "STRING", double).cast(target)
+    elif isinstance(target, T.StringType) and fraction is not None:
+        ms = F.coalesce(whole, fraction_to_long(fraction))
+        out = F.when(tag.isin("STRING", "BOOLEAN"), text).otherwise(ms_to_text(ms))
+    elif isinstance(target, T.StringType):
+        out = F.when(tag.isin("STRING", "BIGINT", "BOOLEAN"), text).otherwise(double.cast("string"))
+    else:
+        out = _none(target)
+    return out

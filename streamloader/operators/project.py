@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.convert import (
-    JSON_PARTS,
+    BAD_TIMESTAMP,
     NULL_REQUIRED,
+    TYPE_MISMATCH,
     Converted,
-    JsonValue,
     convert,
     convert_json,
-    json_parts,
+    json_fraction,
     json_tag,
 )
 from ..functions.once import compute_once
@@ -35,24 +35,33 @@ def _required(converted: Converted, field: T.StructField) -> Converted:
 
 
 def _result(
-    df: DataFrame, outcome: dict[str, Converted], texts: dict[str, Column], record_reason: Column
+    df: DataFrame,
+    names: list[str],
+    outcome: list[Converted],
+    texts: list[Column],
+    record_reason: Column,
+    kept: list[str],
 ) -> DataFrame:
     """Add `record`, `reason`, `bad_column` and `bad_value`; the first refused column is reported."""
-    reasons = {name: converted.reason for name, converted in outcome.items()}
-    failed = F.coalesce(*[F.when(r.isNotNull(), F.lit(name)) for name, r in reasons.items()])
-    first = F.coalesce(*reasons.values())
-    bad_value = F.coalesce(*[F.when(r.isNotNull(), texts[name]) for name, r in reasons.items()])
+    refusals = [
+        F.when(
+            c.reason.isNotNull(),
+            F.struct(c.reason.alias("why"), F.lit(name).alias("column"), text.alias("value")),
+        )
+        for name, c, text in zip(names, outcome, texts)
+    ]
     earlier = F.col("reason") if "reason" in df.columns else F.lit(None).cast("string")
-    here = earlier.isNull() & record_reason.isNull()
+    checked = df.withColumn("_first", F.coalesce(earlier, record_reason)).withColumn(
+        "_bad", F.when(F.col("_first").isNull(), F.coalesce(*refusals))
+    )
     result = F.struct(
-        F.struct(*[c.value.alias(name) for name, c in outcome.items()]).alias("record"),
-        F.coalesce(earlier, record_reason, first).alias("reason"),
-        F.when(here, failed).alias("bad_column"),
-        F.when(here & first.isNotNull(), bad_value).alias("bad_value"),
+        F.struct(*[c.value.alias(name) for name, c in zip(names, outcome)]).alias("record"),
+        F.coalesce(F.col("_first"), F.col("_bad.why")).alias("reason"),
+        F.col("_bad.column").alias("bad_column"),
+        F.col("_bad.value").alias("bad_value"),
     )
-    kept = [c for c in df.columns if c not in RESULT_COLUMNS]
-    out = compute_once(df, "_result", result)
-    return out.select(*[F.col(f"`{c}`") for c in kept], "_result.*")
+    out = compute_once(checked, "_result", result)
+    return out.select(*[F.col(f"`{c}`") for c in kept if c not in RESULT_COLUMNS], "_result.*")
 
 
 def project(df: DataFrame, schema: T.StructType, source: str | None = None) -> DataFrame:
@@ -69,20 +78,19 @@ def project(df: DataFrame, schema: T.StructType, source: str | None = None) -> D
     def field_of(name: str) -> Column:
         return F.col(f"`{name}`") if source is None else F.col(source)[name]
 
-    outcome, texts = {}, {}
-    for f in schema.fields:
-        if f.name in types:
-            converted = convert(field_of(f.name), types[f.name], f)
-            texts[f.name] = field_of(f.name).cast("string")
-        else:
-            converted = convert(F.lit(None), T.NullType(), f)
-            texts[f.name] = F.lit(None).cast("string")
-        outcome[f.name] = _required(converted, f)
-    if source is None:
-        record_reason = F.lit(None).cast("string")
-    else:
+    staged, outcome, texts = {}, [], []
+    for i, f in enumerate(schema.fields):
+        known = f.name in types
+        value = field_of(f.name) if known else F.lit(None)
+        converted = convert(value, types[f.name] if known else T.NullType(), f)
+        staged[f"_value{i}"] = converted.value
+        outcome.append(_required(Converted(F.col(f"_value{i}"), converted.reason), f))
+        texts.append(value.cast("string"))
+    record_reason = F.lit(None).cast("string")
+    if source is not None:
         record_reason = F.when(F.col(source).isNull(), F.lit(UNSUPPORTED_RECORD))
-    return _result(df, outcome, texts, record_reason)
+    ready = df.withColumns(staged)
+    return _result(ready, schema.names, outcome, texts, record_reason, df.columns)
 
 
 def _fast_type(field: T.StructField) -> T.DataType:
@@ -125,57 +133,56 @@ def project_json(df: DataFrame, schema: T.StructType, value: str = "value") -> D
     pays for the exact path.
     """
     check_names(schema)
-    text = F.col(value)
+    text_of_record = F.col(value)
     fast = T.StructType([T.StructField(f.name, _fast_type(f)) for f in schema.fields])
     exact = T.StructType([T.StructField(f.name, T.VariantType()) for f in schema.fields])
     corrupt = T.StructField(_CORRUPT, T.StringType())
 
-    parsed = F.from_json(text, T.StructType([*fast.fields, corrupt]), _JSON_OPTIONS)
+    parsed = F.from_json(text_of_record, T.StructType([*fast.fields, corrupt]), _JSON_OPTIONS)
     doubts = [d for f in schema.fields if (d := _doubt(F.col("_fast")[f.name], f)) is not None]
     in_doubt = F.col("_fast").isNull() | F.col("_fast")[_CORRUPT].isNotNull()
     for doubt in doubts:
         in_doubt = in_doubt | F.coalesce(doubt, F.lit(False))
-    reparsed = F.from_json(text, T.StructType([*exact.fields, corrupt]), _JSON_OPTIONS)
+    reparsed = F.from_json(text_of_record, T.StructType([*exact.fields, corrupt]), _JSON_OPTIONS)
     again = F.col("_doubt")
 
-    # One step per stage of the exact path, so that nothing is computed twice.
+    # Each step names earlier columns only, so nothing is computed twice and no step grows large.
     staged = (
         df.withColumn("_fast", parsed)
         .withColumn("_doubt", in_doubt)
         .withColumn("_exact", F.when(again, reparsed))
     )
     numbered = list(enumerate(schema.fields))
-    values = {i: F.col("_exact")[f.name] for i, f in numbered}
+    values = [F.col("_exact")[f.name] for f in schema.fields]
+    tags = [F.col(f"_tag{i}") for i, _ in numbered]
     staged = staged.withColumns({f"_tag{i}": F.when(again, json_tag(values[i])) for i, _ in numbered})
-    staged = staged.withColumns(
-        {
-            f"_{part}{i}": column
-            for i, _ in numbered
-            for part, column in zip(JSON_PARTS, json_parts(values[i], F.col(f"_tag{i}")))
-            if part != "tag"
-        }
-    )
-    converted, texts = {}, {}
+    fractions = {i: c for i, f in numbered if (c := json_fraction(values[i], tags[i], f)) is not None}
+    staged = staged.withColumns({f"_fraction{i}": F.when(again, c) for i, c in fractions.items()})
+    final, outcome, texts = {}, [], []
     for i, f in numbered:
         sure = convert(F.col("_fast")[f.name], _fast_type(f), f)
-        slow = convert_json(JsonValue(*[F.col(f"_{part}{i}") for part in JSON_PARTS]), f)
-        converted[f"_value{i}"] = F.when(again, slow.value).otherwise(sure.value)
-        converted[f"_reason{i}"] = F.when(again, slow.reason).otherwise(sure.reason)
-        texts[f.name] = F.when(again, F.try_variant_get(values[i], "$", "string")).otherwise(
-            F.col("_fast")[f.name].cast("string")
-        )
-    staged = staged.withColumns(converted)
-    outcome = {
-        f.name: _required(Converted(F.col(f"_value{i}"), F.col(f"_reason{i}")), f) for i, f in numbered
-    }
+        fraction = F.col(f"_fraction{i}") if i in fractions else None
+        slow = convert_json(values[i], tags[i], fraction, f)
+        final[f"_value{i}"] = F.when(again, slow).otherwise(sure.value)
+        value = F.col(f"_value{i}")
+        # Either way a value that is there and came out null was refused.
+        there = F.when(again, tags[i].isNotNull() & (tags[i] != "VOID"))
+        if "timestamp" in properties(f):
+            there = there.otherwise(F.col("_fast")[f.name].isNotNull())
+        why = F.lit(TYPE_MISMATCH)
+        if "timestamp" in properties(f):
+            text_seen = ~again | (tags[i] == "STRING")
+            why = F.when(text_seen, F.lit(BAD_TIMESTAMP)).otherwise(why)
+        outcome.append(_required(Converted(value, F.when(value.isNull() & there, why)), f))
+        text = F.when(again, F.try_variant_get(values[i], "$", "string"))
+        texts.append(text.otherwise(F.col("_fast")[f.name].cast("string")))
     unreadable = again & (F.col("_exact").isNull() | F.col("_exact")[_CORRUPT].isNotNull())
-    other_root = F.try_parse_json(text).isNotNull() | text.isNull()
+    other_root = F.try_parse_json(text_of_record).isNotNull() | text_of_record.isNull()
     record_reason = F.when(
         unreadable, F.when(other_root, F.lit(UNSUPPORTED_RECORD)).otherwise(F.lit(BAD_JSON))
     )
-    return _result(staged, outcome, texts, record_reason).select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in RESULT_COLUMNS], *RESULT_COLUMNS
-    )
+    ready = staged.withColumns(final)
+    return _result(ready, schema.names, outcome, texts, record_reason, df.columns)
 
 
 def field_map(spark: SparkSession, table: T.StructType, record: T.StructType) -> DataFrame:
