@@ -261,7 +261,7 @@ class Tables:
 
     def create_views(self) -> list[str]:
         """Register every table as a temporary view, dots as underscores."""
-        names = self.names()
-        for name in names:
-            self.read(name).createOrReplaceTempView(name.replace(".", "_"))
-        return names
+        views = {name.replace(".", "_"): name for name in self.names()}
+        for view, name in views.items():
+            self.read(name).createOrReplaceTempView(view)
+        return list(views)
