@@ -1,7 +1,7 @@
 """Destination tables as folders of parquet files with a small state file.
 
-A table is `<root>/<namespace>/<name>`: data folders named after the batch that wrote them, and
-numbered state files of which the highest counts.  The state holds the schema, the schema versions
+A table is `<root>/<namespace>.db/<name>`, or `<root>/<name>` without namespace: data folders named
+after the batch that wrote them, and numbered state files of which the highest counts.  The state holds the schema, the schema versions
 seen, the last batch of each job and, for keyed tables, which batch folders hold each key bucket.
 
 Publishing a state file makes a batch visible in one step.  Keyed tables are spread over buckets by
@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -32,6 +33,15 @@ STATES_KEPT = 50
 _BUCKET = "_bucket"
 
 
+_NAMESPACE = ".db"
+
+
+def _folder(name: str) -> str:
+    """A name as one folder name: no separators, no dot-only names, nothing hidden."""
+    escaped = quote(name, safe="")
+    return escaped.replace(".", "%2E") if escaped.strip(".") == "" or escaped[0] == "." else escaped
+
+
 class StaleState(RuntimeError):
     """The table changed between reading its state and writing the next one."""
 
@@ -94,7 +104,11 @@ class Tables:
         self.buckets = buckets
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name.replace('.', '/')}"
+        """Folder of a table.  Names come from messages, so they are escaped to stay under the root."""
+        namespace, dot, table = name.partition(".")
+        if not dot:
+            return f"{self.root}/{_folder(name)}"
+        return f"{self.root}/{_folder(namespace)}{_NAMESPACE}/{_folder(table)}"
 
     def _state_path(self, name: str, revision: int) -> str:
         return f"{self.path(name)}/_state/{revision:012d}.json"
@@ -118,13 +132,13 @@ class Tables:
     def names(self) -> list[str]:
         found = []
         for first in files.list_names(self.spark, self.root):
-            if self.state(first) is not None:
-                found.append(first)
+            if not first.endswith(_NAMESPACE):
+                found.append(unquote(first))
                 continue
-            for second in files.list_names(self.spark, f"{self.root}/{first}"):
-                if files.exists(self.spark, f"{self.root}/{first}/{second}/_state"):
-                    found.append(f"{first}.{second}")
-        return found
+            namespace = unquote(first.removesuffix(_NAMESPACE))
+            inside = files.list_names(self.spark, f"{self.root}/{first}")
+            found += [f"{namespace}.{unquote(table)}" for table in inside]
+        return [name for name in found if self.state(name) is not None]
 
     def create(
         self,

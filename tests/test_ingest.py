@@ -219,6 +219,15 @@ def test_struct_values(spark, tables):
     assert sorted((r.a, r.b) for r in tables.read("rec").collect()) == [(1, 1.5), (2, None)]
 
 
+def test_table_folders_stay_under_the_root(tables):
+    names = ["t", "a.b", "a.b.c", "../up", "..", ".x", "a./y", "a/b", "a.."]
+    paths = [tables.path(n) for n in names]
+    assert len(set(paths)) == len(names)
+    for path in paths:
+        inner = path.removeprefix(tables.root + "/").split("/")
+        assert len(inner) <= 2 and not {"", ".", ".."} & set(inner)
+
+
 def test_merge_frames(spark):
     held = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     batch = spark.createDataFrame([(2, "c", 1), (2, "d", 2), (3, "e", 1), (3, "f", 2)], "k int, v string, o int")
