@@ -16,9 +16,9 @@ from ..functions.convert import (
 )
 from ..functions.once import compute_once
 from ..functions.types import check_names, properties
+from ..sources.decode import UNSUPPORTED_RECORD
 
 BAD_JSON = "BAD_JSON"
-UNSUPPORTED_RECORD = "UNSUPPORTED_RECORD"
 
 RESULT_COLUMNS = ("record", "reason", "bad_column", "bad_value")
 
@@ -97,9 +97,7 @@ def _fast_type(field: T.StructField) -> T.DataType:
     """Type a column is parsed as: that of JSON numbers, or text where the text decides the rule."""
     if "timestamp" in properties(field) or isinstance(field.dataType, T.BinaryType):
         return T.StringType()
-    if isinstance(field.dataType, T.IntegerType):
-        return T.LongType()
-    if isinstance(field.dataType, T.FloatType):
+    if isinstance(field.dataType, (T.IntegerType, T.FloatType)):
         return T.DoubleType()
     return field.dataType
 
@@ -107,13 +105,16 @@ def _fast_type(field: T.StructField) -> T.DataType:
 def _doubt(value: Column, field: T.StructField) -> Column | None:
     """Whether a value that parsed may still have been another JSON type.
 
-    Whole-number and boolean tokens only parse as their own type.  Text columns also accept other
+    Tokens only parse as long columns when they are whole numbers.  Text columns also accept other
     tokens: numbers and booleans come out as the text they convert to, but nested values must be
     refused and whole numbers beyond a long are doubles.  Floating columns accept quoted NaN and
-    infinities.
+    infinities.  Int columns are parsed as doubles too: in the range of an int it makes no difference
+    how a number was written, beyond it whole numbers wrap and others saturate.
     """
     if isinstance(field.dataType, T.BinaryType):
         return value.isNotNull()
+    if isinstance(field.dataType, T.IntegerType):
+        return F.isnan(value) | (F.abs(value) >= F.lit(float(2**31)))
     if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
         return F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
     if "timestamp" in properties(field) or "datetime" in properties(field):

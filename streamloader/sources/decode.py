@@ -17,6 +17,7 @@ WIRE_HEADER_BYTES = 5
 NO_SCHEMA = "NO_SCHEMA"
 BAD_WIRE_HEADER = "BAD_WIRE_HEADER"
 BAD_PAYLOAD = "BAD_PAYLOAD"
+UNSUPPORTED_RECORD = "UNSUPPORTED_RECORD"
 
 _CORRUPT = "_corrupt_text"
 
@@ -32,23 +33,24 @@ def decode_schema_json(df: DataFrame, value: str = "value") -> DataFrame:
     """Open `{"schema": .., "payload": ..}` messages.
 
     `value` becomes the payload text; `schema_name`, `schema_version` and `message_schema` (the
-    schema as JSON text) come from the message.  One parse serves all four.
+    schema's fields as JSON text) come from the message.  One parse serves all four.
     """
-    outer = F.from_json(F.col(value), "schema string, payload string")
-    head = F.from_json(F.col("_outer.schema"), "name string, version int")
-    opened = compute_once(df, "_outer", outer).withColumn("_head", head)
-    reason = F.when(F.col("_outer.schema").isNull(), F.lit(NO_SCHEMA))
+    shape = "schema struct<name: string, version: int, fields: string>, payload string"
+    opened = compute_once(df, "_outer", F.from_json(F.col(value), shape))
+    head = F.col("_outer.schema")
+    # A schema without fields is that of a bare value, which no table takes.
+    reason = F.when(head.isNull(), F.lit(NO_SCHEMA)).when(head["fields"].isNull(), F.lit(UNSUPPORTED_RECORD))
     if "reason" in df.columns:
         reason = F.coalesce(F.col("reason"), reason)
     return opened.withColumns(
         {
-            "schema_name": F.col("_head.name"),
-            "schema_version": F.col("_head.version"),
-            "message_schema": F.col("_outer.schema"),
+            "schema_name": head["name"],
+            "schema_version": head["version"],
+            "message_schema": F.concat(F.lit('{"type":"struct","fields":'), head["fields"], F.lit("}")),
             "reason": reason,
             value: F.col("_outer.payload"),
         }
-    ).drop("_outer", "_head")
+    ).drop("_outer")
 
 
 def schema_from_message(text: str) -> T.StructType:

@@ -131,6 +131,12 @@ JSON = [
     ('{"c":2147483648}', INT, (), -(2**31), None),
     ('{"c":4294967301}', INT, (), 5, None),
     ('{"c":3e10}', INT, (), 2**31 - 1, None),
+    ('{"c":-7.9}', INT, (), -7, None),
+    ('{"c":-2147483648}', INT, (), -(2**31), None),
+    ('{"c":-2147483649}', INT, (), 2**31 - 1, None),
+    ('{"c":2147483647.9}', INT, (), 2**31 - 1, None),
+    ('{"c":"NaN"}', INT, (), None, "TYPE_MISMATCH"),
+    ('{"c":9007199254740993}', LONG, (), 9007199254740993, None),
     ('{"c":3}', DOUBLE, (), 3.0, None),
     ('{"c":0.5}', FLOAT, (), 0.5, None),
     ('{"c":"NaN"}', DOUBLE, (), None, "TYPE_MISMATCH"),

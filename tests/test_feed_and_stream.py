@@ -34,11 +34,12 @@ def test_schema_json(spark):
         ('{"schema":{"name":"a.B","version":2,"fields":[]},"payload":{"x":1.50,"s":"q\\"\\u00e9"}}',),
         ('{"payload":{"x":1}}',),
         ("nonsense",),
+        ('{"schema":{"type":"int32"},"payload":7}',),
     ]
     df = spark.createDataFrame(rows, "value string")
     out = decode_schema_json(df).collect()
     assert (out[0].schema_name, out[0].schema_version, out[0].reason) == ("a.B", 2, None)
-    assert [r.reason for r in out[1:]] == ["NO_SCHEMA", "NO_SCHEMA"]
+    assert [r.reason for r in out[1:]] == ["NO_SCHEMA", "NO_SCHEMA", "UNSUPPORTED_RECORD"]
 
 
 def test_cdc(spark):
