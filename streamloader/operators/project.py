@@ -125,13 +125,16 @@ def _doubt(value: Column, field: T.StructField) -> Column | None:
     return None
 
 
-def project_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+def project_json(
+    df: DataFrame, schema: T.StructType, value: str = "value", typed_parse: bool = True
+) -> DataFrame:
     """Project the fields of JSON objects onto the table, whatever type each value has.
 
     JSON carries types per value while a typed parse turns a mismatch into a silent null.  So the
     text is parsed once straight into the column types, and only rows where that parse failed or
     leaves doubt are parsed again, value by value, for the exact rule or reason.  Clean data never
-    pays for the exact path.
+    pays for the exact path.  Where most rows need conversion, `typed_parse=False` goes there at once;
+    the results are the same.
     """
     check_names(schema)
     text_of_record = F.col(value)
@@ -144,6 +147,8 @@ def project_json(df: DataFrame, schema: T.StructType, value: str = "value") -> D
     in_doubt = F.col("_fast").isNull() | F.col("_fast")[_CORRUPT].isNotNull()
     for doubt in doubts:
         in_doubt = in_doubt | F.coalesce(doubt, F.lit(False))
+    if not typed_parse:
+        in_doubt = F.lit(True)
     reparsed = F.from_json(text_of_record, T.StructType([*exact.fields, corrupt]), _JSON_OPTIONS)
     again = F.col("_doubt")
 

@@ -61,6 +61,7 @@ class IngestOptions:
     relax_missing: bool = False
     value_format: str = "json"
     infer: str = "first_record"
+    typed_parse: bool = True
     on_error: str = "quarantine"
     stage: str = "cache"
     retry_count: int = 1
@@ -334,7 +335,7 @@ class _Batch:
 
     def _project(self, rows: DataFrame, state: TableState) -> DataFrame:
         if self.options.value_format == "json":
-            return project_json(rows, state.schema)
+            return project_json(rows, state.schema, typed_parse=self.options.typed_parse)
         if self.options.value_format == "struct":
             out = project(rows, state.schema, source="value")
             return out.withColumn("value", F.to_json("value"))

@@ -416,7 +416,7 @@ def narrow_json_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = _wide_numbers(spark, sf_dir).select(
         "l_orderkey", json_value(*NARROWED.names).alias("value")
     )
-    return _narrowed(project_json(texts, NARROWED))
+    return _narrowed(project_json(texts, NARROWED, typed_parse=False))
 
 
 def number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -468,7 +468,7 @@ def booleans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", *[large.alias(name) for name in target.names[1:]]
     )
     messages = to_envelope(events, topic="events", value=json_value(*target.names))
-    return project_json(messages, target).select("record.*")
+    return project_json(messages, target, typed_parse=False).select("record.*")
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

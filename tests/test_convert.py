@@ -175,8 +175,9 @@ JSON = [
 def test_json(spark, cases):
     _, target, props, _, _ = cases[0]
     df = spark.createDataFrame([(n, case[0]) for n, case in enumerate(cases)], "n int, value string")
-    out = project_json(df, T.StructType([column("c", target, True, props)]))
-    assert outcomes(out) == [(case[3], case[4]) for case in cases]
+    for typed_parse in (True, False):
+        out = project_json(df, T.StructType([column("c", target, True, props)]), typed_parse=typed_parse)
+        assert outcomes(out) == [(case[3], case[4]) for case in cases]
 
 
 def test_required_column(spark):
