@@ -7,8 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamloader.llm import simhash_bktree
-from streamloader.llm.common import table
+from streamloader.llm import bucket_shuffle, simhash_bktree
+from streamloader.llm.common import cut, discard, scratch_path, table
+
+
+def op3_bucket_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "shuffled")
+    shuffled = bucket_shuffle.shuffle(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    body = F.coalesce(F.col("record.text").cast("binary"), F.lit(b""))
+    written = shuffled.select(
+        "bucket",
+        "place",
+        F.col("record.doc_id").alias("doc_id"),
+        (F.octet_length(body) + F.lit(16)).cast("long").alias("size"),
+        F.crc32(body).alias("text_crc32"),
+    )
+    digest = cut(written)
+    discard(spark, path)
+    return bucket_shuffle.place_in_shards(digest).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
 
 
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +35,7 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bucket_shuffle": op3_bucket_shuffle,
     "op7_simhash_bktree": op7_simhash_bktree,
 }
 
