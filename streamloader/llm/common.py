@@ -53,5 +53,9 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
+def column(batch: pa.RecordBatch, name: str) -> list:
+    return batch.column(batch.schema.get_field_index(name)).to_pylist()
+
+
 def columns(batch: pa.RecordBatch, *names: str) -> Iterator[list]:
-    return (batch.column(batch.schema.get_field_index(name)).to_pylist() for name in names)
+    return (column(batch, name) for name in names)

@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamloader.llm import bucket_shuffle, simhash_bktree
+from streamloader.llm import bucket_shuffle, disclosure, simhash_bktree
 from streamloader.llm.common import cut, discard, scratch_path, table
 
 
+def op2_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "scanned")
+    found = disclosure.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=("doc_id",), path=path)
+    return disclosure.digest(found, path)
+
+
 def op3_bucket_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "shuffled")
     shuffled = bucket_shuffle.shuffle(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
@@ -35,6 +41,7 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_disclosure": op2_disclosure,
     "op3_bucket_shuffle": op3_bucket_shuffle,
     "op7_simhash_bktree": op7_simhash_bktree,
 }
