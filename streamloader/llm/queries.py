@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamloader.llm import bucket_shuffle, disclosure, simhash_bktree
+from streamloader.llm import bucket_shuffle, disclosure, segment_tree_bpe, simhash_bktree
 from streamloader.llm.common import cut, discard, scratch_path, table
 
 
@@ -40,10 +40,15 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "kept")
 
 
+def op8_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_tree_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_disclosure": op2_disclosure,
     "op3_bucket_shuffle": op3_bucket_shuffle,
     "op7_simhash_bktree": op7_simhash_bktree,
+    "op8_segment_tree_bpe": op8_segment_tree_bpe,
 }
 
 # Only operator 4 can be said in SQL; the others are tested against brute force (tests/llm).

@@ -26,7 +26,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 # Pieces up to this many bytes are merged in arrays, longer ones each by itself.
 SHORT = 64
 # Encoded pieces that a worker remembers, and the longest one it does.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 NO_PAIR = np.int64(1) << 40
 
 
@@ -185,22 +185,30 @@ class Codec:
 
     def __init__(self, path: str = RANKS) -> None:
         self.vocab = vocabulary(path)
-        self.known: dict[str, tuple[int, ...]] = {}
+        # Of a piece: the number of its ids, their decimal form, and the bytes that they decode to.
+        self.known: dict[str, tuple[int, str, bytes]] = {}
 
-    def encode_batch(self, texts: Iterable[str | None]) -> list[list[int]]:
+    def decode(self, ids: Iterable[int]) -> bytes:
+        tokens = self.vocab.tokens
+        return b"".join([tokens[i] for i in ids])
+
+    def encoded(self, texts: Iterable[str | None]) -> Iterator[list[tuple[int, str, bytes]]]:
+        """The remembered form of each text's pieces."""
         split = splitter().findall
         pieces = [split(t or "") for t in texts]
-        new = list({p for own in pieces for p in own if p not in self.known})
+        distinct = set().union(*pieces)
+        new = list(distinct.difference(self.known))
         if len(self.known) + len(new) > REMEMBERED:
             self.known = {}
-            new = list({p for own in pieces for p in own})
-        self.known.update(zip(new, map(tuple, encode_pieces([p.encode() for p in new], self.vocab)), strict=True))
+            new = list(distinct)
+        for piece, ids in zip(new, encode_pieces([p.encode() for p in new], self.vocab), strict=True):
+            self.known[piece] = len(ids), " ".join(map(str, ids)), self.decode(ids)
         known = self.known
-        return [[i for p in own for i in known[p]] for own in pieces]
+        for own in pieces:
+            yield [known[p] for p in own]
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        tokens = self.vocab.tokens
-        return b"".join([tokens[i] for i in ids])
+    def encode_batch(self, texts: Iterable[str | None]) -> list[list[int]]:
+        return [[int(i) for _, decimals, _ in own for i in decimals.split()] for own in self.encoded(texts)]
 
 
 @cache
@@ -248,10 +256,11 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             keys, bodies = columns(batch, "doc_id", "body")
             counts, ids_digests, text_digests = [], [], []
-            for ids in own.encode_batch(bodies):
-                counts.append(len(ids))
-                ids_digests.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
-                text_digests.append(hashlib.sha256(own.decode(ids)).hexdigest())
+            for pieces in own.encoded(bodies):
+                sizes, decimals, decoded = zip(*pieces, strict=True) if pieces else ((), (), ())
+                counts.append(sum(sizes))
+                ids_digests.append(hashlib.sha256(" ".join(decimals).encode()).hexdigest())
+                text_digests.append(hashlib.sha256(b"".join(decoded)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids_digests), pa.array(text_digests)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
