@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamloader.llm import bucket_shuffle, disclosure, ppm_language, segment_tree_bpe, simhash_bktree
+from streamloader.llm import bucket_shuffle, disclosure, nnpu_toxicity, ppm_language, segment_tree_bpe, simhash_bktree
 from streamloader.llm.common import cut, discard, scratch_path, table
 
 
@@ -48,12 +48,17 @@ def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.predict(table(spark, sf_dir, "documents"))
 
 
+def op10_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nnpu_toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_disclosure": op2_disclosure,
     "op3_bucket_shuffle": op3_bucket_shuffle,
     "op7_simhash_bktree": op7_simhash_bktree,
     "op8_segment_tree_bpe": op8_segment_tree_bpe,
     "op9_ppm_language": op9_ppm_language,
+    "op10_nnpu_toxicity": op10_nnpu_toxicity,
 }
 
 # Only operator 4 can be said in SQL; the others are tested against brute force (tests/llm).
