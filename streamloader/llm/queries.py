@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamloader.llm import bucket_shuffle, disclosure, nnpu_toxicity, ppm_language, segment_tree_bpe, simhash_bktree
+from streamloader.llm import bucket_shuffle, disclosure, nnls_packing, nnpu_toxicity, ppm_language, segment_tree_bpe, simhash_bktree
 from streamloader.llm.common import cut, discard, scratch_path, table
 
 
+def op1_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nnls_packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op2_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "scanned")
     found = disclosure.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=("doc_id",), path=path)
@@ -53,6 +57,7 @@ def op10_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nnls_packing": op1_nnls_packing,
     "op2_disclosure": op2_disclosure,
     "op3_bucket_shuffle": op3_bucket_shuffle,
     "op7_simhash_bktree": op7_simhash_bktree,
