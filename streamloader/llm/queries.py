@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamloader.llm import bucket_shuffle, disclosure, nnls_packing, nnpu_toxicity, ppm_language, segment_tree_bpe, simhash_bktree
+from streamloader.llm import adaptive_rules, bucket_shuffle, disclosure, nnls_packing, nnpu_toxicity, ppm_language, segment_tree_bpe, simhash_bktree
 from streamloader.llm.common import cut, discard, scratch_path, table
 
 
@@ -39,6 +40,10 @@ def op3_bucket_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adaptive_rules.judge(table(spark, sf_dir, "documents")).drop("lang", "source", "n_lines")
+
+
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_bktree.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "kept")
@@ -60,11 +65,59 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nnls_packing": op1_nnls_packing,
     "op2_disclosure": op2_disclosure,
     "op3_bucket_shuffle": op3_bucket_shuffle,
+    "op4_adaptive_rules": op4_adaptive_rules,
     "op7_simhash_bktree": op7_simhash_bktree,
     "op8_segment_tree_bpe": op8_segment_tree_bpe,
     "op9_ppm_language": op9_ppm_language,
     "op10_nnpu_toxicity": op10_nnpu_toxicity,
 }
 
+_SIGNAL_SQL = """
+      SELECT rid, lang, source, 'word_length' AS signal, word_chars / n_words + {offset} AS v FROM base WHERE n_words > 0
+      UNION ALL SELECT rid, lang, source, 'symbols', n_symbols / n_words + {offset} FROM base WHERE n_words > 0
+      UNION ALL SELECT rid, lang, source, 'dup_lines', n_dup_lines / n_lines + {offset} FROM base WHERE n_lines > 0
+      UNION ALL SELECT rid, lang, source, 'repeats', n_repeat_words / n_words + {offset} FROM base WHERE n_words > 0
+""".format(offset=adaptive_rules.OFFSET)
+
+_FENCES_SQL = """
+      SELECT {keys} signal, max(total) AS total,
+             min(CASE WHEN upto * 4 >= total THEN bin END) AS q1, min(CASE WHEN upto * 4 >= total * 3 THEN bin END) AS q3
+      FROM (SELECT *, sum(n) OVER (PARTITION BY {keys} signal ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {keys} signal) AS total
+            FROM (SELECT {keys} signal, bin, count(*) AS n FROM bins GROUP BY ALL))
+      GROUP BY ALL
+"""
+
+_REACH_SQL = f"greatest((q3 - q1) * {adaptive_rules.FENCE}, ceil({adaptive_rules.SLACK!r} / ln({adaptive_rules.GAMMA})))"
+
 # Only operator 4 can be said in SQL; the others are tested against brute force (tests/llm).
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_adaptive_rules": f"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS body FROM documents),
+    w AS (SELECT *, regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+') AS words,
+            list_filter(string_split(body, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+    windows AS (SELECT rid, i, array_to_string(words[i:i + 7], ' ') AS g
+                FROM (SELECT rid, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)),
+    twice AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS c FROM windows) WHERE c > 1),
+    covered AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY rid),
+    base AS (SELECT rid, doc_id, lang, source, len(words)::BIGINT AS n_words,
+               length(array_to_string(words, ''))::BIGINT AS word_chars,
+               length(regexp_replace(body, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+               (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+               coalesce(covered.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines
+             FROM w LEFT JOIN covered USING (rid)),
+    bins AS (SELECT rid, lang, source, signal, ceil(ln(v) / {math.log(adaptive_rules.GAMMA)!r})::INT AS bin FROM ({_SIGNAL_SQL})),
+    own AS ({_FENCES_SQL.format(keys="lang, source,")}),
+    whole AS ({_FENCES_SQL.format(keys="")}),
+    fences AS (SELECT own.lang, own.source, signal,
+                 CASE WHEN own.total >= {adaptive_rules.LEAST_ROWS} THEN own.low ELSE a.low END AS low,
+                 CASE WHEN own.total >= {adaptive_rules.LEAST_ROWS} THEN own.high ELSE a.high END AS high
+               FROM (SELECT *, q1 - {_REACH_SQL} AS low, q3 + {_REACH_SQL} AS high FROM own) own
+               JOIN (SELECT *, q1 - {_REACH_SQL} AS low, q3 + {_REACH_SQL} AS high FROM whole) a USING (signal)),
+    odd AS (SELECT DISTINCT b.rid FROM bins b JOIN fences f
+            ON b.signal = f.signal AND b.lang IS NOT DISTINCT FROM f.lang AND b.source IS NOT DISTINCT FROM f.source
+            WHERE b.bin > f.high OR (b.signal = 'word_length' AND b.bin < f.low))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed AS base_failed,
+           NOT failed AND rid NOT IN (SELECT rid FROM odd) AS kept
+    FROM (SELECT *, n_words < {adaptive_rules.MIN_WORDS} OR 100 * n_repeat_words > {adaptive_rules.MAX_REPEAT_PERCENT} * n_words AS failed FROM base)
+    """,
+}
