@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamloader.llm import adaptive_rules, bucket_shuffle, disclosure, nnls_packing, nnpu_toxicity, ppm_language, segment_tree_bpe, simhash_bktree
+from streamloader.llm import adaptive_rules, bucket_shuffle, disclosure, hmm_scoring, nnls_packing, nnpu_toxicity, ppm_language, segment_tree_bpe, simhash_bktree
 from streamloader.llm.common import cut, discard, scratch_path, table
 
 
@@ -44,6 +44,13 @@ def op4_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_rules.judge(table(spark, sf_dir, "documents")).drop("lang", "source", "n_lines")
 
 
+def op5_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "encoded")
+    scored = cut(hmm_scoring.score(table(spark, sf_dir, "documents"), path=path))
+    discard(spark, path)
+    return scored
+
+
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_bktree.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "kept")
@@ -66,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_disclosure": op2_disclosure,
     "op3_bucket_shuffle": op3_bucket_shuffle,
     "op4_adaptive_rules": op4_adaptive_rules,
+    "op5_hmm_scoring": op5_hmm_scoring,
     "op7_simhash_bktree": op7_simhash_bktree,
     "op8_segment_tree_bpe": op8_segment_tree_bpe,
     "op9_ppm_language": op9_ppm_language,
