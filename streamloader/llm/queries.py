@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamloader.llm import adaptive_rules, bucket_shuffle, disclosure, hmm_scoring, nnls_packing, nnpu_toxicity, ppm_language, segment_tree_bpe, simhash_bktree
+from streamloader.llm import adaptive_rules, bucket_shuffle, disclosure, hmm_scoring, nnls_packing, nnpu_toxicity, ppm_language, pq_neardup, segment_tree_bpe, simhash_bktree
 from streamloader.llm.common import cut, discard, scratch_path, table
 
 
@@ -51,6 +51,10 @@ def op5_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored
 
 
+def op6_pq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_bktree.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "kept")
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bucket_shuffle": op3_bucket_shuffle,
     "op4_adaptive_rules": op4_adaptive_rules,
     "op5_hmm_scoring": op5_hmm_scoring,
+    "op6_pq_neardup": op6_pq_neardup,
     "op7_simhash_bktree": op7_simhash_bktree,
     "op8_segment_tree_bpe": op8_segment_tree_bpe,
     "op9_ppm_language": op9_ppm_language,
