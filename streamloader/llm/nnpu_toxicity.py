@@ -198,6 +198,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return chosen.mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def reject(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows whose text is not predicted toxic, with all their columns (of which `text` is one)."""
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.prior))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array([own.margin(t) < 0 for t in column(batch, "text")], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document; labels of the held-out fold are never read."""
     scored = score(docs, fit(docs, labels))

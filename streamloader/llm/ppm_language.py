@@ -149,48 +149,73 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Tree
     return Trees(langs, rows["lang"].map(index).to_numpy(np.int64), rows["gram"].to_numpy(np.int64), rows["n"].to_numpy(np.int64))
 
 
+class Judge:
+    """Scores texts under frozen trees, remembering a bounded number of words' code lengths."""
+
+    def __init__(self, trees: Trees) -> None:
+        self.trees = trees
+        self.known: dict[str, int] = {}
+        self.lengths = np.zeros((0, len(trees.langs)))
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Language and score of each text."""
+        own = [words_of(text) for text in texts]
+        distinct = set().union(*own)
+        new = list(distinct.difference(self.known))
+        if len(self.known) + len(new) > HELD_WORDS:
+            self.known, self.lengths, new = {}, self.lengths[:0], list(distinct)
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.lengths = np.concatenate((self.lengths, self.trees.word_bits(new)))
+        names, scores = [], []
+        for words in own:
+            if not words or not self.trees.langs:
+                names.append(UNDETERMINED)
+                scores.append(0.0)
+                continue
+            total = self.lengths[[self.known[w] for w in words]].sum(axis=0)
+            best = int(total.argmin())
+            names.append(self.trees.langs[best])
+            scores.append(float(1 / np.exp2(np.maximum(total[best] - total, -1000)).sum()))
+        return names, scores
+
+
 def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score): the language whose trees code the whole text in fewest bits.
 
     `score` is its share of 2^-bits over all languages.  A null text, a text without letters and any text
     under a model without languages is `und` with score 0; equal code lengths go to the first name.
-    Repeated rows are scored alike; further columns are not read.
+    Repeated rows are scored alike; an empty table gives no rows; further columns are not read.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(trees)
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("body"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        known: dict[str, int] = {}
-        lengths = np.zeros((0, len(model.langs)))
+        judge = Judge(shared.value).judge
         for batch in batches:
-            own = [words_of(text) for text in column(batch, "body")]
-            distinct = set().union(*own)
-            new = list(distinct.difference(known))
-            if len(known) + len(new) > HELD_WORDS:
-                known, lengths, new = {}, lengths[:0], list(distinct)
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            lengths = np.concatenate((lengths, model.word_bits(new)))
-            names, scores = [], []
-            for words in own:
-                if not words or not model.langs:
-                    names.append(UNDETERMINED)
-                    scores.append(0.0)
-                    continue
-                total = lengths[[known[w] for w in words]].sum(axis=0)
-                best = int(total.argmin())
-                names.append(model.langs[best])
-                scores.append(float(1 / np.exp2(np.maximum(total[best] - total, -1000)).sum()))
+            names, scores = judge(column(batch, "body"))
+            ids = batch.column(batch.schema.get_field_index("doc_id"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "lang_pred", "score"],
+                [ids, pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"]
             )
 
     return chosen.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def reject(docs: DataFrame, trees: Trees, share: float) -> DataFrame:
+    """The rows whose text has a language with a score of at least `share`, with all their columns (of which `text` is one)."""
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(shared.value).judge
+        for batch in batches:
+            names, scores = judge(column(batch, "text"))
+            yield batch.filter(pa.array([n != UNDETERMINED and s >= share for n, s in zip(names, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.coalesce(fold(F.col(doc_id), FOLDS) == HELD_OUT, F.lit(False))
 
