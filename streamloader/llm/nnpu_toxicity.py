@@ -30,8 +30,10 @@ HELD_OUT = 0
 MAX_POSITIVE = 4000
 MAX_UNLABELLED = 8000
 MAX_FEATURES = 1500
-# Documents of the sample that must share a feature.
+# Documents of the sample that must share a feature, and how many standard errors apart its shares among
+# positives and unlabelled documents must be: of some 100,000 features, few pass by chance.
 SUPPORT = 5
+LEAST_Z = 4.0
 PREFIXES = range(3, 9)
 EPOCHS = 300
 RATE = 0.05
@@ -152,8 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     found = rows.mapInArrow(count, "feature string, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     gap = F.col("p") / n_p - F.col("u") / n_u
     pooled = (F.col("p") + F.col("u") + 1) / (n_p + n_u)
-    z = F.abs(gap) / F.sqrt(pooled)
-    best = found.where(F.col("p") + F.col("u") >= SUPPORT).orderBy(z.desc(), "feature").limit(MAX_FEATURES)
+    z = F.abs(gap) / F.sqrt(pooled * (1 / n_p + 1 / n_u))
+    best = found.where((F.col("p") + F.col("u") >= SUPPORT) & (z >= LEAST_Z)).orderBy(z.desc(), "feature").limit(MAX_FEATURES)
     names = [r["feature"] for r in best.select("feature").collect()]
     index = {f: k for k, f in enumerate(names)}
 
