@@ -10,16 +10,18 @@ from .operators.quarantine import ingest_counts, require_key, split
 from .operators.routing import route
 from .operators.schemas import conform, infer_schemas, width_classes
 from .plans.ingest import IngestOptions, ingest
-from .sinks.tables import NoSuchTable, StaleState, Tables
+from .sinks.tables import JobInUse, NoSuchTable, StaleState, Tables
 from .sources.decode import (
+    RegisteredSchema,
+    avro_body,
     decode_payload,
-    decode_registry,
     decode_schema_json,
+    json_body,
     message_schema,
     schema_from_message,
     wire_header,
 )
-from .sources.feed import change_feed, fan_in, stream_feed, write_kafka, write_topics
+from .sources.feed import change_feed, fan_in, stream_feed, stream_table, with_schema, write_kafka, write_topics
 from .sources.messages import (
     ENVELOPE,
     kafka_messages,
@@ -33,16 +35,18 @@ __all__ = [
     "ENVELOPE",
     "Evolution",
     "IngestOptions",
+    "JobInUse",
     "NoSuchTable",
+    "RegisteredSchema",
     "StaleState",
     "Tables",
     "UnsupportedSchema",
     "Versions",
+    "avro_body",
     "change_feed",
     "column",
     "conform",
     "decode_payload",
-    "decode_registry",
     "decode_schema_json",
     "evolve",
     "evolve_versions",
@@ -52,6 +56,7 @@ __all__ = [
     "infer_schemas",
     "ingest",
     "ingest_counts",
+    "json_body",
     "kafka_messages",
     "merge",
     "merge_stream",
@@ -67,12 +72,14 @@ __all__ = [
     "schema_from_message",
     "split",
     "stream_feed",
+    "stream_table",
     "subscribe",
     "to_envelope",
     "unwrap_cdc",
     "version_gate",
     "width_classes",
     "wire_header",
+    "with_schema",
     "write_feed",
     "write_kafka",
     "write_topics",

@@ -22,7 +22,7 @@ def one_per_key(
     elif keep != "first":
         raise ValueError(f"keep is 'first' or 'last', not {keep!r}")
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+    return df.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
 
 
 def _reverse(column: Column | str) -> Column:

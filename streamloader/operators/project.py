@@ -23,7 +23,7 @@ BAD_JSON = "BAD_JSON"
 RESULT_COLUMNS = ("record", "reason", "bad_column", "bad_value")
 
 _CORRUPT = "_corrupt_text"
-_JSON_OPTIONS = {"columnNameOfCorruptRecord": _CORRUPT}
+_JSON_OPTIONS = {"columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
 
 
 def _required(converted: Converted, field: T.StructField) -> Converted:
@@ -51,17 +51,17 @@ def _result(
         for name, c, text in zip(names, outcome, texts)
     ]
     earlier = F.col("reason") if "reason" in df.columns else F.lit(None).cast("string")
-    checked = df.withColumn("_first", F.coalesce(earlier, record_reason)).withColumn(
-        "_bad", F.when(F.col("_first").isNull(), F.coalesce(*refusals))
+    checked = df.withColumn("__first", F.coalesce(earlier, record_reason)).withColumn(
+        "__bad", F.when(F.col("__first").isNull(), F.coalesce(*refusals))
     )
     result = F.struct(
         F.struct(*[c.value.alias(name) for name, c in zip(names, outcome)]).alias("record"),
-        F.coalesce(F.col("_first"), F.col("_bad.why")).alias("reason"),
-        F.col("_bad.column").alias("bad_column"),
-        F.col("_bad.value").alias("bad_value"),
+        F.coalesce(F.col("__first"), F.col("__bad.why")).alias("reason"),
+        F.col("__bad.column").alias("bad_column"),
+        F.col("__bad.value").alias("bad_value"),
     )
-    out = compute_once(checked, "_result", result)
-    return out.select(*[F.col(f"`{c}`") for c in kept if c not in RESULT_COLUMNS], "_result.*")
+    out = compute_once(checked, "__result", result)
+    return out.select(*[F.col(f"`{c}`") for c in kept if c not in RESULT_COLUMNS], "__result.*")
 
 
 def project(df: DataFrame, schema: T.StructType, source: str | None = None) -> DataFrame:
@@ -69,7 +69,7 @@ def project(df: DataFrame, schema: T.StructType, source: str | None = None) -> D
 
     Fields are the columns of `df`, or those of its struct column `source`.  Rules are chosen per
     column at plan time, so a field of the column's own type costs nothing.  Fields the table lacks
-    are dropped, and columns the message lacks are null.
+    are dropped, and columns the message lacks have their text default or are null.
     """
     check_names(schema)
     fields = df.schema if source is None else df.schema[source].dataType
@@ -81,10 +81,12 @@ def project(df: DataFrame, schema: T.StructType, source: str | None = None) -> D
     staged, outcome, texts = {}, [], []
     for i, f in enumerate(schema.fields):
         known = f.name in types
-        value = field_of(f.name) if known else F.lit(None)
-        converted = convert(value, types[f.name] if known else T.NullType(), f)
-        staged[f"_value{i}"] = converted.value
-        outcome.append(_required(Converted(F.col(f"_value{i}"), converted.reason), f))
+        default = None if known else (f.metadata or {}).get("default")
+        value = field_of(f.name) if known else F.lit(default)
+        kind = types[f.name] if known else T.NullType() if default is None else T.StringType()
+        converted = convert(value, kind, f)
+        staged[f"__value{i}"] = converted.value
+        outcome.append(_required(Converted(F.col(f"__value{i}"), converted.reason), f))
         texts.append(value.cast("string"))
     record_reason = F.lit(None).cast("string")
     if source is not None:
@@ -143,46 +145,46 @@ def project_json(
     corrupt = T.StructField(_CORRUPT, T.StringType())
 
     parsed = F.from_json(text_of_record, T.StructType([*fast.fields, corrupt]), _JSON_OPTIONS)
-    doubts = [d for f in schema.fields if (d := _doubt(F.col("_fast")[f.name], f)) is not None]
-    in_doubt = F.col("_fast").isNull() | F.col("_fast")[_CORRUPT].isNotNull()
+    doubts = [d for f in schema.fields if (d := _doubt(F.col("__fast")[f.name], f)) is not None]
+    in_doubt = F.col("__fast").isNull() | F.col("__fast")[_CORRUPT].isNotNull()
     for doubt in doubts:
         in_doubt = in_doubt | F.coalesce(doubt, F.lit(False))
     if not typed_parse:
         in_doubt = F.lit(True)
     reparsed = F.from_json(text_of_record, T.StructType([*exact.fields, corrupt]), _JSON_OPTIONS)
-    again = F.col("_doubt")
+    again = F.col("__doubt")
 
     # Each step names earlier columns only, so nothing is computed twice and no step grows large.
     staged = (
-        df.withColumn("_fast", parsed)
-        .withColumn("_doubt", in_doubt)
-        .withColumn("_exact", F.when(again, reparsed))
+        df.withColumn("__fast", parsed)
+        .withColumn("__doubt", in_doubt)
+        .withColumn("__exact", F.when(again, reparsed))
     )
     numbered = list(enumerate(schema.fields))
-    values = [F.col("_exact")[f.name] for f in schema.fields]
-    tags = [F.col(f"_tag{i}") for i, _ in numbered]
-    staged = staged.withColumns({f"_tag{i}": F.when(again, json_tag(values[i])) for i, _ in numbered})
+    values = [F.col("__exact")[f.name] for f in schema.fields]
+    tags = [F.col(f"__tag{i}") for i, _ in numbered]
+    staged = staged.withColumns({f"__tag{i}": F.when(again, json_tag(values[i])) for i, _ in numbered})
     fractions = {i: c for i, f in numbered if (c := json_fraction(values[i], tags[i], f)) is not None}
-    staged = staged.withColumns({f"_fraction{i}": F.when(again, c) for i, c in fractions.items()})
+    staged = staged.withColumns({f"__fraction{i}": F.when(again, c) for i, c in fractions.items()})
     final, outcome, texts = {}, [], []
     for i, f in numbered:
-        sure = convert(F.col("_fast")[f.name], _fast_type(f), f)
-        fraction = F.col(f"_fraction{i}") if i in fractions else None
+        sure = convert(F.col("__fast")[f.name], _fast_type(f), f)
+        fraction = F.col(f"__fraction{i}") if i in fractions else None
         slow = convert_json(values[i], tags[i], fraction, f)
-        final[f"_value{i}"] = F.when(again, slow).otherwise(sure.value)
-        value = F.col(f"_value{i}")
+        final[f"__value{i}"] = F.when(again, slow).otherwise(sure.value)
+        value = F.col(f"__value{i}")
         # Either way a value that is there and came out null was refused.
         there = F.when(again, tags[i].isNotNull() & (tags[i] != "VOID"))
         if "timestamp" in properties(f):
-            there = there.otherwise(F.col("_fast")[f.name].isNotNull())
+            there = there.otherwise(F.col("__fast")[f.name].isNotNull())
         why = F.lit(TYPE_MISMATCH)
         if "timestamp" in properties(f):
             text_seen = ~again | (tags[i] == "STRING")
             why = F.when(text_seen, F.lit(BAD_TIMESTAMP)).otherwise(why)
         outcome.append(_required(Converted(value, F.when(value.isNull() & there, why)), f))
         text = F.when(again, F.try_variant_get(values[i], "$", "string"))
-        texts.append(text.otherwise(F.col("_fast")[f.name].cast("string")))
-    unreadable = again & (F.col("_exact").isNull() | F.col("_exact")[_CORRUPT].isNotNull())
+        texts.append(text.otherwise(F.col("__fast")[f.name].cast("string")))
+    unreadable = again & (F.col("__exact").isNull() | F.col("__exact")[_CORRUPT].isNotNull())
     other_root = F.try_parse_json(text_of_record).isNotNull() | text_of_record.isNull()
     record_reason = F.when(
         unreadable, F.when(other_root, F.lit(UNSUPPORTED_RECORD)).otherwise(F.lit(BAD_JSON))

@@ -14,9 +14,6 @@ from .merge import one_per_key
 UNSUPPORTED_TYPE = "UNSUPPORTED_TYPE"
 
 
-# Groups up to this many are looked up in a broadcast of their earliest order values.
-MAX_BROADCAST_GROUPS = 10_000
-
 
 def first_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str] = ARRIVAL, columns: Sequence[str] = ()
@@ -25,23 +22,20 @@ def first_rows(
 
     Ranking alone would sort every row by its group.  So the earliest value of the leading order
     column is taken first, by a hash aggregate over fixed-width buffers, and only the rows holding it
-    are ranked.  The list of groups is broadcast when it is checked to be short, else all rows are
-    ranked.  Null keys form groups, and null order values come first.  Runs one job.
+    are ranked.  Spark broadcasts the list of groups when its measured size allows, and otherwise splits
+    groups that are large.  Null keys form groups, and null order values come first.
     """
     lead = order[0]
-    low = df.groupBy(*keys).agg(F.min(lead).alias("_low"), F.max(F.col(lead).isNull()).alias("_null"))
+    low = df.groupBy(*keys).agg(F.min(lead).alias("__low"), F.max(F.col(lead).isNull()).alias("__null"))
     low = low.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.when(~F.col("_null"), F.col("_low")).alias("_low"),
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        F.when(~F.col("__null"), F.col("__low")).alias("__low"),
     )
-    groups = low.limit(MAX_BROADCAST_GROUPS + 1).collect()
-    if len(groups) <= MAX_BROADCAST_GROUPS:
-        match = F.col("_low").eqNullSafe(F.col(lead))
-        for i, key in enumerate(keys):
-            match = match & F.col(f"_k{i}").eqNullSafe(F.col(key))
-        short = df.sparkSession.createDataFrame(groups, low.schema)
-        df = df.join(F.broadcast(short), match, "left_semi")
-    return one_per_key(df, keys, order, "first").select(*keys, *columns)
+    match = F.col("__low").eqNullSafe(F.col(lead))
+    for i, key in enumerate(keys):
+        match = match & F.col(f"__k{i}").eqNullSafe(F.col(key))
+    earliest = df.join(low, match, "left_semi")
+    return one_per_key(earliest, keys, order, "first").select(*keys, *columns)
 
 
 def column_type(tag: Column) -> Column:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, Row, functions as F, types as T
 
 from ..functions.types import UnsupportedSchema
 from ..operators.cdc import unwrap_cdc
@@ -17,23 +17,27 @@ from ..operators.gate import version_gate
 from ..operators.project import project, project_json
 from ..operators.quarantine import ingest_metrics, quarantine_shape, require_key, stop_on_refusal
 from ..operators.routing import check_overrides, route
-from ..operators.schemas import UNSUPPORTED_TYPE, first_rows, infer_schemas, schema_of_columns
-from ..sinks.files import scratch_path
-from ..sinks.tables import StaleState, Tables, TableState
+from ..operators.schemas import UNSUPPORTED_TYPE, infer_schemas, schema_of_columns
+from ..sinks.files import delete_folder, scratch_path
+from ..sinks.tables import APPEND, StaleState, Tables, TableState
 from ..sources.decode import (
+    RegisteredSchema,
     decode_payload,
+    decode_registered,
     decode_schema_json,
+    open_registry,
     refused_columns,
     schema_from_message,
 )
-from ..sources.messages import ARRIVAL, ENVELOPE, subscribe
+from ..sources.messages import ARRIVAL, subscribe
 
 NO_TABLE = "NO_TABLE"
 NO_FIELDS = "NO_FIELDS"
+RESERVED_TABLE = "RESERVED_TABLE"
 
 QUARANTINE = "_quarantine"
 
-VALUE_FORMATS = ("json", "schema_json", "struct")
+VALUE_FORMATS = ("json", "schema_json", "struct", "registry")
 
 
 @dataclass(frozen=True)
@@ -41,11 +45,13 @@ class IngestOptions:
     """Settings of a sink job.
 
     Values are `json` (objects without schema, change-data envelopes included), `schema_json`
-    (`{"schema", "payload"}`) or `struct` (a typed struct column, one schema per frame).
+    (`{"schema", "payload"}`), `struct` (a typed struct column, one schema per frame) or `registry` (framed
+    bytes in `value_bytes`, with the ids of `registry`).
 
-    Routed messages are read once per destination, so they are kept meanwhile: in executor storage
-    (`stage="cache"`), or for loads beyond it as files of the shared folder, one folder per
-    destination (`stage="files"`).
+    Routed messages are kept while they are loaded: as files of the shared folder, one folder per
+    destination, of which each table reads its own (`stage="files"`), or, for small batches, in executor
+    storage (`stage="cache"`).  `max_destinations` is the most tables one batch may feed; beyond it nothing
+    is loaded.
     """
 
     topics: Sequence[str] | None = None
@@ -60,10 +66,12 @@ class IngestOptions:
     add_new_fields: bool = False
     relax_missing: bool = False
     value_format: str = "json"
+    registry: Mapping[int, RegisteredSchema] | None = None
     infer: str = "first_record"
     typed_parse: bool = True
     on_error: str = "quarantine"
-    stage: str = "cache"
+    stage: str = "files"
+    max_destinations: int | None = None
     retry_count: int = 1
     parallel_tables: int = 4
 
@@ -80,6 +88,8 @@ class IngestOptions:
         ):
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} is one of {allowed}, not {getattr(self, name)!r}")
+        if (self.value_format == "registry") != (self.registry is not None):
+            raise ValueError("a registry goes with value_format 'registry', and only with it")
         if self.retry_count < 1 or self.parallel_tables < 1:
             raise ValueError("retry_count and parallel_tables are at least 1")
 
@@ -107,6 +117,9 @@ def prepare(messages: DataFrame, options: IngestOptions) -> DataFrame:
     if options.value_format == "schema_json":
         df = decode_schema_json(df)
         schemaless = F.lit(False)
+    elif options.value_format == "registry":
+        df = open_registry(df, options.registry)
+        schemaless = F.lit(False)
     elif options.value_format == "json":
         df = unwrap_cdc(df)
         schemaless = F.lit(True)
@@ -131,16 +144,24 @@ def ingest(
     *,
     job: str | None = None,
     batch_id: int = 0,
+    source: str = "",
 ) -> dict[str, dict[str, int]]:
     """Run one batch and return accepted and refused counts per destination table.
 
-    `job` and `batch_id` name the batch: running it again replaces what it appended and skips what it
-    merged.  Without `job` the batch is a new one.
+    `job` and `batch_id` name the batch: running it again counts, but skips what is there already.  A job
+    belongs to the `source` that used it first (a stream's id; batch calls have none), and any other is
+    refused.  Without `job` the batch is a new one.
     """
+    if job is not None:
+        tables.claim(job, source)
     job = job or f"batch-{uuid.uuid4().hex}"
     return _Batch(messages, tables, options, job, batch_id).run()
 
 
+class TooManyDestinations(RuntimeError):
+    """A batch would feed more tables than its options allow."""
+
+
 class _Batch:
     def __init__(
         self, messages: DataFrame, tables: Tables, options: IngestOptions, job: str, batch_id: int
@@ -150,69 +171,85 @@ class _Batch:
         self.job = job
         self.batch_id = batch_id
         self.label = f"{job}-{batch_id:012d}"
+        # The column that tells the schemas of one frame apart.
+        self.schema_key = {"schema_json": "message_schema", "registry": "schema_id"}.get(options.value_format)
         self.routed = prepare(messages, options)
 
     def run(self) -> dict[str, dict[str, int]]:
-        self._hold()
+        self.staged = None
         try:
+            self._hold()
             return self._run()
         finally:
             self.routed.unpersist()
+            if self.staged is not None:
+                delete_folder(self.tables.spark, self.staged)
 
     def _hold(self) -> None:
+        reserved = F.when((F.col("dest_table") == QUARANTINE) & F.col("reason").isNull(), F.lit(RESERVED_TABLE))
+        self.routed = self.routed.withColumn("reason", F.coalesce("reason", reserved))
         if self.options.stage == "cache":
             self.routed = self.routed.persist(StorageLevel.MEMORY_AND_DISK)
             return
         spark = self.routed.sparkSession
-        path = scratch_path(spark, "routed")
-        self.routed.write.partitionBy("dest_table").parquet(path)
+        self.staged = scratch_path(spark, "routed")
+        # Small destinations share tasks, large ones are split: neither many small files nor one large task.
+        self.routed.hint("rebalance", "dest_table").write.partitionBy("dest_table").parquet(self.staged)
         names = self.routed.columns
-        self.routed = spark.read.schema(self.routed.schema).parquet(path).select(*names)
+        self.routed = spark.read.schema(self.routed.schema).parquet(self.staged).select(*names)
 
-    def _run(self) -> dict[str, dict[str, int]]:
-        # Bounded by destinations x schemas x reasons; the driver needs each of them by name.
+    def _profile(self) -> list[Row]:
+        """Rows, and the first arrival, of each destination, version, schema and reason."""
         keys = ["dest_table", "schema_version", "reason"]
-        if self.options.value_format == "schema_json":
-            keys.append("message_schema")
-        profile = self.routed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()
+        if self.schema_key is not None:
+            keys.append(self.schema_key)
+        most = self.options.max_destinations
+        if most is not None:
+            tables = self.routed.groupBy("dest_table").agg(F.count(F.lit(1)).alias("n"))
+            sizes = tables.limit(most + 1).collect()
+            if len(sizes) > most:
+                listed = ", ".join(f"{r['dest_table']}: {r['n']}" for r in sizes[:20])
+                raise TooManyDestinations(f"more than {most} destinations, among them {listed}")
+        first = F.min(F.struct(*ARRIVAL)).alias("first")
+        return self.routed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), first).collect()
+
+    def _run(self) -> dict[str, dict[str, int]]:
+        profile = self._profile()
         counts: dict[str, dict[str, int]] = {}
         early = 0
-        self.texts: dict[str, set[str]] = {}
+        self.schemas: dict[str, set] = {}
         names = sorted({r["dest_table"] for r in profile if r["reason"] is None})
         for row in profile:
             table = counts.setdefault(row["dest_table"] or "", {"accepted": 0, "refused": 0})
             if row["reason"] is not None:
                 table["refused"] += row["n"]
                 early += row["n"]
-            elif "message_schema" in keys:
-                self.texts.setdefault(row["dest_table"], set()).add(row["message_schema"])
+            elif self.schema_key is not None:
+                self.schemas.setdefault(row["dest_table"], set()).add(row[self.schema_key])
         if early and self.options.on_error == "fail":
             stop_on_refusal(self.routed).write.format("noop").mode("overwrite").save()
-        arrivals = self._arrivals(names)
+        if early:
+            self._quarantine(None, self.routed.where(F.col("reason").isNotNull()))
+        arrivals = self._arrivals(names, [r for r in profile if r["reason"] is None])
         with ThreadPoolExecutor(self.options.parallel_tables) as pool:
             outcomes = list(pool.map(lambda name: self._load(name, arrivals.get(name, [])), names))
-        refused = [self.routed.where(F.col("reason").isNotNull())] if early else []
-        for name, (accepted, bad, frame) in zip(names, outcomes):
+        for name, (accepted, bad) in zip(names, outcomes):
             counts[name]["accepted"] += accepted
             counts[name]["refused"] += bad
-            if bad and frame is not None:
-                refused.append(frame)
-        self._write_quarantine(refused)
         return counts
 
-    def _write_quarantine(self, refused: list[DataFrame]) -> None:
-        if not refused:
-            return
-        merged = quarantine_shape(refused[0])
-        for frame in refused[1:]:
-            merged = merged.unionByName(quarantine_shape(frame))
+    def _quarantine(self, name: str | None, refused: DataFrame) -> None:
+        """Store refused rows of a table (or of none) as a batch of their own; on a replay they are there."""
+        rows = quarantine_shape(refused)
         state = self.tables.state(QUARANTINE)
         if state is None:
-            state = TableState(QUARANTINE, merged.schema)
-            self.tables.commit(state)
-        self.tables.append(state, merged, self.label)
+            try:
+                state = self.tables.create_unchecked(QUARANTINE, rows.schema)
+            except StaleState:
+                state = self.tables.require(QUARANTINE)
+        self.tables.write(state, rows, f"{self.label}~{name or ''}")
 
-    def _arrivals(self, names: Sequence[str]) -> dict[str, list[_Arrival]]:
+    def _arrivals(self, names: Sequence[str], profile: Sequence[Row]) -> dict[str, list[_Arrival]]:
         """Versions of each table in the batch, earliest first, with their columns."""
         usable = self.routed.where(F.col("reason").isNull())
         found: dict[str, list[_Arrival]] = {}
@@ -223,7 +260,9 @@ class _Batch:
                 found = {n: [_Arrival(None, T.StructType())] for n in names if n not in new}
             if new and self.options.create_table:
                 rows = usable.where(
-                    F.col("dest_table").isin(new) & F.json_object_keys("value").isNotNull()
+                    F.col("dest_table").isin(new)
+                    & F.json_object_keys("value").isNotNull()
+                    & F.try_parse_json("value").isNotNull()
                 )
                 columns: dict[str, list] = {}
                 for table, *column in infer_schemas(rows, self.options.infer).collect():
@@ -231,29 +270,22 @@ class _Batch:
                 for name in new:
                     found[name] = [_inferred(columns.get(name, []))]
             return found
-        seen, missing = set(), False
-        for name in names:
-            state = self.tables.state(name)
-            missing = missing or state is None
-            if state is not None:
-                seen |= {(name, v) for v in (*state.versions.known, *state.versions.blocked)}
-        keys = ["dest_table", "schema_version"]
+        # The profile has the first message of each version already; known versions are left to the match.
+        firsts: dict[tuple, Row] = {}
+        for row in sorted(profile, key=lambda r: tuple((v is not None, v) for v in r["first"])):
+            firsts.setdefault((row["dest_table"], row["schema_version"]), row)
         typed = self.options.value_format == "struct"
-        extra = [] if typed else ["message_schema"]
-        if not self.options.matches_versions and self.options.evolve and not missing:
-            return found
-        unseen = ~version_mark().isin([version_text(*pair) for pair in seen]) if seen else F.lit(True)
-        firsts = first_rows(usable.where(unseen), keys, ARRIVAL, [*ARRIVAL, *extra]).collect()
-        firsts.sort(key=lambda r: tuple((r[c] is not None, r[c]) for c in ARRIVAL))
-        for row in firsts:
+        for (name, version), row in firsts.items():
             if typed:
-                arrival = _checked(row["schema_version"], self.routed.schema["value"].dataType)
+                arrival = _checked(version, self.routed.schema["value"].dataType)
+            elif self.options.value_format == "registry":
+                arrival = _checked(version, self.options.registry[row["schema_id"]].columns)
             else:
-                arrival = _declared(row["schema_version"], row["message_schema"])
-            found.setdefault(row["dest_table"], []).append(arrival)
+                arrival = _declared(version, row["message_schema"])
+            found.setdefault(name, []).append(arrival)
         return found
 
-    def _load(self, name: str, arrivals: list[_Arrival]) -> tuple[int, int, DataFrame | None]:
+    def _load(self, name: str, arrivals: list[_Arrival]) -> tuple[int, int]:
         """Load one table; when it changed meanwhile, read its state again and start over."""
         for attempt in range(self.options.retry_count + 1):
             try:
@@ -263,7 +295,7 @@ class _Batch:
                     raise
         raise AssertionError("unreachable")
 
-    def _load_once(self, name: str, arrivals: list[_Arrival]) -> tuple[int, int, DataFrame | None]:
+    def _load_once(self, name: str, arrivals: list[_Arrival]) -> tuple[int, int]:
         state = self.tables.state(name)
         rows = self.routed.where((F.col("dest_table") == name) & F.col("reason").isNull())
         if state is None:
@@ -272,9 +304,8 @@ class _Batch:
                 bad = rows.withColumn("reason", F.lit(refusal))
                 if self.options.on_error == "fail":
                     stop_on_refusal(bad).write.format("noop").mode("overwrite").save()
-                return 0, bad.count(), bad
-        if state.primary_key and state.batches.get(self.job, -1) >= self.batch_id:
-            return 0, 0, None
+                self._quarantine(name, bad)
+                return 0, bad.count()
         state, rejected = self._match(state, arrivals)
         gated = version_gate(rows, [(name, v) for v in state.versions.blocked])
         for version, reason in rejected.items():
@@ -287,18 +318,19 @@ class _Batch:
             good = stop_on_refusal(observed)
         else:
             good = observed.where(F.col("reason").isNull())
-        if state.primary_key:
-            order = [F.col(c).alias(f"_arrival_{c}") for c in ARRIVAL]
-            good = good.select("record.*", *order)
-            state = self.tables.merge(
-                state, good, [f"_arrival_{c}" for c in ARRIVAL], self.options.mode, self.label
-            )
-            self.tables.commit(state.after(self.job, self.batch_id))
-        else:
-            self.tables.append(state, good.select("record.*"), self.label)
+        if self.tables.has_batch(name, self.label):
+            # A replay: count again, write nothing.
+            observed.write.format("noop").mode("overwrite").save()
+            return watch.get["accepted"], watch.get["refused"]
+        order = [F.col(c).alias(f"__arrival_{c}") for c in ARRIVAL]
+        mode = self.options.mode if state.primary_key else APPEND
+        staged = self.tables.stage(state, good.select("record.*", *order), [f"__arrival_{c}" for c in ARRIVAL], mode)
         metrics = watch.get
-        bad = projected.where(F.col("reason").isNotNull())
-        return metrics["accepted"], metrics["refused"], bad
+        # Refused rows are stored before the table's batch shows, so no crash in between can lose them.
+        if metrics["refused"]:
+            self._quarantine(name, projected.where(F.col("reason").isNotNull()))
+        self.tables.publish(state, staged, mode, self.label)
+        return metrics["accepted"], metrics["refused"]
 
     def _create(
         self, name: str, arrivals: list[_Arrival]
@@ -351,23 +383,17 @@ class _Batch:
                 "bad_value": F.lit(None).cast("string"),
             }
         )
-        for text in sorted(self.texts[state.name]):
-            mine = rows.where(F.col("reason").isNull() & (F.col("message_schema") == text))
-            payload = decode_payload(mine, schema_from_message(text))
-            part = project(payload, state.schema, source="payload").drop("payload")
-            out = out.unionByName(part)
+        out = out.drop("payload")
+        for schema in sorted(self.schemas[state.name]):
+            mine = rows.where(F.col("reason").isNull() & (F.col(self.schema_key) == schema))
+            if self.options.value_format == "registry":
+                opened, body = decode_registered(mine, self.options.registry[schema]), "body"
+            else:
+                opened, body = decode_payload(mine, schema_from_message(schema)), "payload"
+            out = out.unionByName(project(opened, state.schema, source=body).drop(body))
         return out
 
 
-def version_mark() -> Column:
-    version = F.coalesce(F.col("schema_version").cast("string"), F.lit(""))
-    return F.concat(version, F.lit("@"), F.col("dest_table"))
-
-
-def version_text(table: str, version: Version) -> str:
-    return f"{'' if version is None else version}@{table}"
-
-
 def _inferred(columns: list) -> _Arrival:
     if not columns:
         return _Arrival(None, None, NO_FIELDS)

@@ -33,16 +33,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 LONG, INT, DOUBLE, FLOAT = T.LongType(), T.IntegerType(), T.DoubleType(), T.FloatType()
 STRING, BINARY = T.StringType(), T.BinaryType()
 
-# Buckets of the keyed tables that queries write: sized for the driver's scale factors.
-_BUCKETS = 8
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def new_tables(spark: SparkSession, label: str) -> Tables:
-    return Tables(spark, scratch_path(spark, label), buckets=_BUCKETS)
+    return Tables(spark, scratch_path(spark, label))
 
 
 def cents(value: str | Column) -> Column:
@@ -510,7 +507,7 @@ def append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     state = tables.create("lineitem", lines.schema)
     for flag in ("A", "N", "R"):
-        state = tables.append(state, lines.where(F.col("l_returnflag") == flag), f"batch-{flag}")
+        tables.write(state, lines.where(F.col("l_returnflag") == flag), f"batch-{flag}")
     return tables.read("lineitem").groupBy("l_returnflag", "l_linenumber").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("l_orderkey").alias("order_keys"),
@@ -537,9 +534,8 @@ def upsert_into(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = new_tables(spark, "upserted")
     customers = table(spark, sf_dir, "customer").select(*CUSTOMER)
     state = tables.create("customer", customers.schema, primary_key=["c_custkey"])
-    state = tables.commit(tables.merge(state, customers, ["c_custkey"], "upsert", "load"))
-    changes = _customer_changes(spark, sf_dir)
-    tables.commit(tables.merge(state, changes, ["o_orderkey"], "upsert", "change"))
+    tables.write(state, customers, "load", ["c_custkey"], "upsert")
+    tables.write(state, _customer_changes(spark, sf_dir), "change", ["o_orderkey"], "upsert")
     return tables.read("customer")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
@@ -43,17 +44,43 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
     """Publish a whole file under a new name.  Readers see all of it or nothing."""
-    fs, target = _fs(spark, path)
     folder, name = path.rsplit("/", 1)
-    _, draft = _fs(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
+    fs, draft = _fs(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
     stream = fs.create(draft, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    if fs.exists(target) or not fs.rename(draft, target):
+    try:
+        move_new(spark, draft.toString(), path)
+    except AlreadyExists:
         fs.delete(draft, False)
-        raise AlreadyExists(path)
+        raise
+
+
+def move_new(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder to a name that must not exist: the file system replaces nothing."""
+    jvm = spark.sparkContext._jvm
+    fs, new = _fs(spark, target)
+    fs.mkdirs(new.getParent())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri(),
+        spark.sparkContext._jsc.hadoopConfiguration(),
+    )
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    try:
+        context.rename(fs.makeQualified(jvm.org.apache.hadoop.fs.Path(source)), fs.makeQualified(new), options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            raise AlreadyExists(target) from error
+        raise
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target)
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
@@ -61,8 +88,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def empty_folder(spark: SparkSession, path: str) -> None:
+    for name in list_names(spark, path):
+        delete_folder(spark, f"{path}/{name}")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster shares for intermediate tables, from `spark.checkpoint.dir`.
+    """The folder for intermediate tables, `spark.checkpoint.dir`: shared by driver and executors.
 
     A session without that setting gets a temporary folder, but only where driver and executors are
     one process; on a cluster a machine-local folder would lose data, so it is an error.

@@ -1,40 +1,35 @@
-"""Destination tables as folders of parquet files with a small state file.
+"""Destination tables as folders of parquet files: one folder per batch, and small schema files.
 
-A table is `<root>/<namespace>.db/<name>`, or `<root>/<name>` without namespace: data folders named
-after the batch that wrote them, and numbered state files of which the highest counts.  The state holds the schema, the schema versions
-seen, the last batch of each job and, for keyed tables, which batch folders hold each key bucket.
+A table is `<root>/<namespace>.db/<name>`, or `<root>/<name>` without namespace.  `_state/` holds numbered schema
+files, of which the highest counts; they are few and never pruned.  `data/` holds one folder per batch,
+named after the batch's number, its mode and its label.  A batch is written aside and renamed into place: it is
+visible whole or not at all, and a label that is there already is a replay.
 
-Publishing a state file makes a batch visible in one step.  Keyed tables are spread over buckets by
-key hash, and a batch rewrites only the buckets it has keys for; inserting absent keys rewrites none.
+Keyed tables are only ever added to as well: reading takes one row per key, of the newest upsert or else of
+the oldest insert.  A batch of ten rows therefore writes ten rows, whatever the size of the table.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.types import check_names, check_flat
+from ..functions.types import UnsupportedSchema, check_flat, check_names
 from ..operators.evolve import Versions
-from ..operators.merge import absent_only, one_per_key
+from ..operators.merge import one_per_key
 from . import files
 
-DEFAULT_BUCKETS = 64
-
-# A bucket spread over this many batch folders is rewritten into one by the next batch.
-COMPACT_AFTER = 32
-
-# State files kept for readers that hold an older revision.
-STATES_KEPT = 50
-
-_BUCKET = "_bucket"
-
-
+# Column of the batch a row came with, taken from the folder's name.
+_BATCH = "__batch"
 _NAMESPACE = ".db"
 
+APPEND, UPSERT, INSERT = "append", "upsert", "insert_if_absent"
+
 
 def _folder(name: str) -> str:
     """A name as one folder name: no separators, no dot-only names, nothing hidden."""
@@ -50,20 +45,17 @@ class NoSuchTable(LookupError):
     """The destination table does not exist and may not be created."""
 
 
+class JobInUse(RuntimeError):
+    """A job name belongs to another stream, whose batches carry the same numbers."""
+
+
 @dataclass(frozen=True)
 class TableState:
     name: str
     schema: T.StructType
     primary_key: tuple[str, ...] = ()
     versions: Versions = Versions()
-    buckets: int = DEFAULT_BUCKETS
     revision: int = 0
-    batches: dict[str, int] = field(default_factory=dict)
-    folders: dict[str, list[str]] = field(default_factory=dict)
-
-    def after(self, job: str, batch_id: int) -> TableState:
-        """The state with a job's batch marked as done."""
-        return replace(self, batches={**self.batches, job: batch_id})
 
     def to_json(self) -> str:
         return json.dumps(
@@ -73,10 +65,7 @@ class TableState:
                 "primary_key": self.primary_key,
                 "known": self.versions.known,
                 "blocked": self.versions.blocked,
-                "buckets": self.buckets,
                 "revision": self.revision,
-                "batches": self.batches,
-                "folders": self.folders,
             }
         )
 
@@ -88,20 +77,34 @@ class TableState:
             schema=T.StructType.fromJson(doc["schema"]),
             primary_key=tuple(doc["primary_key"]),
             versions=Versions(tuple(doc["known"]), tuple(doc["blocked"])),
-            buckets=doc["buckets"],
             revision=doc["revision"],
-            batches=doc["batches"],
-            folders=doc["folders"],
         )
 
 
+@dataclass(frozen=True)
+class BatchName:
+    """Number, mode and label of a batch, as its folder is named."""
+
+    number: int
+    mode: str
+    label: str
+
+    @property
+    def folder(self) -> str:
+        return f"{_BATCH}={self.number:012d}.{self.mode}.{quote(self.label, safe='')}"
+
+    @staticmethod
+    def of(folder: str) -> BatchName:
+        number, mode, label = folder.removeprefix(f"{_BATCH}=").split(".", 2)
+        return BatchName(int(number), mode, unquote(label))
+
+
 class Tables:
     """The tables under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS) -> None:
+    def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
 
     def path(self, name: str) -> str:
         """Folder of a table.  Names come from messages, so they are escaped to stay under the root."""
@@ -110,13 +113,17 @@ class Tables:
             return f"{self.root}/{_folder(name)}"
         return f"{self.root}/{_folder(namespace)}{_NAMESPACE}/{_folder(table)}"
 
+    def data_path(self, name: str) -> str:
+        return f"{self.path(name)}/data"
+
     def _state_path(self, name: str, revision: int) -> str:
         return f"{self.path(name)}/_state/{revision:012d}.json"
 
+    def _revisions(self, name: str) -> list[str]:
+        return [n for n in files.list_names(self.spark, f"{self.path(name)}/_state") if n.endswith(".json")]
+
     def state(self, name: str) -> TableState | None:
-        revisions = [
-            n for n in files.list_names(self.spark, f"{self.path(name)}/_state") if n.endswith(".json")
-        ]
+        revisions = self._revisions(name)
         if not revisions:
             return None
         return TableState.from_json(
@@ -146,132 +153,129 @@ class Tables:
         schema: T.StructType,
         primary_key: Sequence[str] = (),
         versions: Versions = Versions(),
-        buckets: int | None = None,
     ) -> TableState:
         """Create a table, and its namespace folder with it."""
-        check_flat(schema)
+        _check_columns(schema)
         missing = set(primary_key) - set(schema.names)
         if missing:
             raise ValueError(f"primary key columns not in schema: {sorted(missing)}")
-        state = TableState(
-            name, schema, tuple(primary_key), versions, buckets or self.buckets
-        )
-        try:
-            files.create_text(self.spark, self._state_path(name, 0), state.to_json())
-        except files.AlreadyExists as error:
-            raise StaleState(f"table {name} was created meanwhile") from error
-        return state
+        return self._publish_state(TableState(name, schema, tuple(primary_key), versions))
+
+    def create_unchecked(self, name: str, schema: T.StructType) -> TableState:
+        """A table of the library's own, whose columns need not be those of messages."""
+        return self._publish_state(TableState(name, schema))
 
-    def commit(self, state: TableState) -> TableState:
-        """Publish the successor of the state read before; fails when someone else was faster."""
-        newer = replace(state, revision=state.revision + 1)
+    def _publish_state(self, state: TableState) -> TableState:
         try:
-            files.create_text(
-                self.spark, self._state_path(state.name, newer.revision), newer.to_json()
-            )
+            files.create_text(self.spark, self._state_path(state.name, state.revision), state.to_json())
         except files.AlreadyExists as error:
             raise StaleState(f"table {state.name} changed meanwhile") from error
-        files.delete_folder(
-            self.spark, self._state_path(state.name, newer.revision - STATES_KEPT)
-        )
-        return newer
+        return state
+
+    def check_current(self, state: TableState) -> None:
+        """Fail when the state is not the table's latest one any more."""
+        revisions = self._revisions(state.name)
+        if not revisions or max(revisions) != f"{state.revision:012d}.json":
+            raise StaleState(f"table {state.name} changed meanwhile")
 
     def alter(self, state: TableState, schema: T.StructType, versions: Versions) -> TableState:
         """Publish an evolved schema; files stay as they are and read with nulls or defaults."""
         if schema == state.schema and versions == state.versions:
             return state
-        check_names(schema)
-        return self.commit(replace(state, schema=schema, versions=versions))
+        _check_columns(schema)
+        self.check_current(state)
+        return self._publish_state(
+            replace(state, schema=schema, versions=versions, revision=state.revision + 1)
+        )
+
+    def claim(self, job: str, source: str) -> None:
+        """Bind a job name to the stream (or caller) it numbers batches of; another one may not use it."""
+        path = f"{self.root}/_jobs.db/{_folder(job)}"
+        try:
+            files.create_text(self.spark, path, source)
+        except files.AlreadyExists:
+            owner = files.read_text(self.spark, path)
+            if owner != source:
+                raise JobInUse(f"job {job} belongs to {owner or 'batch calls'}, not to {source or 'batch calls'}") from None
+
+    def batches(self, name: str) -> list[BatchName]:
+        """The published batches of a table, in order."""
+        found = files.list_names(self.spark, self.data_path(name))
+        return [BatchName.of(n) for n in found if n.startswith(f"{_BATCH}=")]
+
+    def has_batch(self, name: str, label: str) -> bool:
+        return any(b.label == label for b in self.batches(name))
 
     def read(self, name: str) -> DataFrame:
+        """All rows, or of a keyed table one row per key."""
         state = self.require(name)
+        rows = self._rows(state)
         if state.primary_key:
-            return self._read_buckets(state, state.folders)
-        data = f"{self.path(name)}/data"
-        return self._read(state, [data] if files.exists(self.spark, data) else [])
-
-    def _read(self, state: TableState, paths: Sequence[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], state.schema)
-        reader = self.spark.read.schema(state.schema).option("recursiveFileLookup", "true")
-        return reader.parquet(*paths)
-
-    def _read_buckets(self, state: TableState, buckets) -> DataFrame:
-        paths = [
-            f"{self.path(state.name)}/data/{folder}/{_BUCKET}={bucket}"
-            for bucket in buckets
-            for folder in state.folders.get(str(bucket), ())
-        ]
-        return self._read(state, paths)
-
-    def append(self, state: TableState, rows: DataFrame, batch: str) -> TableState:
-        """Add rows of the table's columns.  Writing a batch again replaces what it wrote before."""
-        rows.write.mode("overwrite").parquet(f"{self.path(state.name)}/data/{batch}")
-        return state
-
-    def merge(
-        self,
-        state: TableState,
-        rows: DataFrame,
-        order: Sequence[Column | str],
-        mode: str,
-        batch: str,
-    ) -> TableState:
-        """Upsert or insert-if-absent rows of a keyed table, and publish the outcome.
-
-        The batch is reduced to one row per key before it meets the table.  Only buckets with keys in
-        the batch are read; whether the reduced batch is broadcast is left to its measured size.
-        """
-        keys = list(state.primary_key)
-        names = state.schema.names
-        keep = "last" if mode == "upsert" else "first"
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(state.buckets)).cast("int")
-        reduced = one_per_key(rows, keys, order, keep).select(*names, bucket.alias(_BUCKET)).persist()
+            number = F.substring(_BATCH, 1, 12).cast("bigint")
+            # Upserts count from the newest down; inserts only where there are none, from the oldest up.
+            inserted = F.substring_index(F.substring(_BATCH, 14, 40), ".", 1) == INSERT
+            rank = F.when(inserted, -number).otherwise(number)
+            rows = one_per_key(rows, state.primary_key, [rank, _BATCH], "last")
+        return rows.select(*[F.col(f"`{c}`") for c in state.schema.names])
+
+    def _rows(self, state: TableState) -> DataFrame:
+        schema = T.StructType([*state.schema.fields, T.StructField(_BATCH, T.StringType())])
+        if not self.batches(state.name):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.data_path(state.name))
+
+    def stage(
+        self, state: TableState, rows: DataFrame, order: Sequence[Column | str] = (), mode: str = APPEND
+    ) -> str:
+        """Write a batch aside; returns its folder.  Rows of a keyed table are reduced to one per key."""
+        if state.primary_key:
+            if mode not in (UPSERT, INSERT):
+                raise ValueError(f"mode is {UPSERT!r} or {INSERT!r}, not {mode!r}")
+            rows = one_per_key(rows, state.primary_key, order, "last" if mode == UPSERT else "first")
+        folder = f"{self.path(state.name)}/_staged/{uuid.uuid4().hex}"
+        rows.select(*[F.col(f"`{c}`") for c in state.schema.names]).write.parquet(folder)
+        return folder
+
+    def publish(self, state: TableState, staged: str, mode: str, label: str) -> bool:
+        """Make a staged batch visible in one step.  A batch of that label already there wins: returns False."""
         try:
-            touched = sorted(r[0] for r in reduced.select(_BUCKET).distinct().collect())
-            if not touched:
-                return state
-            existing = self._read_buckets(state, touched)
-            deep = any(len(state.folders.get(str(b), ())) >= COMPACT_AFTER for b in touched)
-            if mode == "upsert":
-                kept = existing.join(reduced.select(*keys), keys, "left_anti").select(*names)
-                out = kept.withColumn(_BUCKET, bucket).unionByName(reduced)
-            elif mode == "insert_if_absent":
-                out = absent_only(reduced, existing, keys).select(*names, _BUCKET)
-                if deep:
-                    out = existing.withColumn(_BUCKET, bucket).unionByName(out)
-            else:
-                raise ValueError(f"mode is 'upsert' or 'insert_if_absent', not {mode!r}")
-            folder = f"{self.path(state.name)}/data/{batch}"
-            # Rows of a bucket meet in few files; the rebalance also splits buckets that grew large.
-            out.hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET).parquet(folder)
-        finally:
-            reduced.unpersist()
-        written = [
-            name.split("=", 1)[1]
-            for name in files.list_names(self.spark, folder)
-            if name.startswith(_BUCKET + "=")
-        ]
-        folders = dict(state.folders)
-        for name in written:
-            replaced = mode == "upsert" or deep
-            folders[name] = [batch] if replaced else [*folders.get(name, ()), batch]
-        return replace(state, folders=folders)
-
-    def vacuum(self, name: str) -> list[str]:
-        """Delete batch folders no bucket of a keyed table refers to; returns their names.
-
-        Readers of older states lose their files, so run it when none are active.
+            self.check_current(state)
+        except StaleState:
+            files.delete_folder(self.spark, staged)
+            raise
+        known = self.batches(state.name)
+        if any(b.label == label for b in known):
+            files.delete_folder(self.spark, staged)
+            return False
+        number = 1 + max((b.number for b in known), default=0)
+        mode = mode if state.primary_key else APPEND
+        files.move_new(self.spark, staged, f"{self.data_path(state.name)}/{BatchName(number, mode, label).folder}")
+        return True
+
+    def write(
+        self, state: TableState, rows: DataFrame, label: str, order: Sequence[Column | str] = (), mode: str = APPEND
+    ) -> bool:
+        """Stage and publish a batch; returns False, without reading the rows, when the label is a replay."""
+        if self.has_batch(state.name, label):
+            return False
+        return self.publish(state, self.stage(state, rows, order, mode), mode, label)
+
+    def compact(self, name: str) -> None:
+        """Rewrite a keyed table into one batch.  Replaced folders stay, empty, as the record of their batches.
+
+        Batches published meanwhile stay newer.  Readers that started before lose their files, so run it when
+        none are active.
         """
         state = self.require(name)
-        if not state.primary_key:
-            return []
-        data = f"{self.path(name)}/data"
-        live = {folder for folders in state.folders.values() for folder in folders}
-        dead = [n for n in files.list_names(self.spark, data) if n not in live]
-        for folder in dead:
-            files.delete_folder(self.spark, f"{data}/{folder}")
-        return dead
+        known = self.batches(name)
+        if not state.primary_key or len(known) < 2:
+            return
+        staged = f"{self.path(name)}/_staged/{uuid.uuid4().hex}"
+        self.read(name).write.parquet(staged)
+        whole = BatchName(known[-1].number, UPSERT, f"~compacted-{uuid.uuid4().hex}")
+        files.move_new(self.spark, staged, f"{self.data_path(name)}/{whole.folder}")
+        for batch in known:
+            files.empty_folder(self.spark, f"{self.data_path(name)}/{batch.folder}")
 
     def create_views(self) -> list[str]:
         """Register every table as a temporary view, dots as underscores."""
@@ -279,3 +283,10 @@ class Tables:
         for view, name in views.items():
             self.read(name).createOrReplaceTempView(view)
         return list(views)
+
+
+def _check_columns(schema: T.StructType) -> None:
+    check_flat(schema)
+    check_names(schema)
+    if _BATCH in (name.lower() for name in schema.names):
+        raise UnsupportedSchema(f"{_BATCH} is the name of the batch column")

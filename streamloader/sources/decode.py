@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.once import compute_once
 from ..functions.types import MESSAGE_TYPES, UnsupportedSchema, check_names, column, is_flat, message_type
@@ -16,6 +17,7 @@ WIRE_HEADER_BYTES = 5
 
 NO_SCHEMA = "NO_SCHEMA"
 BAD_WIRE_HEADER = "BAD_WIRE_HEADER"
+UNKNOWN_SCHEMA = "UNKNOWN_SCHEMA"
 BAD_PAYLOAD = "BAD_PAYLOAD"
 UNSUPPORTED_RECORD = "UNSUPPORTED_RECORD"
 
@@ -121,19 +123,63 @@ def wire_header(df: DataFrame, value: str = "value_bytes") -> DataFrame:
     )
 
 
-def decode_registry(df: DataFrame, avro_schemas: Mapping[int, str]) -> dict[int, DataFrame]:
-    """One typed frame per registered Avro schema; needs Spark's Avro package on the classpath.
+@dataclass(frozen=True)
+class RegisteredSchema:
+    """A schema of a registry: the record's name and version, its columns, and how its bytes are read.
 
-    `avro_schemas` maps registry ids to schema text.  Messages with an id outside it are the
-    caller's to reject, as `wire_header(df)` leaves them in place.
+    `decode` turns the body (bytes) into a struct of the columns, null where it cannot be read.
     """
-    from pyspark.sql.avro.functions import from_avro
-
-    header = wire_header(df)
-    frames = {}
-    for schema_id, text in avro_schemas.items():
-        if json.loads(text).get("type") != "record":
-            raise UnsupportedSchema(f"schema {schema_id}: top level must be a record")
-        rows = header.where(F.col("schema_id") == schema_id)
-        frames[schema_id] = rows.withColumn("record", from_avro(F.col("payload"), text)).drop("payload")
-    return frames
+
+    name: str
+    version: int
+    columns: T.StructType
+    decode: Callable[[Column], Column]
+
+
+def json_body(columns: T.StructType) -> Callable[[Column], Column]:
+    """Bodies that are JSON texts."""
+    plain = T.StructType([T.StructField(f.name, f.dataType) for f in columns.fields])
+    return lambda body: F.from_json(F.decode(body, "UTF-8"), plain)
+
+
+def avro_body(schema: str) -> Callable[[Column], Column]:
+    """Bodies in Avro's binary form; needs Spark's Avro package on the classpath."""
+    if json.loads(schema).get("type") != "record":
+        raise UnsupportedSchema("the top level of an Avro schema must be a record")
+
+    def decode(body: Column) -> Column:
+        from pyspark.sql.avro.functions import from_avro
+
+        return from_avro(body, schema, {"mode": "PERMISSIVE"})
+
+    return decode
+
+
+def open_registry(df: DataFrame, registry: Mapping[int, RegisteredSchema], value: str = "value_bytes") -> DataFrame:
+    """Split framed messages and name their schema: `schema_id`, `payload`, `schema_name`, `schema_version`.
+
+    Messages with a bad header or an id that the registry lacks get a reason; their bytes are kept as base64
+    text in `value`, as are all others'.
+    """
+    out = wire_header(df, value)
+
+    def known(part: str) -> Column:
+        pairs = [x for key, s in registry.items() for x in (F.lit(key).cast("bigint"), F.lit(getattr(s, part)))]
+        return F.create_map(*pairs)[F.col("schema_id")] if pairs else F.lit(None)
+
+    listed = F.col("schema_id").isin([int(k) for k in registry])
+    return out.withColumns(
+        {
+            "schema_name": known("name").cast("string"),
+            "schema_version": known("version").cast("int"),
+            "value": F.base64(F.col(value)),
+            "reason": F.coalesce("reason", F.when(~listed, F.lit(UNKNOWN_SCHEMA))),
+        }
+    ).drop(value)
+
+
+def decode_registered(df: DataFrame, schema: RegisteredSchema) -> DataFrame:
+    """Read opened bodies of one schema into `body`; those that cannot be read are refused."""
+    out = compute_once(df, "body", schema.decode(F.col("payload")))
+    reason = F.when(F.col("body").isNull(), F.lit(BAD_PAYLOAD))
+    return out.withColumn("reason", F.coalesce("reason", reason)).drop("payload")

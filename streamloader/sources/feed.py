@@ -2,81 +2,69 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.types import UnsupportedSchema, is_flat
-from ..sinks.files import scratch_path
+from ..sinks import files
+from ..sinks.files import shared_folder
+from ..sinks.tables import Tables
 from .decode import message_schema
 from .messages import ENVELOPE_COLUMNS, json_value
 
-# Row counts of up to this many files are broadcast to number the rows.
-MAX_BROADCAST_FILES = 100_000
-
-
-def _is_plain_read(df: DataFrame) -> bool:
-    """Whether the frame is all rows of parquet files, columns aside."""
-    node = df._jdf.queryExecution().analyzed()
-    while node.nodeName() in ("Project", "SubqueryAlias"):
-        node = node.children().head()
-    return node.nodeName() == "LogicalRelation" and "parquet" in node.toString()
-
-
-def _file_place(path: str) -> tuple[int, str]:
-    """Sort key of a data file: its task number, then its name."""
-    part = re.search(r"/part-(\d+)-[^/]*$", path)
-    return (int(part.group(1)) if part else 0, path)
-
-
-def number_rows(df: DataFrame, order: Sequence[str] | None = None, start: int = 0) -> DataFrame:
+def number_rows(
+    df: DataFrame, order: Sequence[str] | None = None, start: int = 0, stable: bool = False
+) -> DataFrame:
     """Add a dense running number `sequence` from `start`.
 
-    Nothing passes through one task: a row's number is (rows in earlier files) + (place in its
-    file), from the row index parquet readers expose.  A plain parquet read without a wanted order
-    is numbered where it lies.  Any other frame is written to the shared folder first, sorted when an
-    order is given, which also keeps the numbers stable when executors are lost.
+    Nothing passes through one task: a row's number is (rows in earlier partitions) + (place in its
+    partition).  The frame is first written to the shared folder (a checkpoint, which Spark removes with
+    the frame), sorted when an order is given, so the numbers stay the same when executors are lost.
+    `stable` says that the frame has the same partitions whenever it is computed, as a plain scan
+    of files has; it is then numbered where it lies.
     """
     spark = df.sparkSession
     names = df.columns
-    if order is not None or not _is_plain_read(df):
-        if order is not None:
-            # The row id breaks ties, so equal order values cannot pile up in one range partition.
-            tied = df.withColumn("_tie", F.monotonically_increasing_id())
-            df = tied.orderBy(*order, "_tie").drop("_tie")
-        path = scratch_path(spark, "numbered")
-        df.write.parquet(path)
-        df = spark.read.schema(df.schema).parquet(path)
-    placed = df.select(
-        *[F.col(f"`{c}`") for c in names],
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_place"),
+    if order is not None:
+        # The row id breaks ties, so equal order values cannot pile up in one range partition.
+        tied = df.withColumn("__tie", F.monotonically_increasing_id())
+        df = tied.orderBy(*order, "__tie").drop("__tie")
+    if order is not None or not stable:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        df = df.checkpoint()
+    # The id holds the partition's number in its upper bits and the row's place in the lower 33.
+    placed = df.withColumn("__id", F.monotonically_increasing_id()).withColumn("__part", F.shiftright("__id", 33))
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    firsts = sizes.select(
+        "__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n") + start).alias("__first")
     )
-    # One row per file reaches the driver; the table's rows never do.
-    sizes = dict(placed.groupBy("_file").agg(F.count(F.lit(1))).collect())
-    firsts, total = [], start
-    for file in sorted(sizes, key=_file_place):
-        firsts.append((file, total))
-        total += sizes[file]
-    offsets = spark.createDataFrame(firsts, "_file string, _first bigint")
-    if len(firsts) <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    numbered = placed.join(offsets, "_file")
-    return numbered.select(
-        (F.col("_first") + F.col("_place")).alias("sequence"), *[F.col(f"`{c}`") for c in names]
-    )
-
-
-def _checked(schema: T.StructType) -> T.StructType:
-    bad = [f.name for f in schema.fields if not is_flat(f.dataType)]
+    # One row per partition: no more than the driver already keeps for them.
+    numbered = placed.join(F.broadcast(firsts), "__part")
+    place = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.select((F.col("__first") + place).alias("sequence"), *[F.col(f"`{c}`") for c in names])
+
+
+def as_message_columns(df: DataFrame) -> DataFrame:
+    """Times and dates as epoch milliseconds in `timestamp` columns; any other column must be flat."""
+    times = (T.TimestampType, T.TimestampNTZType, T.DateType)
+    columns, bad = [], []
+    for f in df.schema.fields:
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, times):
+            columns.append(F.unix_millis(value.cast("timestamp")).alias(f.name, metadata={"properties": ["timestamp"]}))
+        elif is_flat(f.dataType):
+            columns.append(value)
+        else:
+            bad.append(f.name)
     if bad:
         raise UnsupportedSchema("no message type for columns: " + ", ".join(bad))
-    return schema
+    return df.select(*columns)
 
 
 def _packed(df: DataFrame, table: str, topic_prefix: str, version: int, key: Column) -> DataFrame:
-    schema = _checked(T.StructType([f for f in df.schema.fields if f.name != "sequence"]))
+    schema = T.StructType([f for f in df.schema.fields if f.name != "sequence"])
     return df.select(
         F.lit(f"{topic_prefix}{table}").alias("topic"),
         F.lit(0).alias("partition"),
@@ -97,15 +85,16 @@ def change_feed(
     schema_version: int = 1,
     order: Sequence[str] | None = None,
     start: int = 0,
+    stable: bool = False,
 ) -> DataFrame:
     """Every row of an append-only table as a message.
 
     Topic = prefix + table, key and offset = running number, value = the row as JSON with nulls kept,
-    schema = the table's columns.  Updates and deletes are not part of a feed.
+    schema = the table's columns, times as epoch milliseconds.  Updates and deletes are not part of a
+    feed.  `stable` is as in `number_rows`.
     """
     table = table.strip()
-    _checked(df.schema)
-    numbered = number_rows(df, order, start)
+    numbered = number_rows(as_message_columns(df), order, start, stable)
     return _packed(numbered, table, topic_prefix, schema_version, F.col("sequence"))
 
 
@@ -153,23 +142,44 @@ def stream_feed(
     schema_version: int = 1,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Rows arriving in a folder as unnumbered messages; `write_feed` numbers them per batch.
+    """Rows arriving in a folder or below it as unnumbered messages; `write_feed` numbers them per batch.
 
     Rows already there come first, then every file added later.
     """
-    reader = spark.readStream.schema(_checked(schema))
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = reader.parquet(path)
+    rows = as_message_columns(reader.parquet(path))
     return _packed(rows, table.strip(), topic_prefix, schema_version, F.lit(None))
 
 
+def stream_table(
+    tables: Tables,
+    name: str,
+    topic_prefix: str = "",
+    schema_version: int = 1,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """The rows of a table of this library, batch after batch as they are published."""
+    state = tables.require(name)
+    path = tables.data_path(name)
+    files.make_folder(tables.spark, path)
+    return stream_feed(tables.spark, path, state.schema, name, topic_prefix, schema_version, max_files_per_trigger)
+
+
 def write_topics(df: DataFrame, path: str, mode: str = "append") -> None:
     """Messages as files, one folder per topic."""
     out = [c for c in (*ENVELOPE_COLUMNS, "message_schema") if c in df.columns]
     df.select(*out).write.mode(mode).partitionBy("topic").parquet(path)
 
 
+def with_schema(df: DataFrame) -> DataFrame:
+    """Feed messages whose value carries its schema: `{"schema": .., "payload": ..}`."""
+    opened = F.concat(F.lit('{"schema":'), "message_schema", F.lit(',"payload":'), F.coalesce("value", F.lit("null")), F.lit("}"))
+    return df.withColumn("value", opened)
+
+
 def write_kafka(df: DataFrame, options: Mapping[str, str]) -> None:
-    """Messages to a Kafka cluster; needs Spark's Kafka package on the classpath."""
-    df.select("topic", "key", "value").write.format("kafka").options(**options).save()
+    """Messages to a Kafka cluster, with their schemas; needs Spark's Kafka package on the classpath."""
+    carried = with_schema(df) if "message_schema" in df.columns else df
+    carried.select("topic", "key", "value").write.format("kafka").options(**options).save()

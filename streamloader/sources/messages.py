@@ -21,8 +21,8 @@ ENVELOPE = T.StructType(
 
 ENVELOPE_COLUMNS = tuple(ENVELOPE.names)
 
-# Arrival order.  A bus only orders the offsets of one partition, so time comes first.
-ARRIVAL = ("timestamp", "partition", "offset")
+# Arrival order.  A bus only orders the offsets of one partition, so time comes first; several topics may feed a table.
+ARRIVAL = ("timestamp", "partition", "offset", "topic")
 
 
 def to_envelope(df: DataFrame, *, topic: Column | str, value: Column, **columns: Column) -> DataFrame:
@@ -90,12 +90,14 @@ def kafka_messages(
     topics: Sequence[str] | None = None,
     topics_regex: str | None = None,
     streaming: bool = True,
+    text_keys: bool = True,
     max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
     """Messages of a Kafka cluster; needs Spark's Kafka package on the classpath.
 
     `options` go to the reader as they are (servers, TLS, SASL).  The raw bytes stay in
-    `value_bytes` for `wire_header`.
+    `value_bytes` for registry values.  Only text keys name tables: say `text_keys=False` where keys are
+    numbers or records, and they are left out.
     """
     _check_subscription(topics, topics_regex)
     reader = (spark.readStream if streaming else spark.read).format("kafka").options(**options)
@@ -111,7 +113,7 @@ def kafka_messages(
         "partition",
         "offset",
         "timestamp",
-        F.col("key").cast("string").alias("key"),
+        (F.col("key") if text_keys else F.lit(None)).cast("string").alias("key"),
         F.lit(None).cast("string").alias("schema_name"),
         F.lit(None).cast("int").alias("schema_version"),
         F.col("value").cast("string").alias("value"),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.ingest import IngestOptions, ingest
@@ -18,6 +19,11 @@ Trigger = dict[str, str | bool]
 AVAILABLE_NOW: Trigger = {"availableNow": True}
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of a checkpoint, the same after every restart."""
+    return json.loads(files.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
 def run_stream(
     messages: DataFrame,
     tables: Tables,
@@ -31,11 +37,13 @@ def run_stream(
     """Ingest a stream of messages.
 
     Offsets and batch ids live in the checkpoint; `job` names it in the tables, so a batch that is
-    replayed after a failure has no second effect.  Use one job name per checkpoint.
+    replayed after a failure has no second effect.  A job name belongs to the stream that used it first: with
+    another checkpoint the batches would be numbered anew, so that is refused.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        counts = ingest(batch, tables, options, job=job, batch_id=batch_id)
+        source = stream_id(batch.sparkSession, checkpoint)
+        counts = ingest(batch, tables, options, job=job, batch_id=batch_id, source=source)
         if on_counts is not None:
             on_counts(batch_id, counts)
 
@@ -60,11 +68,8 @@ def merge_stream(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        state = tables.require(table)
-        if state.batches.get(job, -1) >= batch_id:
-            return
-        state = tables.merge(state, batch, order, mode, f"{job}-{batch_id:012d}")
-        tables.commit(state.after(job, batch_id))
+        tables.claim(job, stream_id(batch.sparkSession, checkpoint))
+        tables.write(tables.require(table), batch, f"{job}-{batch_id:012d}", order, mode)
 
     writer = rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or AVAILABLE_NOW)).start()

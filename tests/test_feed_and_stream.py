@@ -155,8 +155,8 @@ def test_stream_equals_batch(spark, tmp_path):
         envelope.coalesce(1).write.mode("append").parquet(source)
         stored.append(envelope)
     options = IngestOptions(**{"single_table_per_topic": True})
-    streamed = Tables(spark, f"{root}/streamed", buckets=2)
-    batched = Tables(spark, f"{root}/batched", buckets=2)
+    streamed = Tables(spark, f"{root}/streamed")
+    batched = Tables(spark, f"{root}/batched")
     for tables in (streamed, batched):
         tables.create("t", shape, primary_key=["user"])
     seen = []
@@ -177,7 +177,7 @@ def test_typed_stream_first_wins(spark, tmp_path):
     source, root = str(tmp_path / "in"), str(tmp_path)
     for n in range(2):
         events(spark, n * 10, n * 10 + 10).coalesce(1).write.mode("append").parquet(source)
-    tables = Tables(spark, f"{root}/tables", buckets=2)
+    tables = Tables(spark, f"{root}/tables")
     tables.create("t", T.StructType([column("user", T.LongType()), column("id", T.LongType())]), ["user"])
     rows = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(source)
     merge_stream(

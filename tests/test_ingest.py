@@ -19,6 +19,9 @@ from streamloader import (
     to_envelope,
 )
 from streamloader.plans import ingest as job_module
+from streamloader.plans.ingest import TooManyDestinations
+from streamloader.sinks import files
+from streamloader.sinks.tables import JobInUse
 from test_schemas import VERSIONS
 
 SINGLE = dict(single_table_per_topic=True)
@@ -186,7 +189,7 @@ def test_null_key_of_a_nullable_column(spark, tables):
 def test_table_altered_meanwhile(spark, tables, monkeypatch):
     """Another job adds a column between reading the state and publishing: the batch starts over."""
     state = tables.create("t", TICKER, primary_key=["symbol"])
-    original, calls = tables.merge, []
+    original, calls = tables.stage, []
 
     def racing(current, *rest):
         out = original(current, *rest)
@@ -196,13 +199,13 @@ def test_table_altered_meanwhile(spark, tables, monkeypatch):
             tables.alter(state, wider, state.versions)
         return out
 
-    monkeypatch.setattr(tables, "merge", racing)
+    monkeypatch.setattr(tables, "stage", racing)
     rows = [(0, '{"symbol":"A","price":1,"note":"n"}')]
     ingest(messages(spark, rows), tables, IngestOptions())
     assert calls == [0, 1]
     assert [tuple(r) for r in tables.read("t").collect()] == [("A", 1.0, "n")]
     with pytest.raises(StaleState):
-        tables.commit(state)
+        tables.alter(state, T.StructType([column("symbol", T.StringType())]), state.versions)
 
 
 def test_struct_values(spark, tables):
@@ -248,19 +251,128 @@ def test_one_per_key_limits_rows_before_the_shuffle(spark):
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
-def test_compaction_and_vacuum(spark, tables, monkeypatch):
-    from streamloader.sinks import tables as store
+KEYED = T.StructType([column("k", T.LongType()), column("v", T.LongType())])
 
-    monkeypatch.setattr(store, "COMPACT_AFTER", 2)
-    schema = T.StructType([column("k", T.LongType())])
-    state = tables.create("t", schema, primary_key=["k"], buckets=1)
-    for n in range(4):
-        rows = spark.range(n * 10, n * 10 + 15).toDF("k")
-        state = tables.commit(tables.merge(state, rows, ["k"], "insert_if_absent", f"b{n}"))
-    assert sorted(r.k for r in tables.read("t").collect()) == list(range(45))
-    assert state.folders == {"0": ["b2", "b3"]}
-    assert tables.vacuum("t") == ["b0", "b1"]
-    assert tables.read("t").count() == 45
+
+def keyed_rows(spark, first, last, v):
+    return spark.range(first, last).selectExpr("id AS k", f"{v}L AS v")
+
+
+def test_modes_of_batches_and_compaction(spark, tables):
+    """Upserts win over what is there, inserts only fill gaps; a rewrite changes nothing, and replays stay replays."""
+    state = tables.create("t", KEYED, primary_key=["k"])
+    steps = [(0, 10, 1, "insert_if_absent"), (5, 15, 2, "insert_if_absent"), (8, 12, 3, "upsert"), (0, 20, 4, "insert_if_absent")]
+    for n, (first, last, v, mode) in enumerate(steps):
+        assert tables.write(state, keyed_rows(spark, first, last, v), f"b{n}", ["v"], mode)
+    wanted = {k: 1 if k < 8 else 3 if k < 12 else 2 if k < 15 else 4 for k in range(20)}
+    for _ in range(2):
+        assert {r.k: r.v for r in tables.read("t").collect()} == wanted
+        assert not tables.write(state, keyed_rows(spark, 0, 20, 9), "b1", ["v"], "upsert")
+        tables.compact("t")
+    tables.write(state, keyed_rows(spark, 0, 2, 5), "b5", ["v"], "upsert")
+    tables.write(state, keyed_rows(spark, 0, 25, 6), "b6", ["v"], "insert_if_absent")
+    after = {**wanted, 0: 5, 1: 5, **dict.fromkeys(range(20, 25), 6)}
+    assert {r.k: r.v for r in tables.read("t").collect()} == after
+
+
+def test_small_batch_writes_only_itself(spark, tables):
+    state = tables.create("t", KEYED, primary_key=["k"])
+    tables.write(state, keyed_rows(spark, 0, 50_000, 1), "load", ["v"], "upsert")
+    tables.write(state, keyed_rows(spark, 100, 110, 2), "ten", ["v"], "upsert")
+    folder = f"{tables.data_path('t')}/{tables.batches('t')[-1].folder}"
+    assert spark.read.parquet(folder).count() == 10
+    assert tables.read("t").where("v = 2").count() == 10 and tables.read("t").count() == 50_000
+
+
+def test_slow_writer_among_many_commits(spark, tables):
+    """A batch staged before sixty others are published still shows."""
+    state = tables.create("t", KEYED, primary_key=["k"])
+    slow = tables.stage(state, keyed_rows(spark, 0, 3, 7), ["v"], "upsert")
+    for n in range(60):
+        empty = tables.stage(state, keyed_rows(spark, n + 10, n + 11, 1), ["v"], "upsert") if n < 2 else None
+        if empty is None:
+            empty = f"{tables.path('t')}/_staged/empty-{n}"
+            files.create_text(spark, f"{empty}/_SUCCESS", "")
+        assert tables.publish(state, empty, "upsert", f"fast-{n}")
+    assert tables.publish(state, slow, "upsert", "slow")
+    assert tables.read("t").where("v = 7").count() == 3 and len(tables.batches("t")) == 61
+
+
+def refusing(spark):
+    return messages(spark, [(0, '{"a":1}'), (1, '{"a":"x"}'), (2, "oops"), (3, None)])
+
+
+def test_replay_keeps_refused_rows_and_counts(spark, tables):
+    tables.create("t", T.StructType([column("a", T.LongType())]), primary_key=["a"])
+    first = ingest(refusing(spark), tables, IngestOptions(), job="j", batch_id=4)
+    assert first == {"t": {"accepted": 1, "refused": 3}}
+    held = quarantined(tables)
+    assert ingest(refusing(spark), tables, IngestOptions(), job="j", batch_id=4) == first
+    assert quarantined(tables) == held and len(held) == 3 and tables.read("t").count() == 1
+
+
+def test_crash_between_quarantine_and_table(spark, tables, monkeypatch):
+    tables.create("t", T.StructType([column("a", T.LongType())]))
+    publish = tables.publish
+
+    def dies(state, staged, mode, label):
+        if state.name == "t":
+            raise OSError("lost")
+        return publish(state, staged, mode, label)
+
+    monkeypatch.setattr(tables, "publish", dies)
+    with pytest.raises(OSError):
+        ingest(refusing(spark), tables, IngestOptions(), job="j")
+    assert tables.read("t").count() == 0
+    monkeypatch.setattr(tables, "publish", publish)
+    assert ingest(refusing(spark), tables, IngestOptions(), job="j") == {"t": {"accepted": 1, "refused": 3}}
+    assert tables.read("t").count() == 1 and len(quarantined(tables)) == 3
+
+
+def test_job_name_belongs_to_one_source(spark, tables):
+    rows = messages(spark, [(0, '{"a":1}')])
+    ingest(rows, tables, IngestOptions(), job="j", batch_id=0, source="one")
+    with pytest.raises(JobInUse):
+        ingest(rows, tables, IngestOptions(), job="j", batch_id=0, source="two")
+    with pytest.raises(JobInUse):
+        ingest(rows, tables, IngestOptions(), job="j", batch_id=1)
+    assert tables.read("t").count() == 1
+
+
+def test_default_does_not_depend_on_batches(spark, tables):
+    """A version without a column that has a default reads it, in one batch or two."""
+    def declared_message(offset, version, fields, payload):
+        head = {"type": "struct", "name": "rec", "version": version, "fields": fields}
+        return offset, json.dumps({"schema": head, "payload": payload})
+
+    k = {"field": "k", "type": "int64", "optional": False}
+    channel = {"field": "channel", "type": "string", "optional": True, "default": "web"}
+    rows = [
+        declared_message(0, 1, [k], {"k": 1}),
+        declared_message(1, 2, [k, channel], {"k": 2, "channel": "s"}),
+        declared_message(2, 1, [k], {"k": 3}),
+    ]
+    options = IngestOptions(value_format="schema_json", evolve=True, add_new_fields=True, **SINGLE)
+    for topic, cuts in (("one", [rows]), ("two", [rows[:1], rows[1:]]), ("three", [[r] for r in rows])):
+        for part in cuts:
+            ingest(messages(spark, part, topic), tables, options)
+        assert sorted((r.k, r.channel) for r in tables.read(topic).collect()) == [(1, "web"), (2, "s"), (3, "web")]
+
+
+def test_bound_on_destinations_and_clean_scratch(spark, tables):
+    rows = [(n, f"user{n}", '{"a":1}') for n in range(4)]
+    with pytest.raises(TooManyDestinations, match="more than 2 destinations"):
+        ingest(messages(spark, rows), tables, IngestOptions(max_destinations=2))
+    assert tables.names() == []
+    ingest(messages(spark, rows), tables, IngestOptions(max_destinations=4))
+    assert len(tables.names()) == 4
+    assert not [n for n in files.list_names(spark, files.shared_folder(spark)) if n.startswith("routed-")]
+
+
+def test_reserved_table_and_quotes(spark, tables):
+    counts = ingest(messages(spark, [(0, "_quarantine", '{"a":1}'), (1, None, "{'a':'x'}"), (2, None, '{"a":1}')]), tables, IngestOptions())
+    assert counts == {"_quarantine": {"accepted": 0, "refused": 1}, "t": {"accepted": 1, "refused": 1}}
+    assert quarantined(tables) == [(0, "RESERVED_TABLE", None), (1, "BAD_JSON", None)]
 
 
 @pytest.mark.parametrize(
