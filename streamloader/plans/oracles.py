@@ -36,7 +36,14 @@ _KIND = """
 _CHANGES = """
     SELECT o_custkey AS c_custkey, 'by order ' || {pick}(o_orderkey) AS c_name,
            {arg}(o_totalprice, o_orderkey) AS c_acctbal
-    FROM orders WHERE o_orderstatus = 'O' GROUP BY o_custkey
+    FROM orders GROUP BY o_custkey
+"""
+
+_ADDED = """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+           CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,
+           CASE WHEN o_orderstatus <> 'F' THEN 'store' ELSE 'web' END AS o_channel
+    FROM orders
 """
 
 _NARROWED = """
@@ -159,22 +166,19 @@ ORACLES: dict[str, str] = {
                o_orderpriority
         FROM orders
     """,
-    "q07_evolve_add": """
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-               CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,
-               CASE WHEN o_orderstatus <> 'F' THEN 'store' ELSE 'web' END AS o_channel
-        FROM orders
-    """,
+    "q07_evolve_add": _ADDED,
+    "q07b_evolve_one_batch": _ADDED,
     "q08_evolve_relax": """
-        SELECT CASE WHEN o_totalprice > 250000 THEN 1 ELSE 2 END AS schema_version, o_orderkey,
-               CASE WHEN o_totalprice > 250000 THEN o_custkey END AS o_custkey, o_orderstatus,
-               o_totalprice
+        SELECT o_orderkey, CASE WHEN o_totalprice > 250000 THEN o_custkey END AS o_custkey, o_orderstatus, o_totalprice
         FROM orders
     """,
-    "q09_evolve_ignore": """
-        SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 2 END AS schema_version,
-               o_orderkey, o_custkey, o_orderstatus, o_totalprice
-        FROM orders
+    "q09_evolve_ignore": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
+    "q10r_field_report": """
+        SELECT 'c_custkey' AS "column", 'mapped' AS status, count(c_custkey) AS n_values FROM customer
+        UNION ALL SELECT 'c_phone', 'missing', NULL
+        UNION ALL SELECT 'c_name', 'mapped', count(c_name) FROM customer
+        UNION ALL SELECT 'c_nationkey', 'ignored', count(c_nationkey) FROM customer
+        UNION ALL SELECT 'c_mktsegment', 'ignored', count(c_mktsegment) FROM customer
     """,
     "q10_field_map": """
         SELECT c_custkey, cast(c_nationkey AS varchar) AS c_nationkey,
@@ -219,6 +223,14 @@ ORACLES: dict[str, str] = {
                cast(sum(CASE WHEN event_type = 'view' THEN user_id END) AS bigint) AS bad_values
         FROM events GROUP BY 1, 2, 3
     """,
+    "q14w_quarantine_table": """
+        SELECT 'events' AS dest_table,
+               CASE event_type WHEN 'view' THEN 'TYPE_MISMATCH' WHEN 'error' THEN 'BAD_JSON' END AS reason,
+               CASE event_type WHEN 'view' THEN 'event_id' END AS bad_column, count(*) AS n,
+               cast(sum(event_id) AS bigint) AS event_ids,
+               cast(sum(CASE event_type WHEN 'view' THEN user_id END) AS bigint) AS bad_values
+        FROM events GROUP BY 1, 2, 3
+    """,
     "q15_upsert_latest": _LATEST,
     "q16_first_wins": _LATEST.replace("arg_max", "arg_min"),
     "q17_append": """
@@ -251,8 +263,19 @@ ORACLES: dict[str, str] = {
                || '{"field": "o_orderkey", "type": "int64", "optional": true}, '
                || '{"field": "o_custkey", "type": "int64", "optional": true}, '
                || '{"field": "o_orderstatus", "type": "string", "optional": true}, '
-               || '{"field": "o_totalprice", "type": "double", "optional": true}]}' AS message_schema,
-               o_orderkey, o_custkey, o_totalprice
+               || '{"field": "o_totalprice", "type": "double", "optional": true}, '
+               || '{"field": "o_orderdate", "type": "int64", "optional": true}, '
+               || '{"field": "o_orderpriority", "type": "string", "optional": true}]}' AS message_schema,
+               o_orderkey, o_custkey, o_orderstatus, o_totalprice, epoch_ms(o_orderdate) AS o_orderdate, o_orderpriority
+        FROM orders
+    """,
+    "q19s_feed_stream": """
+        SELECT 'feed.orders' AS topic, 'orders' AS schema_name, 3 AS schema_version, count(*) AS n, count(*) AS n_keys,
+               cast(0 AS bigint) AS first_offset, count(*) - 1 AS last_offset,
+               cast(sum(o_orderkey) AS bigint) AS o_orderkey, cast(sum(o_custkey) AS bigint) AS o_custkey,
+               cast(sum(epoch_ms(o_orderdate)) AS bigint) AS o_orderdate,
+               cast(sum(cast(round(o_totalprice * 100) AS bigint)) AS bigint) AS price_cents,
+               cast(sum(length(o_orderstatus) + length(o_orderpriority)) AS bigint) AS text_length
         FROM orders
     """,
     "q20_fan_in": """
@@ -271,10 +294,25 @@ ORACLES: dict[str, str] = {
         FROM events GROUP BY event_type
     """,
     "q22_version_gate": """
-        SELECT 'orders' AS dest_table, cast(o_orderpriority[1] AS integer) AS schema_version,
-               CASE WHEN o_orderpriority[1] IN ('2', '3') THEN 'VERSION_BLOCKED' END AS reason,
-               count(*) AS n
-        FROM orders GROUP BY 1, 2, 3
+        WITH versions AS (
+          SELECT *, cast(o_orderpriority[1] AS integer) AS version,
+                 first_value(cast(o_orderpriority[1] AS integer)) OVER (ORDER BY o_orderdate, o_orderkey) AS first_version
+          FROM orders
+        )
+        SELECT 'orders' AS dest_table, CASE WHEN version <> first_version THEN version END AS schema_version,
+               CASE WHEN version <> first_version THEN 'VERSION_BLOCKED' END AS reason, count(*) AS n
+        FROM versions GROUP BY 1, 2, 3
+    """,
+    "q23j_registry_ingest": """
+        WITH kinds AS (
+          SELECT *, CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'BAD_WIRE_HEADER'
+                         WHEN o_orderstatus = 'P' THEN 'UNKNOWN_SCHEMA' END AS reason
+          FROM orders
+        )
+        SELECT CASE WHEN reason IS NULL AND o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority, reason,
+               count(*) AS n, cast(sum(o_orderkey) AS bigint) AS order_keys,
+               cast(sum(CASE WHEN reason IS NULL THEN cast(round(o_totalprice * 100) AS bigint) END) AS bigint) AS price_cents
+        FROM kinds GROUP BY 1, 2
     """,
     "q23_wire_header": """
         WITH framed AS (
