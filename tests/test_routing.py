@@ -2,80 +2,62 @@
 
 from __future__ import annotations
 
+import itertools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from streamloader import route, subscribe
 
-ONE = ["some_topic"]
-MANY = ["topic1", "topic2", "topic3"]
-DOTTED = ["to.pi.c1", "to.pi.c2", "to.pi.c3"]
-OVER = ["tableOverride1", "tableOverride2", "tableOverride3"]
-OVER_DOTTED = ["table.Override1", "table.Override2", "table.Override3"]
+LISTS = (("alpha",), ("alpha", "beta"), ("al.pha", "be.ta", "ga.mma"), None)
+OVERRIDES = (None, ("first",), ("own.first", "second"), ("first", "own.second", "third"))
+PREFIXES = ("", "p_", " padded_ ", "dotted.p_")
+NAMESPACES = ("", "ns")
+SCHEMA = "com.shop.Order"
 REGEX = "es_(.)*"
-SCHEMA = "some_schema"
-
-# (topics or regex, overrides, prefix, schema_name, single, message topic, expected)
-CASES = [
-    (REGEX, None, "", "", False, "", SCHEMA),
-    (ONE, None, "", "", True, "some_topic", "some_topic"),
-    (MANY, None, "", "", True, "topic1", "topic1"),
-    (["some.topic"], None, "", "", True, "some.topic", "some_topic"),
-    (DOTTED, None, "", "", True, "to.pi.c1", "to_pi_c1"),
-    (REGEX, None, "prefix_", "", False, "", "prefix_some_schema"),
-    (ONE, None, "prefix_", "", True, "some_topic", "prefix_some_topic"),
-    (MANY, None, "prefix_", "", True, "topic1", "prefix_topic1"),
-    (DOTTED, None, "prefix_", "", True, "to.pi.c1", "prefix_to_pi_c1"),
-    (REGEX, None, "", "TEST", False, "", "TEST.some_schema"),
-    (ONE, None, "", "TEST", True, "some_topic", "TEST.some_topic"),
-    (MANY, None, "", "TEST", True, "topic1", "TEST.topic1"),
-    (["some.topic"], None, "", "TEST", True, "some.topic", "TEST.some_topic"),
-    (DOTTED, None, "", "TEST", True, "to.pi.c1", "TEST.to_pi_c1"),
-    (REGEX, None, "prefix_", "TEST", False, "", "TEST.prefix_some_schema"),
-    (ONE, None, "prefix_", "TEST", True, "some_topic", "TEST.prefix_some_topic"),
-    (MANY, None, "prefix_", "TEST", True, "topic1", "TEST.prefix_topic1"),
-    (DOTTED, None, "prefix_", "TEST", True, "to.pi.c1", "TEST.prefix_to_pi_c1"),
-    (ONE, ["tableOverride"], "", "", True, "some_topic", "tableOverride"),
-    (MANY, ["tableOverride1"], "", "", True, "topic1", "topic1"),
-    (DOTTED, OVER_DOTTED, "", "", True, "to.pi.c1", "table.Override1"),
-    (DOTTED, ["tableOverride1"], "prefix_", "TEST", True, "to.pi.c1", "TEST.prefix_to_pi_c1"),
-    (ONE, ["tableOverride"], "", "TEST", True, "some_topic", "TEST.tableOverride"),
-    (ONE, ["tableOverride"], "prefix_", "TEST", True, "some_topic", "TEST.tableOverride"),
-    (DOTTED, ["tableOverride"], "", "TEST", True, "to.pi.c1", "TEST.to_pi_c1"),
-    (["topic"], OVER, "", "TEST", True, "topic", "TEST.topic"),
-    (MANY, OVER_DOTTED, "prefix_", "", True, "topic1", "table.Override1"),
-    (MANY, OVER, "", "TEST", True, "topic1", "TEST.tableOverride1"),
-    (DOTTED, OVER_DOTTED, "prefix_", "TEST", True, "to.pi.c1", "table.Override1"),
-    # beyond the published combinations
-    (MANY, OVER, "", "", False, " TOPIC2 ", "tableOverride2"),
-    (ONE, ["tableOverride"], "", "", False, "another", "tableOverride"),
-    (ONE, None, "dotted.prefix_", "TEST", True, "some_topic", "dotted.prefix_some_topic"),
-    (ONE, None, " padded_ ", "", True, "some_topic", "padded_some_topic"),
-    (ONE, None, "", "", True, "", SCHEMA),
-    (ONE, None, "", "", True, None, SCHEMA),
-]
-
-
-def test_cases(spark):
-    got, frames = [], None
-    for n, (listed, overrides, prefix, schema_name, single, topic, _) in enumerate(CASES):
+MANY, OVER, ONE = ["alpha", "beta", "gamma"], ["first", "second", "third"], ["alpha"]
+
+
+def rule(topics, overrides, prefix, namespace, single, topic):
+    """The destination in plain words: overrides of the list's length, else the topic or the schema's last part."""
+    if overrides and len(overrides) == len(topics):
+        places = {t.lower(): table for t, table in zip(topics, overrides, strict=True)}
+        table = overrides[0] if len(topics) == 1 else places.get((topic or "").strip().lower())
+    else:
+        table = prefix.strip() + (topic.replace(".", "_") if single and topic else SCHEMA.rsplit(".", 1)[-1])
+    if table is None or "." in table or not namespace:
+        return table
+    return f"{namespace}.{table}"
+
+
+def test_destinations_follow_the_rule(spark):
+    options = [
+        combination
+        for combination in itertools.product(LISTS, OVERRIDES, PREFIXES, NAMESPACES, (False, True))
+        if combination[0] is not None or combination[1] is None
+    ]
+    wanted, frames = {}, []
+    for n, (topics, overrides, prefix, namespace, single) in enumerate(random.Random(1).sample(options, 48)):
+        sent = [*(topics or ("es_one",)), " BETA ", "", None]
         df = spark.createDataFrame(
-            [(n, topic, None, SCHEMA, 1)],
-            "n int, topic string, key string, schema_name string, schema_version int",
+            [(n, k, topic, None, SCHEMA, 1) for k, topic in enumerate(sent)],
+            "n int, k int, topic string, key string, schema_name string, schema_version int",
         )
-        regex = listed if isinstance(listed, str) else None
         out = route(
             df,
-            topics=None if regex else listed,
-            topics_regex=regex,
+            topics=topics,
+            topics_regex=None if topics else REGEX,
             overrides=overrides,
             prefix=prefix,
-            schema_name=schema_name,
+            schema_name=namespace,
             single_table_per_topic=single,
-        ).select("n", "dest_table", "reason")
-        frames = out if frames is None else frames.unionByName(out)
-    got = {r.n: (r.dest_table, r.reason) for r in frames.coalesce(2).collect()}
-    assert [got[n] for n in range(len(CASES))] == [(case[-1], None) for case in CASES]
+        )
+        frames.append(out.select("n", "k", "dest_table", "reason"))
+        wanted |= {(n, k): rule(topics, overrides, prefix, namespace, single, t) for k, t in enumerate(sent)}
+    rows = [r for frame in frames for r in frame.coalesce(1).collect()]
+    assert {(r.n, r.k): r.dest_table for r in rows} == wanted
+    assert {r.reason for r in rows if r.dest_table is None} == {"NO_OVERRIDE"}
 
 
 def test_names_from_schema_and_key(spark):
