@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,8 +28,26 @@ def shared_dir(spark: SparkSession) -> str:
     return (set_dir or context.getCheckpointDir()).rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; inside `temporary` it is deleted at the end."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes the intermediate tables written inside, whose readers must be done by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            discard(spark, path)
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -53,6 +72,19 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
+def hash_sample(df: DataFrame, key: str, most: int, seed: int) -> DataFrame:
+    """At most `most` rows, those with the smallest seeded hashes of `key`.
+
+    Only hashes below a bound that twice as many rows are expected to meet are sorted, so that no task gathers
+    the candidates of all others.
+    """
+    total = df.count()
+    drawn = F.xxhash64(F.lit(seed), key)
+    share = min(1.0, 2 * most / max(1, total))
+    below = df if share == 1 else df.where(drawn < int((share - 0.5) * 2**64))
+    return below.orderBy(drawn, key).limit(most)
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
