@@ -29,6 +29,8 @@ TERM = "term"
 SUPPORT = 5
 GENERALISE = 0.7
 REMOVE = 0.9
+# What stands for a removed term: nothing at all would let the text around it join up.
+REMOVED = "[REMOVED]"
 # A task hands over its term counts when it holds this many terms.
 HELD_TERMS = 400_000
 # Rows of a side that may be broadcast; a larger one is joined by a shuffle.
@@ -272,10 +274,10 @@ def redact(text: str, spans: Iterable[tuple[int, int, str]]) -> str:
 
 
 def replacements(spans: list[dict] | None, added: list[dict] | None) -> list[tuple[int, int, str]]:
-    """Entities become their kind; terms become the kind they reveal, or go."""
+    """Entities become their kind; terms become the kind they reveal, or are removed."""
     base = [(s["start"], s["end"], f"[{s['kind'].upper()}]") for s in spans or []]
     terms = [
-        (s["start"], s["end"], "" if s["remove"] else f"[{KINDS[s['kind']].upper()}-RELATED]") for s in added or []
+        (s["start"], s["end"], REMOVED if s["remove"] else f"[{KINDS[s['kind']].upper()}-RELATED]") for s in added or []
     ]
     return base + terms
 
