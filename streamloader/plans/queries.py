@@ -602,7 +602,7 @@ def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "topics")
     messages = stream_table(tables, "orders", "feed.", 3)
     write_feed(messages, path, checkpoint=scratch_path(spark, "checkpoint")).awaitTermination()
-    back = _read_feed(spark.read.schema(messages.schema).parquet(f"{path}/batch-*"))
+    back = _read_feed(spark.read.schema(messages.schema).parquet(path))
     sums = [F.sum(c).alias(c) for c in ("o_orderkey", "o_custkey", "o_orderdate")]
     return back.groupBy("topic", "schema_name", "schema_version").agg(
         F.count(F.lit(1)).alias("n"),

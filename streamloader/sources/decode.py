@@ -137,9 +137,16 @@ class RegisteredSchema:
 
 
 def json_body(columns: T.StructType) -> Callable[[Column], Column]:
-    """Bodies that are JSON texts."""
-    plain = T.StructType([T.StructField(f.name, f.dataType) for f in columns.fields])
-    return lambda body: F.from_json(F.decode(body, "UTF-8"), plain)
+    """Bodies that are JSON texts; one that does not fit the columns is null."""
+    fields = [T.StructField(f.name, f.dataType) for f in columns.fields]
+    shape = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
+    options = {"columnNameOfCorruptRecord": _CORRUPT}
+
+    def decode(body: Column) -> Column:
+        parsed = F.array(F.from_json(F.decode(body, "UTF-8"), shape, options))
+        return F.get(F.filter(parsed, lambda record: record[_CORRUPT].isNull()), F.lit(0))
+
+    return decode
 
 
 def avro_body(schema: str) -> Callable[[Column], Column]:

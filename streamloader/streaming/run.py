@@ -101,8 +101,8 @@ def write_feed(
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         start = 0
-        names = [n for n in files.list_names(spark, path) if n.startswith("batch-")]
-        for name in reversed([n for n in names if n < f"batch-{batch_id:012d}"]):
+        names = [n for n in files.list_names(spark, path) if n.startswith("batch=")]
+        for name in reversed([n for n in names if n < f"batch={batch_id:012d}"]):
             # Batches are numbered in turn, so only the latest one with rows is read.
             last = spark.read.schema(ENVELOPE).parquet(f"{path}/{name}").agg(F.max("offset")).first()[0]
             if last is not None:
@@ -111,7 +111,7 @@ def write_feed(
         numbered = number_rows(batch, start=start).withColumns(
             {"offset": F.col("sequence"), "key": F.col("sequence").cast("string")}
         )
-        write_topics(numbered, f"{path}/batch-{batch_id:012d}", mode="overwrite")
+        write_topics(numbered, f"{path}/batch={batch_id:012d}", mode="overwrite")
 
     writer = messages.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or AVAILABLE_NOW)).start()

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from streamloader import (
     IngestOptions,
+    RegisteredSchema,
     Tables,
     UnsupportedSchema,
     change_feed,
@@ -15,13 +18,16 @@ from streamloader import (
     fan_in,
     first_wins,
     ingest,
+    json_body,
     merge_stream,
     read_messages,
     run_stream,
     stream_feed,
+    stream_table,
     to_envelope,
     unwrap_cdc,
     wire_header,
+    with_schema,
     write_feed,
     write_topics,
 )
@@ -217,3 +223,55 @@ def test_shared_folder(spark):
     assert files.shared_folder(Session("/somewhere/shared/")) == "/somewhere/shared"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         files.shared_folder(Session(None))
+
+
+def test_feeds_carry_times_and_schemas(spark):
+    df = spark.sql("SELECT 1L AS k, TIMESTAMP'2024-01-02 03:04:05.678' AS at, DATE'1970-01-02' AS day")
+    row = with_schema(change_feed(df, "t")).first()
+    opened = json.loads(row.value)
+    assert opened["payload"] == {"k": 1, "at": 1704164645678, "day": 86400000}
+    assert [(f["field"], f["type"]) for f in opened["schema"]["fields"]] == [("k", "int64"), ("at", "int64"), ("day", "int64")]
+
+
+def test_feed_of_a_loaded_table(spark, tables, tmp_path):
+    """Batches that a job published, and later ones, come out of the feed once each."""
+    tables.create("t", T.StructType([column("a", T.LongType())]))
+    envelope = spark.createDataFrame([(n, json.dumps({"a": n})) for n in range(4)], "o bigint, v string")
+    rows = to_envelope(envelope, topic="t", value=F.col("v"), offset=F.col("o"))
+    out, seen = str(tmp_path / "out"), []
+    for part in ("offset < 1", "offset >= 1"):
+        ingest(rows.where(part), tables, IngestOptions())
+        feed = stream_table(tables, "t", "feed.")
+        write_feed(feed, out, checkpoint=str(tmp_path / "checkpoint")).awaitTermination()
+        seen.append(spark.read.schema(feed.schema).parquet(out).count())
+    assert seen == [1, 4]
+
+
+def test_registry_bodies_and_ids(spark, tables):
+    shape = T.StructType([column("a", T.LongType())])
+    bodies = [b'\x00\x00\x00\x00\x07{"a":1}', b"\x00\x00\x00\x00\x07oops", b'\x00\x00\x00\x00\x08{"a":2}', b"\x01\x00", None]
+    df = spark.createDataFrame([(n, b) for n, b in enumerate(bodies)], "o bigint, b binary")
+    sent = to_envelope(df, topic="t", value=F.hex("b"), offset=F.col("o")).withColumn("value_bytes", F.unhex("value"))
+    options = IngestOptions(value_format="registry", registry={7: RegisteredSchema("x.Rec", 1, shape, json_body(shape))})
+    counts = ingest(sent, tables, options)
+    assert counts["Rec"] == {"accepted": 1, "refused": 1}
+    assert [r.a for r in tables.read("Rec").collect()] == [1]
+    refused = {r.offset: r.reason for r in tables.read("_quarantine").collect()}
+    assert refused == {1: "BAD_PAYLOAD", 2: "UNKNOWN_SCHEMA", 3: "BAD_WIRE_HEADER", 4: "BAD_WIRE_HEADER"}
+    with pytest.raises(ValueError):
+        IngestOptions(value_format="registry")
+
+
+def test_job_name_of_another_checkpoint_is_refused(spark, tables, tmp_path):
+    source = str(tmp_path / "in")
+    df = spark.createDataFrame([(0, '{"a":1}')], "o bigint, v string")
+    to_envelope(df, topic="t", value=F.col("v"), offset=F.col("o")).write.parquet(source)
+    for name, fails in (("one", False), ("one", False), ("two", True)):
+        stream = read_messages(spark, source, streaming=True)
+        query = run_stream(stream, tables, IngestOptions(), job="j", checkpoint=str(tmp_path / name))
+        if fails:
+            with pytest.raises(Exception, match="belongs to"):
+                query.awaitTermination()
+        else:
+            query.awaitTermination()
+    assert tables.read("t").count() == 1
