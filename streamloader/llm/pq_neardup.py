@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamloader.llm.common import cut
+from streamloader.llm.common import cut, hash_sample
 from streamloader.llm.components import components
 
 THRESHOLD = 0.93
@@ -312,7 +312,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, max_lists:
     if not most:
         return vectors.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     lists = max(1, min(max_lists, math.isqrt(most)))
-    drawn = grouped.select("id", "vec").orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(max(LEAST_SAMPLE, SAMPLE_PER_LIST * lists))
+    drawn = hash_sample(grouped.select("id", "vec"), "id", max(LEAST_SAMPLE, SAMPLE_PER_LIST * lists), SEED)
     sample = np.array([r["vec"] for r in drawn.select("vec").collect()], dtype=np.float64)
     quantiser = Quantiser(_unit(sample), lists)
     radius = np.zeros(len(quantiser.centres))
