@@ -73,13 +73,15 @@ def clamp_ms(ms: Column) -> Column:
 
 
 def text_to_ms(value: Column) -> Converted:
-    """Text timestamp to clamped epoch milliseconds; a fraction of up to nine digits is a fraction."""
-    ms = clamp_ms(F.unix_millis(F.try_to_timestamp(value, F.lit(TIMESTAMP_READ))))
+    """Text timestamp, in UTC, to clamped epoch milliseconds; a fraction of up to nine digits is a fraction."""
+    at = F.try_to_timestamp(F.concat(value, F.lit("+00:00")), F.lit(TIMESTAMP_READ + "XXX"))
+    ms = clamp_ms(F.unix_millis(at))
     return Converted(ms, F.when(value.isNotNull() & ms.isNull(), F.lit(BAD_TIMESTAMP)))
 
 
 def ms_to_text(ms: Column) -> Column:
-    return F.date_format(F.timestamp_millis(ms), TIMESTAMP_WRITE)
+    """Epoch milliseconds as text in UTC, whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(F.timestamp_millis(ms), F.current_timezone()), TIMESTAMP_WRITE)
 
 
 def _number(value: Column, whole: bool, field: T.StructField) -> Converted:

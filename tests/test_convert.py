@@ -210,3 +210,17 @@ def test_timestamp_column_read_by_a_typed_reader(spark):
     )
     schema = T.StructType([column("c", LONG, props=["timestamp"])])
     assert project(df, schema).collect()[0].record["c"] == 1704164645000
+
+
+def test_text_times_do_not_depend_on_the_session_zone(spark):
+    shape = T.StructType([column("at", T.LongType(), props=["timestamp"]), column("text", T.StringType(), props=["datetime"])])
+    df = spark.createDataFrame([('{"at":"2024-07-01 12:00:00.25","text":1719835200250}',)], "value string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            for typed in (True, False):
+                row = project_json(df, shape, typed_parse=typed).select("record.*").first()
+                assert tuple(row) == (1719835200250, "2024-07-01 12:00:00.250")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
