@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamloader.llm.common import column, columns, cut, fold, small_batches
+from streamloader.llm.common import column, columns, cut, fold, hash_sample, small_batches
 
 FOLDS = 5
 HELD_OUT = 0
@@ -119,10 +119,10 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
     """
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
-    draw = F.xxhash64(F.lit(SAMPLE_SEED), "doc_id")
     ids = docs.where(F.col("doc_id").isNotNull()).where(~held_out()).select("doc_id")
-    positive = known.where("toxic = 1").join(ids.distinct(), "doc_id", "left_semi").select("doc_id").orderBy(draw, "doc_id").limit(MAX_POSITIVE)
-    unlabelled = ids.orderBy(draw, "doc_id").limit(MAX_UNLABELLED)
+    there = known.where("toxic = 1").join(ids, "doc_id", "left_semi").select("doc_id")
+    positive = hash_sample(there, "doc_id", MAX_POSITIVE, SAMPLE_SEED)
+    unlabelled = hash_sample(ids, "doc_id", MAX_UNLABELLED, SAMPLE_SEED)
     chosen = cut(
         positive.select("doc_id", F.lit(True).alias("positive")).union(unlabelled.distinct().select("doc_id", F.lit(False)))
     )
