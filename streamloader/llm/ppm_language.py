@@ -27,6 +27,8 @@ HELD_OUT = 2
 UNDETERMINED = "und"
 # Leaves of all trees together.  Beyond it the rarest go first, and their context then escapes instead.
 MAX_LEAVES = 1_000_000
+# Bins of counts for each factor e.
+BINS = 64
 # Words a task counts, or remembers the code lengths of, before it starts anew.
 HELD_WORDS = 300_000
 
@@ -130,20 +132,17 @@ class Trees:
         return np.add.reduceat(self.bits(distinct)[where], starts, axis=0)
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Trees:
-    """Trees learned from all given documents; their size is bounded by `MAX_LEAVES`."""
-    counts = cut(leaf_counts(docs, text_col, lang_col))
-    # How many leaves have each count decides the smallest count that stays.
-    floor = 1
-    if counts.count() > MAX_LEAVES:
-        left = 0
-        sizes = counts.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).count().orderBy(F.desc("n")).collect()
-        for row in sizes:
-            left += row["count"]
-            if left > MAX_LEAVES:
-                floor = row["n"] + 1
-                break
-    rows = counts.where(F.col("n") >= floor).toPandas().sort_values(["lang", "gram"])
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_leaves: int = MAX_LEAVES) -> Trees:
+    """Trees learned from all given documents, of at most `max_leaves` leaves together."""
+    counts = cut(leaf_counts(docs, text_col, lang_col)).withColumn("bin", F.floor(F.ln("n") * BINS).cast("int"))
+    # How many leaves have counts in each bin, of which there are few, decides the lowest bin that stays.
+    floor, size = 0, 0
+    for row in counts.groupBy("bin").count().orderBy(F.desc("bin")).collect():
+        size += row["count"]
+        if size > max_leaves:
+            floor = row["bin"] + 1
+            break
+    rows = counts.where(F.col("bin") >= floor).drop("bin").toPandas().sort_values(["lang", "gram"])
     langs = sorted(rows["lang"].unique())
     index = {name: k for k, name in enumerate(langs)}
     return Trees(langs, rows["lang"].map(index).to_numpy(np.int64), rows["gram"].to_numpy(np.int64), rows["n"].to_numpy(np.int64))

@@ -130,6 +130,14 @@ def test_code_lengths_equal_a_plain_tree(spark):
         assert trees.word_bits(words)[:, own] == pytest.approx([brute_bits(w, leaves) for w in words])
 
 
+def test_trees_stay_within_their_bound(spark):
+    docs = table(spark, SF_DIR, "documents")
+    trees = ppm_language.fit(docs, max_leaves=500)
+    assert 0 < sum(len(levels[0][0]) for levels in trees.levels) <= 500
+    found = ppm_language.identify(docs, trees).join(docs.select("doc_id", "lang"), "doc_id")
+    assert found.where("lang = lang_pred").count() > 0.9 * found.count()
+
+
 def test_languages_of_odd_texts(spark):
     rows = ["the river and the stone"] * 9 + ["der fluss und der stein"] * 9 + [None, "", "12 #", "the stone 9", "Der Stein!"]
     df = frame(spark, rows, ["en"] * 9 + ["de"] * 9 + ["en"] * 5)
