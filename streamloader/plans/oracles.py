@@ -211,6 +211,10 @@ ORACLES: dict[str, str] = {
                cast(CASE WHEN value > 50 THEN 1 ELSE 0 END AS double) AS as_double
         FROM events
     """,
+    "q13b_bytes": """
+        SELECT o_orderkey, o_orderpriority AS raw, cast(length(o_orderpriority) AS integer) AS size, cast(NULL AS varchar) AS reason
+        FROM orders
+    """,
     "q14_quarantine": """
         SELECT 'app_events_' || event_type AS dest_table,
                CASE WHEN event_type = 'click' THEN 'UNSUPPORTED_RECORD'

@@ -480,6 +480,17 @@ def booleans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_json(messages, target, typed_parse=False).select("record.*")
 
 
+def bytes_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes travel as base64 in messages that declare them, and arrive as bytes."""
+    shape = schema(column("o_orderkey", LONG), column("raw", BINARY))
+    orders = table(spark, sf_dir, "orders").withColumn("raw", F.encode("o_orderpriority", "UTF-8"))
+    messages = to_envelope(orders, topic="orders", value=declared_value(shape, "com.shop.Raw", 1))
+    opened = decode_payload(decode_schema_json(messages), shape)
+    out = project(opened, shape, source="payload")
+    raw = F.col("record.raw")
+    return out.select("record.o_orderkey", F.decode(raw, "UTF-8").alias("raw"), F.octet_length(raw).alias("size"), "reason")
+
+
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refusals by reason and column, with the values of the refused columns."""
     kind = F.col("event_type")
@@ -784,6 +795,7 @@ QUERIES: dict[str, Query] = {
     "q12_parse_ts": parse_ts,
     "q12b_datetime_text": datetime_text,
     "q13_booleans": booleans,
+    "q13b_bytes": bytes_column,
     "q14_quarantine": quarantine,
     "q14w_quarantine_table": quarantine_table,
     "q15_upsert_latest": upsert_latest,
