@@ -33,7 +33,7 @@ TRIPLES = 16
 ROUNDS = 4
 STEPS = 200
 # Words that a worker remembers, and the longest one it does.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 LONGEST_WORD = 64
 
 
@@ -47,7 +47,9 @@ def tokenizer(path: str = TOKENIZER) -> Tokenizer:
 # A word of these characters only is unchanged by normalisation but for its case, and its parts are found here;
 # any other word goes through the whole tokenizer.  Fixed: the tokenizer's own split, for these characters.
 _PLAIN = re.compile(r"[\x21-\x7e\xa1-\xff]+")
-_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|\n|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾\n]+")
+# Between the ids of two words; ids stay far below, so no ids contain it.
+_BREAK = b"\xff\xff\xff\xff"
 
 
 class WordIds:
@@ -59,23 +61,27 @@ class WordIds:
     def __init__(self, path: str = TOKENIZER) -> None:
         self.tokenizer = tokenizer(path)
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"\n": _BREAK}
         spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelling = {c: spelled(chr(c))[0][0] for c in (*range(0x21, 0x7F), *range(0xA1, 0x100))}
 
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            found = self.tokenizer.model.tokenize(part.translate(self.spelling))
-            ids = self.parts[part] = array("I", [t.id for t in found]).tobytes()
-        return ids
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(text):
-            return b"".join(map(self._part, _PART.findall(text.lower())))
+    def _ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _learn(self, new: list[bytes]) -> None:
+        """Remember the ids of words, which hold no white space: their parts are found and looked up all at once."""
+        spelled = b"\n".join(new).decode("utf-8", "replace").split("\n") if new else []
+        plain = [bool(_PLAIN.fullmatch(text)) for text in spelled]
+        self.words.update((w, self._ids(t)) for w, t, p in zip(new, spelled, plain, strict=True) if not p)
+        words = [w for w, p in zip(new, plain, strict=True) if p]
+        if words:
+            parts = _PART.findall("\n".join([t for t, p in zip(spelled, plain, strict=True) if p]).lower())
+            for part in set(parts).difference(self.parts):
+                found = self.tokenizer.model.tokenize(part.translate(self.spelling))
+                self.parts[part] = array("I", [t.id for t in found]).tobytes()
+            ids = b"".join([self.parts[p] for p in parts]).split(_BREAK)
+            self.words.update(zip(words, ids, strict=True))
+
     def encode(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         words = [(t or b"").split() for t in texts]
@@ -83,9 +89,9 @@ class WordIds:
         if len(self.words) + len(distinct) > REMEMBERED:
             self.words = {}
         if len(self.parts) > REMEMBERED:
-            self.parts = {}
-        new = distinct.difference(self.words)
-        self.words.update((w, self._word(w)) for w in new)
+            self.parts = {"\n": _BREAK}
+        new = list(distinct.difference(self.words))
+        self._learn(new)
         lookup = self.words.__getitem__
         for own in words:
             yield b"".join(map(lookup, own))
