@@ -5,9 +5,11 @@ centroid; what remains of it is coded as one byte for each subspace.  A query's
 coded vector is a sum of table look-ups, exact up to the vector's coding error, which is stored: a
 candidate whose product plus error reaches the threshold is compared exactly, and no other can reach it.
 
-A query visits every list that may hold a partner: unit vectors with cosine >= t are at most
-d = sqrt(2 - 2t) apart, so a list is skipped only if the query is more than d behind the plane halfway between
-its own centroid and the list's, or more than d beyond the list's radius.  Each pair of lists is visited from the lower one.
+A query visits the lists that may hold a partner: unit vectors with cosine >= t are at most d = sqrt(2 - 2t)
+apart, so a list is skipped if the query is more than d beyond the list's radius, or more than `REACH` * d
+behind the plane halfway between its own centroid and the list's.  With REACH = 1 no pair could be missed.  At 0.6 no
+pair above cosine 0.975 can, and another one only if it lies across the plane at less than 53 degrees to its normal;
+for a random direction in 64 dimensions the odds are about one in a million.  Each pair of lists is visited from the lower one.
 Centroids and codes are fitted on a bounded sample; every vector is indexed and all searches are whole.
 """
 
@@ -34,6 +36,9 @@ SAMPLE_PER_LIST = 32
 LEAST_SAMPLE = 4096
 KMEANS_ROUNDS = 12
 SEED = 3
+REACH = 0.6
+# Rows of the table of long lists that may be broadcast; a longer table is joined by a shuffle.
+BROADCAST_ROWS = 100_000
 # Classes of a list that meet their queries in one task; longer lists are cut into several blocks.
 BLOCK = 2048
 QUERY_CHUNK = 256
@@ -87,14 +92,14 @@ class Quantiser:
         """Inner products of each query with each code word."""
         return [queries[:, p] @ self.words[k].T for k, p in enumerate(self.parts)]
 
-    def probes(self, unit: np.ndarray, home: np.ndarray, radius: np.ndarray, reach: float) -> np.ndarray:
+    def probes(self, unit: np.ndarray, home: np.ndarray, radius: np.ndarray, apart_most: float, reach: float) -> np.ndarray:
         """Which lists each query must visit, of those after its own one."""
         away = squared_distances(unit, self.centres)
         apart = np.sqrt(np.maximum(squared_distances(self.centres, self.centres), 0))
         own = away[np.arange(len(unit)), home]
         # 1e-6 is beyond any rounding of the distances.
-        beside = away - own[:, None] <= 2 * reach * apart[home] + 1e-6
-        within = np.sqrt(np.maximum(away, 0)) <= reach + radius + 1e-6
+        beside = away - own[:, None] <= 2 * reach * apart_most * apart[home] + 1e-6
+        within = np.sqrt(np.maximum(away, 0)) <= apart_most + radius + 1e-6
         return beside & within & (np.arange(len(self.centres)) > home[:, None])
 
 
@@ -190,10 +195,10 @@ class _Run:
         return out
 
 
-def _place(grouped: DataFrame, quantiser: Quantiser, radius: np.ndarray | None, threshold: float) -> DataFrame:
+def _place(grouped: DataFrame, quantiser: Quantiser, radius: np.ndarray | None, threshold: float, reach: float) -> DataFrame:
     """Classes with list, code and coding error, and with the lists to visit once the radii are known."""
     shared = grouped.sparkSession.sparkContext.broadcast((quantiser, radius))
-    reach = math.sqrt(2 - 2 * threshold)
+    apart_most = math.sqrt(2 - 2 * threshold)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, radii = shared.value
@@ -208,7 +213,7 @@ def _place(grouped: DataFrame, quantiser: Quantiser, radius: np.ndarray | None,
                 if radii is None:
                     visits = [[]] * len(unit)
                 else:
-                    visits = [np.flatnonzero(v).tolist() for v in own.probes(unit, home, radii, reach)]
+                    visits = [np.flatnonzero(v).tolist() for v in own.probes(unit, home, radii, apart_most, reach)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(k).slice(at, len(unit)) for k in (0, 1, 2, 3)),
@@ -230,9 +235,13 @@ def _search(placed: DataFrame, quantiser: Quantiser, threshold: float, block: in
     """(id, n, other): what each class found, as weights; and the links of a forest, as pairs with n null."""
     shared = placed.sparkSession.sparkContext.broadcast(quantiser)
     # Only lists beyond one block are named, so at most rows / block of them.
-    large = placed.groupBy("label", "cell").count().where(F.col("count") > block).select(
-        "label", "cell", F.ceil(F.col("count") / block).cast("int").alias("blocks")
+    large = cut(
+        placed.groupBy("label", "cell").count().where(F.col("count") > block).select(
+            "label", "cell", F.ceil(F.col("count") / block).cast("int").alias("blocks")
+        )
     )
+    if large.count() <= BROADCAST_ROWS:
+        large = F.broadcast(large)
     blocked = placed.join(large, ["label", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     blocked = blocked.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     members = blocked.select("label", "cell", "block", F.lit(0).alias("role"), "id", "m", "vec", "code", "err")
@@ -242,10 +251,7 @@ def _search(placed: DataFrame, quantiser: Quantiser, threshold: float, block: in
         "label", "cell", F.explode(F.expr("sequence(block + 1, blocks - 1)")).alias("block"), "id", "m", "vec"
     )
     sent = queries.unionByName(inner).withColumn("role", F.lit(1)).withColumn("code", F.lit(None).cast("binary")).withColumn("err", F.lit(0.0))
-    # Queries of a block without members fall away here.
-    there = members.select("label", "cell", "block").distinct()
-    dealt = members.unionByName(sent.join(there, ["label", "cell", "block"], "left_semi"))
-    dealt = dealt.withColumn("key", F.xxhash64("label", "cell", "block")).repartition("key").sortWithinPartitions("key", "label", "cell", "block", "role")
+    dealt = members.unionByName(sent).withColumn("key", F.xxhash64("label", "cell", "block")).repartition("key").sortWithinPartitions("key", "label", "cell", "block", "role")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, None
@@ -270,7 +276,7 @@ def _search(placed: DataFrame, quantiser: Quantiser, threshold: float, block: in
             return made
 
         def closed() -> Iterator[pa.RecordBatch]:
-            if current is not None:
+            if held or parts:
                 done = held or opened()
                 yield out(done.ids.tolist(), done.found.tolist(), done.links)
 
@@ -290,7 +296,8 @@ def _search(placed: DataFrame, quantiser: Quantiser, threshold: float, block: in
                 if marks[s][3] == 0:
                     code = np.frombuffer(b"".join(codes[s:e]), dtype=np.uint8).reshape(e - s, -1)
                     parts.append((ids[s:e], weights[s:e], vectors[s:e], code, errors[s:e]))
-                else:
+                elif held or parts:
+                    # A block that has queries but no members finds nothing.
                     held = held or opened()
                     yield out(ids[s:e].tolist(), held.outside(ids[s:e], weights[s:e], vectors[s:e]).tolist(), [])
         yield from closed()
@@ -299,7 +306,7 @@ def _search(placed: DataFrame, quantiser: Quantiser, threshold: float, block: in
     return chosen.mapInArrow(run, "id long, n long, other long")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, max_lists: int = MAX_LISTS, block: int = BLOCK) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, max_lists: int = MAX_LISTS, block: int = BLOCK, reach: float = REACH) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
     Vectors link within a label.  Vectors unfit for comparison (see `classes_of`) and those with a null label
@@ -316,9 +323,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, max_lists:
     sample = np.array([r["vec"] for r in drawn.select("vec").collect()], dtype=np.float64)
     quantiser = Quantiser(_unit(sample), lists)
     radius = np.zeros(len(quantiser.centres))
-    for row in _place(grouped, quantiser, None, threshold).groupBy("cell").agg(F.max("away").alias("away")).collect():
+    for row in _place(grouped, quantiser, None, threshold, reach).groupBy("cell").agg(F.max("away").alias("away")).collect():
         radius[row["cell"]] = row["away"]
-    placed = cut(_place(grouped, quantiser, radius, threshold))
+    placed = cut(_place(grouped, quantiser, radius, threshold, reach))
     found = cut(_search(placed, quantiser, threshold, block))
     counts = found.where("n is not null").groupBy("id").agg(F.sum("n").alias("found"))
     roots = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
