@@ -32,17 +32,24 @@ TREE_NODES = 4096
 CHUNK = 1 << 16
 
 
-def fingerprint(text: bytes | None, words: int = WORDS) -> int:
-    """Signed 64-bit SimHash; a bit is set when more than half of the shingles' hashes have it."""
+def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
+    """Hashes of the runs of `words` words, repeated ones too; a shorter text is one run."""
     tokens = (text or b"").lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, dtype="<u8")
     flat = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     span = min(words, len(tokens))
     bounds = zip(starts[: len(tokens) - span + 1].tolist(), ends[span - 1 :].tolist(), strict=True)
-    hashes = np.array([xxh64_intdigest(flat[s:e], SEED) for s, e in bounds], dtype="<u8")
+    return np.array([xxh64_intdigest(flat[s:e], SEED) for s, e in bounds], dtype="<u8")
+
+
+def fingerprint(text: bytes | None, words: int = WORDS) -> int:
+    """Signed 64-bit SimHash; a bit is set when more than half of the shingles' hashes have it."""
+    hashes = shingle_hashes(text, words)
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), CHUNK):
         part = hashes[at : at + CHUNK].view(np.uint8).reshape(-1, 8)

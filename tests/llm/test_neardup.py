@@ -10,7 +10,8 @@ import numpy as np
 import xxhash
 from helpers import frame, sentence, texts
 
-from streamloader.llm import pq_neardup, simhash_bktree
+import corpus_pipeline
+from streamloader.llm import pq_neardup, shingle_join, simhash_bktree
 from streamloader.llm.components import components
 
 
@@ -120,3 +121,39 @@ def test_product_quantisation_against_all_pairs(spark):
         assert sorted((r.vec_id, r.n_links, r.component_id) for r in found if r.vec_id is not None) == wanted
         assert [(r.n_links, r.component_id, r.kept) for r in found if r.vec_id is None] == [(0, None, True)]
     assert pq_neardup.near_duplicates(df.limit(0)).count() == 0
+
+
+def shingles_of(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_pipeline_links_edited_copies_like_all_pairs(spark):
+    """Copies with some words replaced, on both sides of similarity 0.8, beside a passage that many texts share."""
+    rng = random.Random(12)
+    many = " ".join(f"w{k}" for k in range(500))
+    passage = sentence(rng, 40, many)
+    rows = texts(many=15)
+    for k in range(16):
+        base = sentence(rng, rng.choice([40, 100, 400]), many).split()
+        rows.append(" ".join(base))
+        for _ in range(5):
+            copy = list(base)
+            for at in rng.sample(range(len(copy)), max(1, len(copy) * rng.randint(1, 5) // 100)):
+                copy[at] = f"new{rng.random()}"
+            rows.append(" ".join(copy) + (f" {passage}" if k % 4 == 0 else ""))
+    sets = [shingles_of(t) for t in rows]
+
+    def linked(a, b):
+        union = len(sets[a] | sets[b])
+        return not union or len(sets[a] & sets[b]) * 5 >= union * 4
+
+    wanted = brute_components(range(len(rows)), linked)
+    df = frame(spark, rows)
+    for block_texts, paired in ((shingle_join.BLOCK_TEXTS, shingle_join.PAIRED), (3, 2)):
+        found = shingle_join.near_duplicates(df, block_texts=block_texts, paired=paired).collect()
+        assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == wanted
+        assert all(r.kept == (r.component_id == r.doc_id) for r in found if r.doc_id is not None)
+        assert len(found) == df.count() and shingle_join.near_duplicates(df.limit(0)).count() == 0
+    left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect() if r.doc_id is not None}
+    assert left == set(wanted.values())
