@@ -6,10 +6,8 @@ coded vector is a sum of table look-ups, exact up to the vector's coding error,
 candidate whose product plus error reaches the threshold is compared exactly, and no other can reach it.
 
 A query visits the lists that may hold a partner: unit vectors with cosine >= t are at most d = sqrt(2 - 2t)
-apart, so a list is skipped if the query is more than d beyond the list's radius, or more than `REACH` * d
-behind the plane halfway between its own centroid and the list's.  With REACH = 1 no pair could be missed.  At 0.6 no
-pair above cosine 0.975 can, and another one only if it lies across the plane at less than 53 degrees to its normal;
-for a random direction in 64 dimensions the odds are about one in a million.  Each pair of lists is visited from the lower one.
+apart, so a list is skipped if the query is more than d beyond the list's radius, or more than d behind the plane
+halfway between its own centroid and the list's.  No pair is missed.  Each pair of lists is visited from the lower one.
 Centroids and codes are fitted on a bounded sample; every vector is indexed and all searches are whole.
 """
 
@@ -36,7 +34,6 @@ SAMPLE_PER_LIST = 32
 LEAST_SAMPLE = 4096
 KMEANS_ROUNDS = 12
 SEED = 3
-REACH = 0.6
 # Rows of the table of long lists that may be broadcast; a longer table is joined by a shuffle.
 BROADCAST_ROWS = 100_000
 # Classes of a list that meet their queries in one task; longer lists are cut into several blocks.
@@ -92,13 +89,13 @@ class Quantiser:
         """Inner products of each query with each code word."""
         return [queries[:, p] @ self.words[k].T for k, p in enumerate(self.parts)]
 
-    def probes(self, unit: np.ndarray, home: np.ndarray, radius: np.ndarray, apart_most: float, reach: float) -> np.ndarray:
+    def probes(self, unit: np.ndarray, home: np.ndarray, radius: np.ndarray, apart_most: float) -> np.ndarray:
         """Which lists each query must visit, of those after its own one."""
         away = squared_distances(unit, self.centres)
         apart = np.sqrt(np.maximum(squared_distances(self.centres, self.centres), 0))
         own = away[np.arange(len(unit)), home]
         # 1e-6 is beyond any rounding of the distances.
-        beside = away - own[:, None] <= 2 * reach * apart_most * apart[home] + 1e-6
+        beside = away - own[:, None] <= 2 * apart_most * apart[home] + 1e-6
         within = np.sqrt(np.maximum(away, 0)) <= apart_most + radius + 1e-6
         return beside & within & (np.arange(len(self.centres)) > home[:, None])
 
@@ -195,7 +192,7 @@ class _Run:
         return out
 
 
-def _place(grouped: DataFrame, quantiser: Quantiser, radius: np.ndarray | None, threshold: float, reach: float) -> DataFrame:
+def _place(grouped: DataFrame, quantiser: Quantiser, radius: np.ndarray | None, threshold: float) -> DataFrame:
     """Classes with list, code and coding error, and with the lists to visit once the radii are known."""
     shared = grouped.sparkSession.sparkContext.broadcast((quantiser, radius))
     apart_most = math.sqrt(2 - 2 * threshold)
@@ -213,7 +210,7 @@ def _place(grouped: DataFrame, quantiser: Quantiser, radius: np.ndarray | None,
                 if radii is None:
                     visits = [[]] * len(unit)
                 else:
-                    visits = [np.flatnonzero(v).tolist() for v in own.probes(unit, home, radii, apart_most, reach)]
+                    visits = [np.flatnonzero(v).tolist() for v in own.probes(unit, home, radii, apart_most)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(k).slice(at, len(unit)) for k in (0, 1, 2, 3)),
@@ -306,7 +303,7 @@ def _search(placed: DataFrame, quantiser: Quantiser, threshold: float, block: in
     return chosen.mapInArrow(run, "id long, n long, other long")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, max_lists: int = MAX_LISTS, block: int = BLOCK, reach: float = REACH) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, max_lists: int = MAX_LISTS, block: int = BLOCK) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
     Vectors link within a label.  Vectors unfit for comparison (see `classes_of`) and those with a null label
@@ -323,9 +320,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, max_lists:
     sample = np.array([r["vec"] for r in drawn.select("vec").collect()], dtype=np.float64)
     quantiser = Quantiser(_unit(sample), lists)
     radius = np.zeros(len(quantiser.centres))
-    for row in _place(grouped, quantiser, None, threshold, reach).groupBy("cell").agg(F.max("away").alias("away")).collect():
+    for row in _place(grouped, quantiser, None, threshold).groupBy("cell").agg(F.max("away").alias("away")).collect():
         radius[row["cell"]] = row["away"]
-    placed = cut(_place(grouped, quantiser, radius, threshold, reach))
+    placed = cut(_place(grouped, quantiser, radius, threshold))
     found = cut(_search(placed, quantiser, threshold, block))
     counts = found.where("n is not null").groupBy("id").agg(F.sum("n").alias("found"))
     roots = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))

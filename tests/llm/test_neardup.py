@@ -123,6 +123,18 @@ def test_product_quantisation_against_all_pairs(spark):
     assert pq_neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_no_pair_across_wide_lists_is_missed(spark):
+    """Vectors in two dimensions: differences of near copies lie along the normals of the planes between lists."""
+    rng = np.random.default_rng(9)
+    made = rng.normal(size=(300, 2)).astype(np.float32)
+    unit = made.astype(float) / np.linalg.norm(made.astype(float), axis=1)[:, None]
+    wanted = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    df = vectors_of(spark, [(k, v.tolist(), 0, *["x"] * 4) for k, v in enumerate(made)])
+    for max_lists in (6, 8, 10):
+        found = {r.vec_id: r.n_links for r in pq_neardup.near_duplicates(df, max_lists=max_lists).collect()}
+        assert [found[k] for k in range(len(made))] == wanted.tolist()
+
+
 def shingles_of(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
