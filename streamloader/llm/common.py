@@ -20,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`, or a fresh one where that is unset."""
+    """The folder that driver and executors share: `spark.checkpoint.dir`, or in a local session without it a fresh one."""
     context = spark.sparkContext
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if not set_dir and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(set_dir or tempfile.mkdtemp(prefix="llm-"))
     return (set_dir or context.getCheckpointDir()).rstrip("/")
 
@@ -57,9 +59,22 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder; later reads survive the loss of executors."""
+    """Compute once into the shared folder; later reads survive the loss of executors.
+
+    The files stay until `release`, or inside `temporary` until its end: Spark itself does not delete them.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    kept = df.checkpoint()
+    kept.cut_path = kept._jdf.logicalPlan().rdd().getCheckpointFile().get()
+    if _scopes:
+        _scopes[-1].append(kept.cut_path)
+    return kept
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of frames made by `cut`, from which nothing is read any more."""
+    for df in frames:
+        discard(df.sparkSession, df.cut_path)
 
 
 def small_batches(spark: SparkSession) -> None:

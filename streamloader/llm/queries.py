@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamloader.llm import adaptive_rules, bucket_shuffle, disclosure, hmm_scoring, nnls_packing, nnpu_toxicity, ppm_language, pq_neardup, segment_tree_bpe, simhash_bktree
+from streamloader.llm import (
+    adaptive_rules,
+    bucket_shuffle,
+    disclosure,
+    hmm_scoring,
+    merkle_manifest,
+    nnls_packing,
+    nnpu_toxicity,
+    ppm_language,
+    pq_neardup,
+    segment_tree_bpe,
+    simhash_bktree,
+)
 from streamloader.llm.common import cut, discard, scratch_path, table
 
 
@@ -72,6 +84,12 @@ def op10_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nnpu_toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = merkle_manifest.manifest(table(spark, sf_dir, "documents"))
+    proof = F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256")
+    return proved.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nnls_packing": op1_nnls_packing,
     "op2_disclosure": op2_disclosure,
@@ -83,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_segment_tree_bpe": op8_segment_tree_bpe,
     "op9_ppm_language": op9_ppm_language,
     "op10_nnpu_toxicity": op10_nnpu_toxicity,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 _SIGNAL_SQL = """
@@ -102,7 +121,68 @@ _FENCES_SQL = """
 
 _REACH_SQL = f"greatest((q3 - q1) * {adaptive_rules.FENCE}, ceil({adaptive_rules.SLACK!r} / ln({adaptive_rules.GAMMA})))"
 
-# Only operator 4 can be said in SQL; the others are tested against brute force (tests/llm).
+# crc32 by its table of 256 entries, which SQL builds from the polynomial; {bytes} are numbers from 0 to 255.
+_CRC_TABLE_SQL = """
+    crc_table AS (SELECT list(list_reduce([i::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) ORDER BY i) AS t
+                  FROM range(256) r(i))"""
+_CRC_SQL = (
+    "xor(list_reduce(list_prepend(4294967295::UBIGINT, {bytes}),"
+    " lambda c, x: xor(c >> 8, t[(xor(c, x) & 255)::INT + 1])), 4294967295::UBIGINT)"
+)
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _levels_sql(name: str, nodes: str) -> str:
+    """A table of all levels of trees of three: (tree, level, pos, width, h), each level from the one below."""
+    return f"""{name} AS (
+        SELECT * FROM {nodes}
+        UNION ALL
+        SELECT tree, level + 1, pos // 3, (width + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE width > 1 GROUP BY ALL)"""
+
+
+_FIELDS_SQL = " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+# A leaf climbs its source's tree, then the tree over the sources; `side` tells the two.
+_MERKLE_SQL = f"""
+    WITH RECURSIVE {_CRC_TABLE_SQL.strip()},
+    d AS (SELECT doc_id, source, text, sha256({_FIELDS_SQL} || {_field_sql("text")}) AS leaf,
+            sha256({_FIELDS_SQL} || {_field_sql("replace(text, chr(10), '')")}) AS broken,
+            coalesce({_CRC_SQL.format(bytes="list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)")} % 2 = 0, false) AS hit
+          FROM documents, crc_table),
+    sources AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER () AS trees
+                FROM (SELECT DISTINCT source FROM documents)),
+    placed AS (SELECT d.*, tree, trees, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                 count(*) OVER (PARTITION BY tree) AS width
+               FROM d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source),
+    first_level AS (SELECT tree, 0::BIGINT AS level, pos, width, leaf AS h FROM placed),
+    {_levels_sql("low", "first_level")},
+    subroots AS (SELECT -1::BIGINT AS tree, 0::BIGINT AS level, tree AS pos, (SELECT count(*) FROM sources) AS width, h FROM low WHERE width = 1),
+    {_levels_sql("high", "subroots")},
+    nodes AS (SELECT * FROM low UNION ALL SELECT * FROM high),
+    climb AS (
+        SELECT doc_id, leaf, tree AS own, tree, 0::BIGINT AS level, pos, width, trees,
+               CASE WHEN hit THEN broken ELSE leaf END AS f, '' AS proof FROM placed
+        UNION ALL
+        SELECT doc_id, leaf, own,
+               CASE WHEN width = 1 THEN -1 ELSE tree END, CASE WHEN width = 1 THEN 0 ELSE level + 1 END,
+               CASE WHEN width = 1 THEN tree ELSE pos // 3 END, CASE WHEN width = 1 THEN trees ELSE (width + 2) // 3 END, trees,
+               CASE WHEN width = 1 THEN f ELSE sha256(coalesce(before, '') || f || coalesce(after, '')) END,
+               proof || CASE WHEN width = 1 THEN '' ELSE coalesce(before, '') || coalesce(after, '') END
+        FROM (SELECT c.doc_id, c.leaf, c.own, c.tree, c.level, c.pos, c.width, c.trees, c.f, c.proof,
+                string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos < c.pos) AS before,
+                string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos > c.pos) AS after
+              FROM climb c JOIN nodes n ON n.tree = c.tree AND n.level = c.level AND n.pos // 3 = c.pos // 3
+              WHERE c.width > 1 OR c.tree >= 0 GROUP BY ALL))
+    SELECT c.doc_id, c.leaf, s.h AS subroot, r.h AS root, sha256(c.proof) AS proof_sha256, c.f AS folded_root, c.f = r.h AS verified
+    FROM climb c JOIN subroots s ON s.pos = c.own, (SELECT h FROM high WHERE width = 1) r
+    WHERE c.tree = -1 AND c.width = 1
+"""
+
+# The other operators cannot be said in SQL; they are tested against brute force (tests/llm).
 ORACLES: dict[str, str] = {
     "op4_adaptive_rules": f"""
     WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS body FROM documents),
@@ -133,4 +213,5 @@ ORACLES: dict[str, str] = {
            NOT failed AND rid NOT IN (SELECT rid FROM odd) AS kept
     FROM (SELECT *, n_words < {adaptive_rules.MIN_WORDS} OR 100 * n_repeat_words > {adaptive_rules.MAX_REPEAT_PERCENT} * n_words AS failed FROM base)
     """,
+    "op11_merkle_manifest": _MERKLE_SQL,
 }
