@@ -8,15 +8,17 @@ of all levels in between, and a link to its parent block.  A recursive SQL query
 step joins the leaf's place with its block, folds the leaf's hash through the block's levels, appends the siblings
 and moves to the parent's place.  Seven steps reach the root above 10^11 leaves, and no step sends whole levels about.
 
-All leaves below a block meet in its join.  A block above more than `SPREAD` leaves is therefore stored several times,
-salted, so that no join key has more than about `SPREAD` rows however large a source is.
+Heights with at most `SMALL` blocks are broadcast, so leaves and proofs stay where they are; below them leaves travel to
+their blocks.  All leaves below a block meet in its join.  A block above more than `SPREAD` leaves is therefore stored several
+times, salted, so that no join key has more than about `SPREAD` rows however large a source is.
 """
 
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamloader.llm.common import cut, discard, release, scratch_path
@@ -24,6 +26,8 @@ from streamloader.llm.common import cut, discard, release, scratch_path
 FAN = 3
 LEVELS = 4
 SPREAD = 512
+# Blocks of a height that are broadcast, at most some 16 KB each.
+SMALL = 1024
 SPAN = FAN**LEVELS
 # The tree over the sources, and the place above the root.
 TOP, DONE = -1, -2
@@ -59,6 +63,7 @@ def numbered(rows: DataFrame, group: str, order: list[str], tasks: int) -> tuple
     laid = cut(tied.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys).drop("tie"))
     # The id holds the task in its upper bits and the place within it in the lower 33.
     placed = laid.withColumn("at", F.monotonically_increasing_id()).withColumn("task", F.shiftright("at", 33))
+    placed.cut_path = laid.cut_path
     runs = placed.groupBy(group, "task").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     whole = Window.partitionBy(group)
     return placed, runs.select(
@@ -73,22 +78,25 @@ def _in_group(placed: DataFrame, runs: DataFrame, group: str) -> DataFrame:
 
 
 def leaves(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, leaf, tampered, tree, pos, width); `tree` numbers the sources in byte order, null first."""
+    """(doc_id, leaf, tampered, tree, pos, width); `tree` numbers the sources in byte order, null first."""
     spark = docs.sparkSession
     own = F.col("text").cast("string")
     broken = hit() & F.coalesce(F.contains(own, F.lit("\n")), F.lit(False))
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "source", leaf_hash(own).alias("leaf"),
-        F.when(broken, leaf_hash(F.replace(own, F.lit("\n"), F.lit("")))).alias("tampered"),
+        F.col("doc_id").cast("long").alias("doc_id"), "source", F.unhex(leaf_hash(own)).alias("leaf"),
+        F.when(broken, F.unhex(leaf_hash(F.replace(own, F.lit("\n"), F.lit(""))))).alias("tampered"),
     ).withColumn("tampered", F.coalesce("tampered", "leaf"))
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Ranging samples its input, so the texts are hashed before.
     rows = cut(rows)
-    placed, runs = numbered(rows, "source", ["doc_id", "leaf"], max(least, math.ceil(rows.count() * LEAF_BYTES / SORT_BYTES)))
+    laid, runs = numbered(rows, "source", ["doc_id", "leaf"], max(least, math.ceil(rows.count() * LEAF_BYTES / SORT_BYTES)))
+    release(rows)
     runs = cut(runs)
-    sources = _in_group(*numbered(runs.select("source").distinct().withColumn("all", F.lit(0)), "all", ["source"], least), "all")
-    trees = sources.select(F.col("source").alias("of"), F.col("pos").alias("tree"))
-    return _in_group(placed, runs.join(trees, F.col("source").eqNullSafe(F.col("of"))).drop("of"), "source")
+    laid_sources, all_sources = numbered(runs.select("source").distinct().withColumn("all", F.lit(0)), "all", ["source"], least)
+    trees = _in_group(laid_sources, all_sources, "all").select(F.col("source").alias("of"), F.col("pos").alias("tree"))
+    placed = cut(_in_group(laid, runs.join(trees, F.col("source").eqNullSafe(F.col("of"))).drop("of"), "source").drop("source"))
+    release(laid, runs, laid_sources)
+    return placed
 
 
 def _parents(level: str) -> Column:
@@ -112,33 +120,46 @@ def blocks_of(nodes: DataFrame) -> DataFrame:
     return made.select("tree", "block", "width", "leaves", levels.alias("levels"), F.element_at(f"l{LEVELS}", 1).alias("root"))
 
 
-def build(placed: DataFrame, path: str) -> int:
-    """Writes the blocks of all trees below `path`, height by height; returns the number of sources."""
+class Built(NamedTuple):
+    """The number of sources, and the blocks at each height of their trees and of the tree over them."""
+
+    trees: int
+    source: list[int]
+    top: list[int]
+
+    def large(self, side: str) -> int:
+        """Heights from here on are broadcast: they have few blocks, and so do those above them."""
+        return sum(n > SMALL for n in getattr(self, side))
+
+
+def build(placed: DataFrame, path: str) -> Built:
+    """Writes the blocks of all trees below `path`, height by height."""
     spark = placed.sparkSession
 
-    def grow(nodes: DataFrame, widest: int, side: str) -> DataFrame:
+    def grow(nodes: DataFrame, widest: int, side: str) -> tuple[DataFrame, list[int]]:
         """Blocks upon blocks until each tree has one left; returns those, which hold the trees' roots."""
-        ended, height = None, 0
+        ended, many = None, []
         while True:
-            folder = f"{path}/side={side}/height={height}"
+            folder = f"{path}/side={side}/height={len(many)}"
             blocks_of(nodes).write.parquet(folder)
             made = spark.read.parquet(folder)
+            many.append(made.count())
             last = made.where(F.col("width") <= SPAN).select("tree", "root", "leaves")
             ended = last if ended is None else ended.union(last)
             if widest <= SPAN:
-                return ended
+                return ended, many
             nodes = made.where(F.col("width") > SPAN).select(
                 "tree", F.col("block").alias("pos"), F.ceil(F.col("width") / SPAN).alias("width"), F.col("root").alias("h"), "leaves"
             )
-            widest, height = math.ceil(widest / SPAN), height + 1
+            widest = math.ceil(widest / SPAN)
 
     one = F.lit(1).cast("long")
     widest = placed.agg(F.max("width")).first()[0] or 0
-    subroots = grow(placed.select("tree", "pos", "width", F.col("leaf").alias("h"), one.alias("leaves")), widest, "source")
+    subroots, source = grow(placed.select("tree", "pos", "width", F.lower(F.hex("leaf")).alias("h"), one.alias("leaves")), widest, "source")
     trees = subroots.count()
     at_top = [F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("pos"), F.lit(trees).cast("long").alias("width")]
-    grow(subroots.select(*at_top, F.col("root").alias("h"), "leaves"), trees, "top")
-    return trees
+    _, top = grow(subroots.select(*at_top, F.col("root").alias("h"), "leaves"), trees, "top")
+    return Built(trees, source, top)
 
 
 def _siblings(level: int, before: bool) -> Column:
@@ -148,20 +169,21 @@ def _siblings(level: int, before: bool) -> Column:
     return F.expr(f"transform({own}, (h, i) -> if(width > {FAN**level}, array_join({run}, ''), ''))")
 
 
-def linked(built: DataFrame, trees: int) -> DataFrame:
-    """Blocks with the place of their parent, each stored once for every `SPREAD` leaves below it."""
+def linked(blocks: DataFrame, built: Built) -> DataFrame:
+    """Blocks with the place of their parent; those not to be broadcast are stored once for every `SPREAD` leaves below them."""
     ends, top = F.col("width") <= SPAN, F.col("tree") == TOP
 
     def up(at_root: Column, at_subroot: Column, inside: Column) -> Column:
         return F.when(ends & top, at_root).when(ends, at_subroot).otherwise(inside).cast("long")
 
-    own = built.drop("side").withColumns({
+    travels = F.col("height") < F.when(top, built.large("top")).otherwise(built.large("source"))
+    own = blocks.drop("side").withColumns({
+        "salts": F.when(travels, F.ceil(F.col("leaves") / SPREAD)).otherwise(F.lit(1)).cast("long"),
         "height": F.col("height").cast("long"),
-        "salts": F.ceil(F.col("leaves") / SPREAD),
         "up_tree": up(F.lit(DONE), F.lit(TOP), F.col("tree")),
         "up_height": up(F.lit(0), F.lit(0), F.col("height") + 1),
         "up_pos": up(F.lit(0), F.col("tree"), F.col("block")),
-        "up_width": up(F.lit(0), F.lit(trees), F.ceil(F.col("width") / SPAN)),
+        "up_width": up(F.lit(0), F.lit(built.trees), F.ceil(F.col("width") / SPAN)),
     })
     above = own.select(
         F.col("tree").alias("up_tree"), F.col("height").alias("up_height"), F.col("block").alias("up_block"), F.col("salts").alias("up_salts")
@@ -169,42 +191,63 @@ def linked(built: DataFrame, trees: int) -> DataFrame:
     met = own.withColumn("up_block", F.expr(f"up_pos div {SPAN}")).join(above, ["up_tree", "up_height", "up_block"], "left")
     met = met.withColumns({"before": F.array(*[_siblings(k, True) for k in range(LEVELS)]), "after": F.array(*[_siblings(k, False) for k in range(LEVELS)])})
     return met.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).select(
-        "tree", "height", "block", "salt", "before", "after", F.col("root").alias("node"), "up_tree", "up_height", "up_pos", "up_width",
+        "tree", "height", "block", "salt", "before", "after", F.unhex("root").alias("node"), "up_tree", "up_height", "up_pos", "up_width",
         F.coalesce("up_salts", F.lit(1).cast("long")).alias("up_salts"),
     )
 
 
-def _recursion() -> str:
-    """The climb as SQL: a step folds the levels of a block one after the other, each in a projection of its own."""
+def _recursion(inside: str, hint: str) -> str:
+    """The climb through the blocks at places `inside`, as SQL.
+
+    A step folds the levels of a block one after the other, each in a projection of its own.
+    """
+    columns = "doc_id, leaf, spot, tree, height, pos, width, salts, folded, proof, subroot, root"
     step = f"""
-        SELECT c.doc_id, c.source, c.leaf, c.spot, c.tree, c.width, c.folded AS f0, c.proof, c.subroot, b.*, cast(c.pos % {SPAN} as int) AS i
-        FROM climb c JOIN (SELECT * EXCEPT (tree, height), tree AS of_tree, height AS of_height FROM {{blocks}}) b
+        SELECT {hint} c.doc_id, c.leaf, c.spot, c.tree, c.width, c.folded AS f0, c.proof, c.subroot, b.*, cast(c.pos % {SPAN} as int) AS i
+        FROM climb c JOIN (SELECT * EXCEPT (tree, height), tree AS of_tree, height AS of_height FROM {{blocks}} WHERE {inside}) b
         ON of_tree = c.tree AND of_height = c.height AND b.block = c.pos div {SPAN} AND b.salt = pmod(c.spot, c.salts)"""
     siblings = []
     for k in range(LEVELS):
         at = f"[{k}][cast(i div {FAN**k} as int)]"
-        step = f"SELECT *, if(width > {FAN**k}, sha2(concat(before{at}, f{k}, after{at}), 256), f{k}) AS f{k + 1} FROM ({step})"
+        folded = f"unhex(sha2(concat(before{at}, lower(hex(f{k})), after{at}), 256))"
+        step = f"SELECT *, if(width > {FAN**k}, {folded}, f{k}) AS f{k + 1} FROM ({step})"
         siblings += [f"before{at}", f"after{at}"]
     return f"""
-    WITH RECURSIVE climb(doc_id, source, leaf, spot, tree, height, pos, width, salts, folded, proof, subroot, root) AS (
-        SELECT doc_id, source, leaf, xxhash64(tree, pos), tree, 0L, pos, width, 1L, tampered, X'', '', '' FROM {{leaves}}
+    WITH RECURSIVE climb({columns}) AS (
+        SELECT {columns} FROM {{rows}}
         UNION ALL
-        SELECT doc_id, source, leaf, spot, up_tree, up_height, up_pos, up_width, up_salts, f{LEVELS},
+        SELECT doc_id, leaf, spot, up_tree, up_height, up_pos, up_width, up_salts, f{LEVELS},
                concat(proof, unhex(concat({", ".join(siblings)}))),
-               if(up_tree = {TOP} AND tree <> {TOP}, node, subroot), if(up_tree = {DONE}, node, '')
+               if(up_tree = {TOP} AND tree <> {TOP}, node, subroot), if(up_tree = {DONE}, node, X'')
         FROM ({step})
     )
-    SELECT doc_id, source, leaf, subroot, root, proof, folded AS folded_root, folded = root AS verified
-    FROM climb WHERE tree = {DONE} LIMIT ALL
+    SELECT * FROM climb WHERE NOT ({inside}) LIMIT ALL
     """
 
 
-def climb(placed: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Every leaf's way to the root: (doc_id, source, leaf, subroot, root, proof, folded_root, verified).
+def climb(placed: DataFrame, blocks: DataFrame, built: Built, path: str) -> DataFrame:
+    """Every leaf's way to the root: (doc_id, leaf, subroot, root, proof, folded_root, verified), hashes in binary.
 
-    `proof` holds the siblings' digests one after the other, 32 bytes each, level by level, left to right.
+    `path` is a folder for the places between phases. `proof` holds the siblings' digests one after the other, 32 bytes each, level by level, left to right.
     """
-    return placed.sparkSession.sql(_recursion(), leaves=placed, blocks=blocks)
+    rows = placed.selectExpr(
+        "doc_id", "leaf", "xxhash64(tree, pos) AS spot", "tree", "0L AS height", "pos", "width",
+        # Blocks of the first height have too few leaves for salt.
+        "1L AS salts", "tampered AS folded", "X'' AS proof", "X'' AS subroot", "X'' AS root",
+    )
+    source, top = built.large("source"), built.large("top")
+    phases = [(f"tree >= 0 AND height < {source}", "")] if source else []
+    if top:
+        phases += [("tree >= 0", "/*+ BROADCAST(b) */"), (f"tree >= 0 OR tree = {TOP} AND height < {top}", "")]
+    phases.append((f"tree <> {DONE}", "/*+ BROADCAST(b) */"))
+    spark = placed.sparkSession
+    for k, (inside, hint) in enumerate(phases):
+        reached = spark.sql(_recursion(inside, hint), rows=rows, blocks=blocks)
+        if k < len(phases) - 1:
+            # Read from files, as the constraints that a checkpoint keeps break the next recursion's plan.
+            reached.write.parquet(f"{path}/phase={k}")
+            rows = spark.read.parquet(f"{path}/phase={k}")
+    return reached.selectExpr("doc_id", "leaf", "subroot", "root", "proof", "folded AS folded_root", "folded = root AS verified")
 
 
 def manifest(docs: DataFrame) -> DataFrame:
@@ -216,10 +259,10 @@ def manifest(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "blocks")
-    placed = cut(leaves(docs))
-    trees = build(placed, f"{path}/built")
-    linked(spark.read.parquet(f"{path}/built"), trees).write.parquet(f"{path}/linked")
-    proved = cut(climb(placed, spark.read.parquet(f"{path}/linked")))
+    placed = leaves(docs)
+    built = build(placed, f"{path}/built")
+    linked(spark.read.parquet(f"{path}/built"), built).write.parquet(f"{path}/linked")
+    proved = cut(climb(placed, spark.read.parquet(f"{path}/linked"), built, f"{path}/climb"))
     discard(spark, path)
     release(placed)
     return proved

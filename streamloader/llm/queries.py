@@ -18,8 +18,10 @@ from streamloader.llm import (
     nnpu_toxicity,
     ppm_language,
     pq_neardup,
+    rule_ensemble,
     segment_tree_bpe,
     simhash_bktree,
+    spelling_variants,
 )
 from streamloader.llm.common import cut, discard, scratch_path, table
 
@@ -87,7 +89,16 @@ def op10_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     proved = merkle_manifest.manifest(table(spark, sf_dir, "documents"))
     proof = F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256")
-    return proved.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+    digests = [F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root", "folded_root")]
+    return proved.select("doc_id", *digests, proof, "verified")
+
+
+def op12_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -102,6 +113,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ppm_language": op9_ppm_language,
     "op10_nnpu_toxicity": op10_nnpu_toxicity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_rule_ensemble": op12_rule_ensemble,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _SIGNAL_SQL = """
@@ -182,6 +195,36 @@ _MERKLE_SQL = f"""
     WHERE c.tree = -1 AND c.width = 1
 """
 
+# Words with one letter replaced are equal without the letter in that place; a longer word is equal without one of its letters.
+_VARIANTS_SQL = f"""
+    WITH RECURSIVE {_CRC_TABLE_SQL.strip()},
+    runs AS (SELECT doc_id, run, count(*) AS n
+             FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                            '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+             GROUP BY ALL),
+    named AS (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS code FROM runs),
+    hashed AS (SELECT run, n,
+                 {_CRC_SQL.format(bytes="list_transform(range(0, length(code) // 2), lambda i: ('0x' || substr(code, (2 * i + 1)::INT, 2))::UBIGINT)")} AS h
+               FROM named, crc_table),
+    words AS (SELECT word, sum(n)::BIGINT AS n
+              FROM (SELECT n, CASE WHEN h % {spelling_variants.DAMAGED} = 0
+                                   THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed)
+              WHERE length(word) >= {spelling_variants.LEAST_LETTERS} GROUP BY word HAVING sum(n) >= {spelling_variants.LEAST_COUNT}),
+    less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+             FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+    cut AS (SELECT DISTINCT l.word AS long, l.n AS long_n, w.word AS short, w.n AS short_n FROM less l JOIN words w ON l.rest = w.word),
+    near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+             UNION ALL SELECT long, short, short_n FROM cut
+             UNION ALL SELECT short, long, long_n FROM cut),
+    best AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+    judged AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                 CASE WHEN near_n >= {spelling_variants.FACTOR} * w.n THEN near END AS form, CASE WHEN near_n >= {spelling_variants.FACTOR} * w.n THEN near_n END AS form_n
+               FROM words w LEFT JOIN best USING (word)),
+    chain AS (SELECT word, word AS at, form AS next FROM judged
+              UNION ALL SELECT c.word, j.word, j.form FROM chain c JOIN judged j ON j.word = c.next)
+    SELECT word, form, c.at AS root, n, n_near, form_n FROM judged JOIN chain c USING (word) WHERE c.next IS NULL
+"""
+
 # The other operators cannot be said in SQL; they are tested against brute force (tests/llm).
 ORACLES: dict[str, str] = {
     "op4_adaptive_rules": f"""
@@ -214,4 +257,5 @@ ORACLES: dict[str, str] = {
     FROM (SELECT *, n_words < {adaptive_rules.MIN_WORDS} OR 100 * n_repeat_words > {adaptive_rules.MAX_REPEAT_PERCENT} * n_words AS failed FROM base)
     """,
     "op11_merkle_manifest": _MERKLE_SQL,
+    "op13_spelling_variants": _VARIANTS_SQL,
 }
