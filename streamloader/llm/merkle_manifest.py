@@ -26,8 +26,8 @@ from streamloader.llm.common import cut, discard, release, scratch_path
 FAN = 3
 LEVELS = 4
 SPREAD = 512
-# Blocks of a height that are broadcast, at most some 16 KB each.
-SMALL = 1024
+# Blocks of a height that are broadcast: at most some 16 KB each, below Spark's own bound of 10 MB together.
+SMALL = 512
 SPAN = FAN**LEVELS
 # The tree over the sources, and the place above the root.
 TOP, DONE = -1, -2
@@ -92,13 +92,26 @@ def leaves(docs: DataFrame) -> DataFrame:
     laid, runs = numbered(rows, "source", ["doc_id", "leaf"], max(least, math.ceil(rows.count() * LEAF_BYTES / SORT_BYTES)))
     release(rows)
     runs = cut(runs)
-    laid_sources, all_sources = numbered(runs.select("source").distinct().withColumn("all", F.lit(0)), "all", ["source"], least)
-    trees = _in_group(laid_sources, all_sources, "all").select(F.col("source").alias("of"), F.col("pos").alias("tree"))
-    placed = cut(_in_group(laid, runs.join(trees, F.col("source").eqNullSafe(F.col("of"))).drop("of"), "source").drop("source"))
-    release(laid, runs, laid_sources)
+    placed = cut(_in_group(laid, runs.join(ranks(runs), F.col("source").eqNullSafe(F.col("of"))).drop("of"), "source").drop("source"))
+    release(laid, runs)
     return placed
 
 
+def ranks(runs: DataFrame) -> DataFrame:
+    """(of, tree): each source's number in byte order, null first.
+
+    Tasks hold ranges of sources in order, so a source's number is its place among those that begin in its first task and
+    the sources that begin in earlier ones.
+    """
+    begun = runs.groupBy(F.col("source").alias("of")).agg(F.min("task").alias("task"))
+    sizes = begun.groupBy("task").agg(F.count("*").alias("n"))
+    # One row for each task.
+    before = sizes.select(F.col("task").alias("begun_in"), (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("task").orderBy("of"))
+    met = begun.withColumn("place", place).join(before, F.col("task") == F.col("begun_in"))
+    return met.select("of", (F.col("before") + F.col("place") - 1).alias("tree"))
+
+
 def _parents(level: str) -> Column:
     """The hashes of one level up, in order."""
     runs = f"sequence(0, cast((size({level}) - 1) div {FAN} as int))"
@@ -141,8 +154,9 @@ def build(placed: DataFrame, path: str) -> Built:
         ended, many = None, []
         while True:
             folder = f"{path}/side={side}/height={len(many)}"
-            blocks_of(nodes).write.parquet(folder)
-            made = spark.read.parquet(folder)
+            new = blocks_of(nodes)
+            new.write.parquet(folder)
+            made = spark.read.schema(new.schema).parquet(folder)
             many.append(made.count())
             last = made.where(F.col("width") <= SPAN).select("tree", "root", "leaves")
             ended = last if ended is None else ended.union(last)
@@ -204,7 +218,8 @@ def _recursion(inside: str, hint: str) -> str:
     columns = "doc_id, leaf, spot, tree, height, pos, width, salts, folded, proof, subroot, root"
     step = f"""
         SELECT {hint} c.doc_id, c.leaf, c.spot, c.tree, c.width, c.folded AS f0, c.proof, c.subroot, b.*, cast(c.pos % {SPAN} as int) AS i
-        FROM climb c JOIN (SELECT * EXCEPT (tree, height), tree AS of_tree, height AS of_height FROM {{blocks}} WHERE {inside}) b
+        FROM (SELECT * FROM climb WHERE {inside}) c
+        JOIN (SELECT * EXCEPT (tree, height), tree AS of_tree, height AS of_height FROM {{blocks}} WHERE {inside}) b
         ON of_tree = c.tree AND of_height = c.height AND b.block = c.pos div {SPAN} AND b.salt = pmod(c.spot, c.salts)"""
     siblings = []
     for k in range(LEVELS):
@@ -236,10 +251,16 @@ def climb(placed: DataFrame, blocks: DataFrame, built: Built, path: str) -> Data
         "1L AS salts", "tampered AS folded", "X'' AS proof", "X'' AS subroot", "X'' AS root",
     )
     source, top = built.large("source"), built.large("top")
-    phases = [(f"tree >= 0 AND height < {source}", "")] if source else []
+    travel, stay = "", "/*+ BROADCAST(b) */"
+    at = {
+        ("source", travel): f"(tree >= 0 AND height < {source})", ("source", stay): f"(tree >= 0 AND height >= {source})",
+        ("top", travel): f"(tree = {TOP} AND height < {top})", ("top", stay): f"(tree = {TOP} AND height >= {top})",
+    }
+    phases = [(at["source", travel], travel)] if source else []
     if top:
-        phases += [("tree >= 0", "/*+ BROADCAST(b) */"), (f"tree >= 0 OR tree = {TOP} AND height < {top}", "")]
-    phases.append((f"tree <> {DONE}", "/*+ BROADCAST(b) */"))
+        phases += [(at["source", stay], stay), (at["top", travel], travel), (at["top", stay], stay)]
+    else:
+        phases.append((f"{at['source', stay]} OR {at['top', stay]}", stay))
     spark = placed.sparkSession
     for k, (inside, hint) in enumerate(phases):
         reached = spark.sql(_recursion(inside, hint), rows=rows, blocks=blocks)
