@@ -39,65 +39,74 @@ LONGEST_WORD = 64
 
 @cache
 def tokenizer(path: str = TOKENIZER) -> Tokenizer:
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(path)
 
 
 # A word of these characters only is unchanged by normalisation but for its case, and its parts are found here;
 # any other word goes through the whole tokenizer.  Fixed: the tokenizer's own split, for these characters.
 _PLAIN = re.compile(r"[\x21-\x7e\xa1-\xff]+")
 _PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|\n|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾\n]+")
-# Between the ids of two words; ids stay far below, so no ids contain it.
-_BREAK = b"\xff\xff\xff\xff"
+class _Remembered(dict):
+    """Ids found when first asked for.  When full, the older half goes, but for what is asked for again."""
+
+    def __init__(self) -> None:
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.find(key)
+        if len(key) <= LONGEST_WORD:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
+                self.clear()
+            self[key] = ids
+        return ids
+
+
+class _Parts(_Remembered):
+    """Ids of the parts of words."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__()
+        self.model = tokenizer(path).model
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {c: spelled(chr(c))[0][0] for c in (*range(0x21, 0x7F), *range(0xA1, 0x100))}
+
+    def find(self, part: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(part.translate(self.spelling))]).tobytes()
 
 
-class WordIds:
+class WordIds(_Remembered):
     """Ids of texts, word by word: the tokenizer drops white space and merges nothing across it.
 
-    Words and their parts are remembered, so that the tokenizer sees each distinct part once.
+    Words and their parts are remembered, so a text is one pass of look-ups.  Texts that spell one of the tokenizer's own
+    marks go to it whole, as marks are cut out before words are.
     """
 
     def __init__(self, path: str = TOKENIZER) -> None:
+        super().__init__()
         self.tokenizer = tokenizer(path)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"\n": _BREAK}
-        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.spelling = {c: spelled(chr(c))[0][0] for c in (*range(0x21, 0x7F), *range(0xA1, 0x100))}
+        self.parts = _Parts(path)
+        self.marks = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, new: list[bytes]) -> None:
-        """Remember the ids of words, which hold no white space: their parts are found and looked up all at once."""
-        spelled = b"\n".join(new).decode("utf-8", "replace").split("\n") if new else []
-        plain = [bool(_PLAIN.fullmatch(text)) for text in spelled]
-        self.words.update((w, self._ids(t)) for w, t, p in zip(new, spelled, plain, strict=True) if not p)
-        words = [w for w, p in zip(new, plain, strict=True) if p]
-        if words:
-            parts = _PART.findall("\n".join([t for t, p in zip(spelled, plain, strict=True) if p]).lower())
-            for part in set(parts).difference(self.parts):
-                found = self.tokenizer.model.tokenize(part.translate(self.spelling))
-                self.parts[part] = array("I", [t.id for t in found]).tobytes()
-            ids = b"".join([self.parts[p] for p in parts]).split(_BREAK)
-            self.words.update(zip(words, ids, strict=True))
+    def find(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if _PLAIN.fullmatch(text):
+            return b"".join(map(self.parts.__getitem__, _PART.findall(text.lower())))
+        return self._ids(text)
 
     def encode(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [(t or b"").split() for t in texts]
-        distinct = set().union(*words)
-        if len(self.words) + len(distinct) > REMEMBERED:
-            self.words = {}
-        if len(self.parts) > REMEMBERED:
-            self.parts = {"\n": _BREAK}
-        new = list(distinct.difference(self.words))
-        self._learn(new)
-        lookup = self.words.__getitem__
-        for own in words:
-            yield b"".join(map(lookup, own))
-        for word in new:
-            if len(word) > LONGEST_WORD:
-                del self.words[word]
+        for text in texts:
+            text = text or b""
+            if b"<|" in text and any(mark in text.lower() for mark in self.marks):
+                yield self._ids(text.decode("utf-8", "replace"))
+            else:
+                yield b"".join(map(self.__getitem__, text.split()))
 
 
 @cache

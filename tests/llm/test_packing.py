@@ -8,12 +8,17 @@ from array import array
 import numpy as np
 import pytest
 from helpers import ODD, frame, texts
+from tokenizers import Tokenizer
 
 from streamloader.llm import nnls_packing as op
 
 
+PLAIN = Tokenizer.from_file(op.TOKENIZER)
+
+
 def whole_ids(text):
-    return [*op.tokenizer().encode(text or "", add_special_tokens=False).ids, op.SEPARATOR]
+    """By the tokenizer as its file has it."""
+    return [*PLAIN.encode(text or "", add_special_tokens=False).ids, op.SEPARATOR]
 
 
 def test_words_give_the_ids_of_whole_texts():
@@ -23,6 +28,20 @@ def test_words_give_the_ids_of_whole_texts():
         assert array("I", found).tolist() == whole_ids(text)[:-1], text
 
 
+def test_marks_of_the_tokenizer_are_single_ids():
+    for text in ("a <|endoftext|> b", "x<|startoftext|>y", "<|endoftext|>", "A<|ENDOFTEXT|>b <| x", "<|endoftext|"):
+        found = next(op.WordIds().encode([text.encode()]))
+        assert array("I", found).tolist() == whole_ids(text)[:-1], text
+    assert len(whole_ids("a <|endoftext|> b")) == 4
+
+
+def test_small_memory_gives_the_same_ids(monkeypatch):
+    monkeypatch.setattr(op, "REMEMBERED", 6)
+    words, rows = op.WordIds(), [t.encode() for t in texts() if t] * 2
+    assert [array("I", i).tolist() for i in words.encode(rows)] == [whole_ids(t.decode())[:-1] for t in rows]
+    assert max(len(words), len(words.older), len(words.parts)) <= 4
+
+
 @pytest.mark.parametrize(
     "lengths",
     [
