@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamloader.llm.common import cut
+from streamloader.llm.common import cut, release
 
 # The alternation needs about log2(nodes) rounds; far more means a fault, and that is an error, never a cut result.
 MAX_ROUNDS = 60
@@ -37,9 +37,11 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before or mark[0] == 0:
-            return state.select(F.col("a").alias("id"), F.col("b").alias("root")).union(
-                state.select("b", "b")
-            ).groupBy("id").agg(F.min("root").alias("root"))
+            found = state.select(F.col("a").alias("id"), F.col("b").alias("root")).union(state.select("b", "b"))
+            rooted = cut(found.groupBy("id").agg(F.min("root").alias("root")))
+            release(state)
+            return rooted
         before = mark
-        state = cut(_small_star(_large_star(state).distinct()).distinct())
+        last, state = state, cut(_small_star(_large_star(state)).distinct())
+        release(last)
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
