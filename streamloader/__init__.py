@@ -21,7 +21,7 @@ from .sources.decode import (
     schema_from_message,
     wire_header,
 )
-from .sources.feed import change_feed, fan_in, stream_feed, stream_table, with_schema, write_kafka, write_topics
+from .sources.feed import change_feed, fan_in, inserted_rows, stream_feed, stream_table, stream_tables, with_schema, write_kafka, write_topics
 from .sources.messages import (
     ENVELOPE,
     kafka_messages,
@@ -54,6 +54,7 @@ __all__ = [
     "field_map",
     "first_wins",
     "infer_schemas",
+    "inserted_rows",
     "ingest",
     "ingest_counts",
     "json_body",
@@ -73,6 +74,7 @@ __all__ = [
     "split",
     "stream_feed",
     "stream_table",
+    "stream_tables",
     "subscribe",
     "to_envelope",
     "unwrap_cdc",

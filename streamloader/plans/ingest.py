@@ -321,15 +321,14 @@ class _Batch:
         if self.tables.has_batch(name, self.label):
             # A replay: count again, write nothing.
             observed.write.format("noop").mode("overwrite").save()
-            return watch.get["accepted"], watch.get["refused"]
-        order = [F.col(c).alias(f"__arrival_{c}") for c in ARRIVAL]
-        mode = self.options.mode if state.primary_key else APPEND
-        staged = self.tables.stage(state, good.select("record.*", *order), [f"__arrival_{c}" for c in ARRIVAL], mode)
+        else:
+            order = [F.col(c).alias(f"__arrival_{c}") for c in ARRIVAL]
+            mode = self.options.mode if state.primary_key else APPEND
+            self.tables.write(state, good.select("record.*", *order), self.label, [f"__arrival_{c}" for c in ARRIVAL], mode)
         metrics = watch.get
-        # Refused rows are stored before the table's batch shows, so no crash in between can lose them.
+        # Refused rows are a batch of their own; a replay after a crash in between writes what is missing.
         if metrics["refused"]:
             self._quarantine(name, projected.where(F.col("reason").isNotNull()))
-        self.tables.publish(state, staged, mode, self.label)
         return metrics["accepted"], metrics["refused"]
 
     def _create(

@@ -282,6 +282,21 @@ ORACLES: dict[str, str] = {
                cast(sum(length(o_orderstatus) + length(o_orderpriority)) AS bigint) AS text_length
         FROM orders
     """,
+    "q19c_feed_compacted": """
+        SELECT 'feed.customer' AS topic, count(*) AS n, count(DISTINCT c_custkey) AS n_customers, count(*) AS n_offsets,
+               count(*) - 1 AS last_offset, cast(sum(cast(round(c_acctbal * 100) AS bigint)) AS bigint) AS balance_cents
+        FROM customer
+    """,
+    "q20s_fan_in_stream": """
+        WITH sizes AS (
+          SELECT 'customer' AS schema_name, 1 AS schema_version, count(*) AS n, sum(c_custkey) AS sum_sent FROM customer
+          UNION ALL SELECT 'supplier', 2, count(*), sum(s_suppkey) FROM supplier
+          UNION ALL SELECT 'part', 1, count(*), sum(p_partkey) FROM part
+        )
+        SELECT 'feed.' || schema_name AS topic, schema_name, schema_version, n, n AS n_keys, cast(0 AS bigint) AS first_offset,
+               n - 1 AS last_offset, cast(n * (n - 1) // 2 AS bigint) AS sum_offsets, cast(sum_sent AS bigint) AS sum_sent
+        FROM sizes
+    """,
     "q20_fan_in": """
         WITH sizes AS (
           SELECT 'customer' AS schema_name, 1 AS schema_version, count(*) AS n FROM customer

@@ -21,7 +21,7 @@ from ..operators.schemas import conform, infer_schemas, width_classes
 from ..sinks.files import scratch_path
 from ..sinks.tables import Tables
 from ..sources.decode import RegisteredSchema, decode_payload, decode_schema_json, json_body, message_schema, wire_header
-from ..sources.feed import as_message_columns, change_feed, fan_in, stream_table
+from ..sources.feed import as_message_columns, change_feed, fan_in, stream_table, stream_tables
 from ..sources.messages import json_value, subscribe, to_envelope
 from ..streaming.run import merge_stream, write_feed
 from .ingest import IngestOptions, ingest
@@ -641,6 +641,64 @@ def fan_in_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fan_in_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables fed live into one folder by two runs of one checkpoint, each with half of their rows."""
+    tables = new_tables(spark, "live")
+    keys = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey"}
+    frames = {name: as_message_columns(table(spark, sf_dir, name)) for name in keys}
+    states = {name: tables.create(name, df.schema) for name, df in frames.items()}
+    path, checkpoint = scratch_path(spark, "topics"), scratch_path(spark, "checkpoint")
+    for half in (0, 1):
+        for name, df in frames.items():
+            tables.write(states[name], df.where(F.col(keys[name]) % 2 == half), f"half-{half}")
+        messages = stream_tables(tables, list(keys), "feed.", {"supplier": 2})
+        write_feed(messages, path, checkpoint=checkpoint).awaitTermination()
+    back = spark.read.schema(messages.schema).parquet(path)
+    sent = F.coalesce(*[F.get_json_object("value", f"$.{k}").cast("bigint") for k in keys.values()])
+    return back.groupBy("topic", "schema_name", "schema_version").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("key").alias("n_keys"),
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+        F.sum(F.when(F.col("key") == F.col("offset").cast("string"), F.col("offset"))).alias("sum_offsets"),
+        F.sum(sent).alias("sum_sent"),
+    )
+
+
+def feed_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed table fed, compacted, fed on, vacuumed and fed again: every inserted row comes out once."""
+    tables = new_tables(spark, "compacted")
+    customers = as_message_columns(table(spark, sf_dir, "customer"))
+    state = tables.create("customer", customers.schema, primary_key=["c_custkey"])
+    path, checkpoint = scratch_path(spark, "topics"), scratch_path(spark, "checkpoint")
+
+    def load(label: str, condition: str) -> None:
+        tables.write(state, customers.where(condition), label, ["c_custkey"], "insert_if_absent")
+
+    def publish() -> None:
+        write_feed(stream_table(tables, "customer", "feed."), path, checkpoint=checkpoint).awaitTermination()
+
+    load("one", "c_custkey % 4 = 0")
+    load("two", "c_custkey % 4 = 1")
+    publish()
+    load("three", "c_custkey % 4 = 2")
+    tables.compact("customer")
+    publish()
+    tables.vacuum("customer")
+    load("four", "c_custkey % 4 = 3")
+    publish()
+    fed = spark.read.schema("value string, key string, offset bigint, topic string").parquet(path)
+    rows = fed.select("topic", "offset", F.get_json_object("value", "$.c_custkey").cast("bigint").alias("c_custkey"))
+    held = tables.read("customer").select("c_custkey", "c_name", "c_acctbal")
+    return rows.join(held, "c_custkey").groupBy("topic").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("c_custkey").alias("n_customers"),
+        F.countDistinct("offset").alias("n_offsets"),
+        F.max("offset").alias("last_offset"),
+        F.sum(cents("c_acctbal")).alias("balance_cents"),
+    )
+
+
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stream over several tables by text key, staged as files; tables exist beforehand."""
     tables = new_tables(spark, "fanned")
@@ -805,7 +863,9 @@ QUERIES: dict[str, Query] = {
     "q18b_insert_absent": insert_absent,
     "q19_change_feed": feed,
     "q19s_feed_stream": feed_stream,
+    "q19c_feed_compacted": feed_compacted,
     "q20_fan_in": fan_in_feeds,
+    "q20s_fan_in_stream": fan_in_stream,
     "q21_fan_out": fan_out,
     "q22_version_gate": gate,
     "q23_wire_header": wire,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from ..functions.types import UnsupportedSchema, is_flat
 from ..sinks import files
 from ..sinks.files import shared_folder
-from ..sinks.tables import Tables
+from ..sinks.tables import APPEND, BATCH_FOLDER, COMPACTED, INSERT, UPSERT, Tables
 from .decode import message_schema
 from .messages import ENVELOPE_COLUMNS, json_value
 
@@ -63,6 +63,25 @@ def as_message_columns(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def number_by(rows: DataFrame, by: str, starts: DataFrame | None = None) -> DataFrame:
+    """Add `sequence`, a dense running number for each value of `by`, from `starts` (by, next) on or else from 0.
+
+    `rows` must be a plain scan of parquet files of which each holds one value of `by`, as `partitionBy` leaves them.  A row's
+    number is its place in its file and the rows of the value in earlier files, so no row moves; the
+    table of files has one row for each, and Spark broadcasts it when its size allows.
+    """
+    names = rows.columns
+    placed = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    sizes = placed.groupBy(by, "__file").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(by).orderBy("__file")) - F.col("__n")
+    firsts = sizes.select(by, F.col("__file").alias("__in"), before.alias("__first"))
+    if starts is not None:
+        firsts = firsts.join(starts.select(F.col(by).alias("__by"), "next"), F.col(by).eqNullSafe(F.col("__by")), "left")
+        firsts = firsts.withColumn("__first", F.col("__first") + F.coalesce("next", F.lit(0)))
+    numbered = placed.join(firsts.select("__in", "__first"), F.col("__file") == F.col("__in"))
+    return numbered.select((F.col("__first") + F.col("__row")).alias("sequence"), *[F.col(f"`{c}`") for c in names])
+
+
 def _packed(df: DataFrame, table: str, topic_prefix: str, version: int, key: Column) -> DataFrame:
     schema = T.StructType([f for f in df.schema.fields if f.name != "sequence"])
     return df.select(
@@ -123,12 +142,18 @@ def fan_in(
     schema_versions: Sequence[int] | Mapping[str, int] | None = None,
     order: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """The feeds of several tables as one frame of messages, one topic per table."""
+    """The feeds of several tables as one frame of messages, one topic per table.
+
+    Streaming frames come out as a stream of unnumbered messages, which `write_feed` numbers topic by topic.
+    """
     versions = feed_versions(list(frames), schema_versions)
     merged = None
     for name, df in frames.items():
-        keys = (order or {}).get(name)
-        feed = change_feed(df, name, topic_prefix, versions[name.strip()], keys)
+        version = versions[name.strip()]
+        if df.isStreaming:
+            feed = _packed(as_message_columns(df), name.strip(), topic_prefix, version, F.lit(None))
+        else:
+            feed = change_feed(df, name, topic_prefix, version, (order or {}).get(name))
         merged = feed if merged is None else merged.unionByName(feed)
     return merged
 
@@ -146,11 +171,32 @@ def stream_feed(
 
     Rows already there come first, then every file added later.
     """
+    return fan_in({table: _arriving(spark, path, schema, max_files_per_trigger)}, topic_prefix, [schema_version])
+
+
+def _arriving(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = as_message_columns(reader.parquet(path))
-    return _packed(rows, table.strip(), topic_prefix, schema_version, F.lit(None))
+    return reader.parquet(path)
+
+
+def inserted_rows(
+    tables: Tables, name: str, modes: Sequence[str] = (APPEND, INSERT, UPSERT), max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """A stream of the rows that batches of the given modes brought into a table, each once.
+
+    The folder that a file lies in tells its batch's mode and label.  What compaction wrote are rows that came
+    before, so those files are left out.
+    """
+    state = tables.require(name)
+    path = tables.data_path(name)
+    files.make_folder(tables.spark, path)
+    rows = _arriving(tables.spark, path, state.schema, max_files_per_trigger)
+    file = F.col("_metadata.file_path")
+    mode = F.regexp_extract(file, BATCH_FOLDER, 1)
+    compacted = F.startswith(F.regexp_extract(file, BATCH_FOLDER, 2), F.lit(COMPACTED))
+    return rows.where(mode.isin(list(modes)) & ~compacted)
 
 
 def stream_table(
@@ -160,11 +206,21 @@ def stream_table(
     schema_version: int = 1,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """The rows of a table of this library, batch after batch as they are published."""
-    state = tables.require(name)
-    path = tables.data_path(name)
-    files.make_folder(tables.spark, path)
-    return stream_feed(tables.spark, path, state.schema, name, topic_prefix, schema_version, max_files_per_trigger)
+    """The rows of a table of this library as messages, batch after batch as they are written."""
+    rows = inserted_rows(tables, name, max_files_per_trigger=max_files_per_trigger)
+    return fan_in({name: rows}, topic_prefix, [schema_version])
+
+
+def stream_tables(
+    tables: Tables,
+    names: Sequence[str],
+    topic_prefix: str = "",
+    schema_versions: Sequence[int] | Mapping[str, int] | None = None,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """The live feeds of several tables as one stream of messages, one topic per table."""
+    rows = {name: inserted_rows(tables, name, max_files_per_trigger=max_files_per_trigger) for name in names}
+    return fan_in(rows, topic_prefix, schema_versions)
 
 
 def write_topics(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -11,8 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.ingest import IngestOptions, ingest
 from ..sinks import files
 from ..sinks.tables import Tables
-from ..sources.feed import number_rows, write_topics
-from ..sources.messages import ENVELOPE
+from ..sources.feed import number_by, write_topics
 
 Trigger = dict[str, str | bool]
 
@@ -86,6 +85,10 @@ def first_wins(rows: DataFrame, keys: Sequence[str], watermark: tuple[str, str]
     return rows.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
+# Next number of each topic after a batch, in a folder that readers of the feed pass over.
+_NUMBERS = "_numbers"
+
+
 def write_feed(
     messages: DataFrame,
     path: str,
@@ -93,25 +96,34 @@ def write_feed(
     checkpoint: str,
     trigger: Trigger | None = None,
 ) -> StreamingQuery:
-    """Publish a stream of feed messages, numbered on from the rows already published.
+    """Publish a stream of feed messages; each topic is numbered on from its rows already published.
 
-    Each batch has its folder, written as a whole, so replaying one gives the same numbers.
+    A batch is staged by topic, numbered where it lies, and written to a folder of its own.  The next number of every topic is
+    written last: a batch that has it is complete and is not published again, one that has not is written anew.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        start = 0
-        names = [n for n in files.list_names(spark, path) if n.startswith("batch=")]
-        for name in reversed([n for n in names if n < f"batch={batch_id:012d}"]):
-            # Batches are numbered in turn, so only the latest one with rows is read.
-            last = spark.read.schema(ENVELOPE).parquet(f"{path}/{name}").agg(F.max("offset")).first()[0]
-            if last is not None:
-                start = last + 1
-                break
-        numbered = number_rows(batch, start=start).withColumns(
-            {"offset": F.col("sequence"), "key": F.col("sequence").cast("string")}
-        )
-        write_topics(numbered, f"{path}/batch={batch_id:012d}", mode="overwrite")
+        name = f"batch={batch_id:012d}"
+        done = [n for n in files.list_names(spark, f"{path}/{_NUMBERS}") if files.exists(spark, f"{path}/{_NUMBERS}/{n}/_SUCCESS")]
+        if name in done:
+            return
+        earlier = [n for n in done if n < name]
+        starts = spark.read.schema("topic string, next bigint").parquet(f"{path}/{_NUMBERS}/{max(earlier)}") if earlier else None
+        staged = files.scratch_path(spark, "feed")
+        try:
+            batch.hint("rebalance", "topic").write.partitionBy("topic").parquet(staged)
+            held = spark.read.schema(batch.schema).parquet(staged).select(*batch.columns)
+            numbered = number_by(held, "topic", starts).withColumns(
+                {"offset": F.col("sequence"), "key": F.col("sequence").cast("string")}
+            )
+            write_topics(numbered, f"{path}/{name}", mode="overwrite")
+            counts = held.groupBy("topic").agg(F.count(F.lit(1)).alias("next"))
+            if starts is not None:
+                counts = counts.unionByName(starts).groupBy("topic").agg(F.sum("next").alias("next"))
+            counts.write.mode("overwrite").parquet(f"{path}/{_NUMBERS}/{name}")
+        finally:
+            files.delete_folder(spark, staged)
 
     writer = messages.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or AVAILABLE_NOW)).start()

@@ -18,4 +18,4 @@ def spark(tmp_path_factory):
 def tables(spark, tmp_path):
     from streamloader import Tables
 
-    return Tables(spark, str(tmp_path / "tables"))
+    return Tables(spark, str(tmp_path / "tables"), buckets=2)

@@ -18,12 +18,14 @@ from streamloader import (
     fan_in,
     first_wins,
     ingest,
+    inserted_rows,
     json_body,
     merge_stream,
     read_messages,
     run_stream,
     stream_feed,
     stream_table,
+    stream_tables,
     to_envelope,
     unwrap_cdc,
     wire_header,
@@ -31,8 +33,9 @@ from streamloader import (
     write_feed,
     write_topics,
 )
-from streamloader.sources.feed import feed_versions, number_rows
 from streamloader.sinks import files
+from streamloader.sources.feed import feed_versions, number_by, number_rows
+from streamloader.streaming import run as run_module
 
 
 def test_schema_json(spark):
@@ -247,6 +250,103 @@ def test_feed_of_a_loaded_table(spark, tables, tmp_path):
     assert seen == [1, 4]
 
 
+def keyed(spark, first, last):
+    return spark.range(first, last).toDF("k")
+
+
+SHAPE = T.StructType([column("k", T.LongType())])
+
+
+def published(spark, out):
+    rows = spark.read.schema("topic string, offset bigint, key string, value string").parquet(out).collect()
+    assert all(r.key == str(r.offset) for r in rows)
+    return rows
+
+
+def test_live_fan_in_numbers_each_topic(spark, tables, tmp_path):
+    """Interleaved batches of three tables, one far larger, over several runs: every topic counts 0, 1, 2 .. on its own."""
+    for name in ("a", "b", "c"):
+        tables.create(name, SHAPE)
+    out, sizes = str(tmp_path / "out"), {"a": 0, "b": 0, "c": 0}
+    for run, more in enumerate([{"a": 500, "b": 3}, {"b": 4, "c": 1}, {}, {"a": 2, "b": 1, "c": 5}]):
+        for name, n in more.items():
+            rows = keyed(spark, sizes[name], sizes[name] + n).repartition(4)
+            tables.write(tables.state(name), rows, f"run-{run}")
+            sizes[name] += n
+        feed = stream_tables(tables, list(sizes), "f.", [1, 2, 3], max_files_per_trigger=2)
+        write_feed(feed, out, checkpoint=str(tmp_path / "checkpoint")).awaitTermination()
+        rows = published(spark, out)
+        for name, n in sizes.items():
+            own = [r for r in rows if r.topic == f"f.{name}"]
+            assert sorted(r.offset for r in own) == list(range(n))
+            assert sorted(json.loads(r.value)["k"] for r in own) == list(range(n))
+
+
+def test_feed_replay_after_a_crash(spark, tmp_path, monkeypatch):
+    """A batch whose numbers were never written is published anew, in the same place; a complete one is left alone."""
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    keyed(spark, 0, 4).coalesce(1).write.parquet(source)
+    feed = lambda: stream_feed(spark, source, SHAPE, "t")
+    write_feed(feed(), out, checkpoint=checkpoint).awaitTermination()
+    keyed(spark, 4, 9).coalesce(1).write.mode("append").parquet(source)
+    real = run_module.write_topics
+
+    def dies(df, path, mode):
+        real(df, path, mode)
+        raise OSError("lost")
+
+    monkeypatch.setattr(run_module, "write_topics", dies)
+    with pytest.raises(Exception, match="lost"):
+        write_feed(feed(), out, checkpoint=checkpoint).awaitTermination()
+    monkeypatch.setattr(run_module, "write_topics", real)
+    write_feed(feed(), out, checkpoint=checkpoint).awaitTermination()
+    assert sorted((r.offset, json.loads(r.value)["k"]) for r in published(spark, out)) == [(k, k) for k in range(9)]
+    assert not [n for n in files.list_names(spark, files.shared_folder(spark)) if n.startswith("feed-")]
+
+
+@pytest.mark.parametrize("vacuumed", [False, True])
+def test_feed_passes_over_compaction(spark, tables, tmp_path, vacuumed):
+    """Rows written before compaction and not yet fed still come out, rows fed before do not come again."""
+    state = tables.create("t", SHAPE, primary_key=["k"])
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    for n in range(3):
+        tables.write(state, keyed(spark, n * 10, n * 10 + 10), f"b{n}", ["k"], "upsert")
+        if n == 1:
+            tables.compact("t")
+        write_feed(stream_table(tables, "t"), out, checkpoint=checkpoint).awaitTermination()
+        if vacuumed:
+            tables.vacuum("t")
+    assert sorted(json.loads(r.value)["k"] for r in published(spark, out)) == list(range(30))
+    assert tables.read("t").count() == 30
+
+
+def test_feed_of_chosen_modes(spark, tables, tmp_path):
+    state = tables.create("t", SHAPE, primary_key=["k"])
+    tables.write(state, keyed(spark, 0, 5), "a", ["k"], "insert_if_absent")
+    tables.write(state, keyed(spark, 3, 9), "b", ["k"], "upsert")
+    query = inserted_rows(tables, "t", ["insert_if_absent"]).writeStream.format("memory").queryName("chosen").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(r.k for r in spark.table("chosen").collect()) == list(range(5))
+
+
+def test_numbers_by_value_move_no_rows(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    rows = spark.range(3000).selectExpr("concat('t', if(id % 3 = 0, id % 7, 1)) AS topic", "id")
+    rows.repartition(5).write.option("maxRecordsPerFile", 100).partitionBy("topic").parquet(path)
+    held = spark.read.schema("id bigint, topic string").parquet(path)
+    starts = spark.createDataFrame([("t1", 50), ("gone", 7)], "topic string, next bigint")
+    numbered = number_by(held, "topic", starts)
+    found = {}
+    for r in numbered.collect():
+        found.setdefault(r.topic, []).append(r.sequence)
+    plan = numbered._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastHashJoin [__file" in plan and "hashpartitioning(__file" not in plan
+    assert len(found) == 7 and sum(map(len, found.values())) == 3000
+    for topic, own in found.items():
+        first = 50 if topic == "t1" else 0
+        assert sorted(own) == list(range(first, first + len(own)))
+
+
 def test_registry_bodies_and_ids(spark, tables):
     shape = T.StructType([column("a", T.LongType())])
     bodies = [b'\x00\x00\x00\x00\x07{"a":1}', b"\x00\x00\x00\x00\x07oops", b'\x00\x00\x00\x00\x08{"a":2}', b"\x01\x00", None]

@@ -126,8 +126,9 @@ def test_schemaless_topic_with_several_tables(spark, tables):
         (8, "BAD_JSON", None),
     ]
     assert set(tables.names()) >= {"shop.f_Apple", "shop.f_Orange", "shop.f_fruit"}
-    assert "shop_f_Apple" in tables.create_views()
-    assert spark.table("shop_f_Apple").count() == 3
+    # Tables are the catalog's: any session of it reads them by name.
+    assert spark.table(tables.catalog_name("shop.f_Apple")).count() == 3
+    assert spark.sql(f"SELECT sum(diameter) AS d FROM {tables.catalog_name('shop.f_Orange')}").first().d == 9
 
 
 def test_no_creation(spark, tables):
@@ -187,25 +188,26 @@ def test_null_key_of_a_nullable_column(spark, tables):
 
 
 def test_table_altered_meanwhile(spark, tables, monkeypatch):
-    """Another job adds a column between reading the state and publishing: the batch starts over."""
+    """Another job adds a column between reading the state and writing: the batch starts over."""
     state = tables.create("t", TICKER, primary_key=["symbol"])
-    original, calls = tables.stage, []
+    original, calls = tables.write, []
 
     def racing(current, *rest):
-        out = original(current, *rest)
         calls.append(current.revision)
         if len(calls) == 1:
             wider = T.StructType([*TICKER.fields, column("note", T.StringType())])
             tables.alter(state, wider, state.versions)
-        return out
+        return original(current, *rest)
 
-    monkeypatch.setattr(tables, "stage", racing)
+    monkeypatch.setattr(tables, "write", racing)
     rows = [(0, '{"symbol":"A","price":1,"note":"n"}')]
     ingest(messages(spark, rows), tables, IngestOptions())
     assert calls == [0, 1]
     assert [tuple(r) for r in tables.read("t").collect()] == [("A", 1.0, "n")]
     with pytest.raises(StaleState):
         tables.alter(state, T.StructType([column("symbol", T.StringType())]), state.versions)
+    with pytest.raises(StaleState):
+        tables.create("t", TICKER)
 
 
 def test_struct_values(spark, tables):
@@ -279,23 +281,69 @@ def test_small_batch_writes_only_itself(spark, tables):
     state = tables.create("t", KEYED, primary_key=["k"])
     tables.write(state, keyed_rows(spark, 0, 50_000, 1), "load", ["v"], "upsert")
     tables.write(state, keyed_rows(spark, 100, 110, 2), "ten", ["v"], "upsert")
-    folder = f"{tables.data_path('t')}/{tables.batches('t')[-1].folder}"
-    assert spark.read.parquet(folder).count() == 10
+    last = tables.batches("t")[-1].value
+    assert spark.table(tables.catalog_name("t")).where(F.col("__batch") == last).count() == 10
     assert tables.read("t").where("v = 2").count() == 10 and tables.read("t").count() == 50_000
 
 
-def test_slow_writer_among_many_commits(spark, tables):
-    """A batch staged before sixty others are published still shows."""
+def test_keyed_read_has_no_exchange(spark, tables):
+    """Batches are bucketed by key, so taking one row per key shuffles nothing, before and after compaction."""
+    state = tables.create("t", KEYED, primary_key=["k"])
+    for n in range(3):
+        tables.write(state, keyed_rows(spark, n, n + 100, n), f"b{n}", ["v"], "upsert")
+    for _ in range(2):
+        plan = tables.read("t")._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and "Exchange" not in plan
+        tables.compact("t")
+    assert tables.read("t").count() == 102
+
+
+def test_replay_overwrites_what_a_crash_left(spark, tables):
+    """Files of a batch that was never registered are replaced, not added to; a registered batch is not written again."""
+    state = tables.create("t", KEYED)
+    assert tables.write(state, keyed_rows(spark, 0, 5, 1), "a b/c")
+    value = tables.batches("t")[0].value
+    spark.sql(f"ALTER TABLE {tables.catalog_name('t')} DROP PARTITION (__batch = '{value}')")
+    assert tables.read("t").count() == 0 and spark.read.parquet(tables.data_path("t")).count() == 5
+    assert tables.write(state, keyed_rows(spark, 0, 7, 2), "a b/c")
+    assert {(r.k, r.v) for r in tables.read("t").collect()} == {(k, 2) for k in range(7)}
+    assert spark.read.parquet(tables.data_path("t")).count() == 7
+    assert not tables.write(state, keyed_rows(spark, 0, 9, 3), "a b/c")
+
+
+def test_vacuum_keeps_labels(spark, tables):
     state = tables.create("t", KEYED, primary_key=["k"])
-    slow = tables.stage(state, keyed_rows(spark, 0, 3, 7), ["v"], "upsert")
-    for n in range(60):
-        empty = tables.stage(state, keyed_rows(spark, n + 10, n + 11, 1), ["v"], "upsert") if n < 2 else None
-        if empty is None:
-            empty = f"{tables.path('t')}/_staged/empty-{n}"
-            files.create_text(spark, f"{empty}/_SUCCESS", "")
-        assert tables.publish(state, empty, "upsert", f"fast-{n}")
-    assert tables.publish(state, slow, "upsert", "slow")
-    assert tables.read("t").where("v = 7").count() == 3 and len(tables.batches("t")) == 61
+    for n in range(3):
+        tables.write(state, keyed_rows(spark, 0, 10, n), f"b{n}", ["v"], "upsert")
+    tables.compact("t")
+    before = spark.read.parquet(tables.data_path("t")).count()
+    tables.vacuum("t")
+    assert (before, spark.read.parquet(tables.data_path("t")).count()) == (40, 10)
+    assert not tables.write(state, keyed_rows(spark, 0, 10, 9), "b1", ["v"], "upsert")
+    assert {r.v for r in tables.read("t").collect()} == {2}
+
+
+def test_state_lives_in_the_catalog(spark, tables):
+    """Another handle finds keys, required columns, properties and versions; names differ by case and signs only."""
+    shape = T.StructType([column("k", T.LongType(), False, ["primary_key"]), column("it's", T.StringType(), True, ["char8"], "o'x")])
+    names = ["t", "T", "t-", "ns.t", "Ns.t"]
+    for name in names:
+        tables.create(name, shape, primary_key=["k"])
+    other = type(tables)(spark, tables.root)
+    assert sorted(other.names()) == sorted(names)
+    assert all(other.state(n) == tables.state(n) and other.state(n).schema == shape for n in names)
+    assert len({other.catalog_name(n) for n in names}) == len(names)
+
+
+def test_views_show_one_row_per_key(spark, tables):
+    state = tables.create("t", KEYED, primary_key=["k"])
+    tables.write(state, keyed_rows(spark, 0, 10, 1), "a", ["v"], "upsert")
+    tables.compact("t")
+    tables.write(state, keyed_rows(spark, 5, 15, 2), "b", ["v"], "upsert")
+    tables.write(state, keyed_rows(spark, 0, 20, 3), "c", ["v"], "insert_if_absent")
+    (view,) = tables.create_views()
+    rows = {r.k: r.v for r in spark.table(view).collect()}
+    assert rows == {r.k: r.v for r in tables.read("t").collect()} == {k: 1 if k < 5 else 2 if k < 15 else 3 for k in range(20)}
 
 
 def refusing(spark):
@@ -311,20 +359,21 @@ def test_replay_keeps_refused_rows_and_counts(spark, tables):
     assert quarantined(tables) == held and len(held) == 3 and tables.read("t").count() == 1
 
 
-def test_crash_between_quarantine_and_table(spark, tables, monkeypatch):
+def test_crash_between_table_and_quarantine(spark, tables, monkeypatch):
+    """The table's batch is there, its refused rows are not: the replay adds them and nothing else."""
     tables.create("t", T.StructType([column("a", T.LongType())]))
-    publish = tables.publish
+    write = tables.write
 
-    def dies(state, staged, mode, label):
-        if state.name == "t":
+    def dies(state, *rest):
+        if state.name != "t":
             raise OSError("lost")
-        return publish(state, staged, mode, label)
+        return write(state, *rest)
 
-    monkeypatch.setattr(tables, "publish", dies)
+    monkeypatch.setattr(tables, "write", dies)
     with pytest.raises(OSError):
         ingest(refusing(spark), tables, IngestOptions(), job="j")
-    assert tables.read("t").count() == 0
-    monkeypatch.setattr(tables, "publish", publish)
+    monkeypatch.setattr(tables, "write", write)
+    assert tables.read("t").count() == 1 and quarantined(tables) == []
     assert ingest(refusing(spark), tables, IngestOptions(), job="j") == {"t": {"accepted": 1, "refused": 3}}
     assert tables.read("t").count() == 1 and len(quarantined(tables)) == 3
 
