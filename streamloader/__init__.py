@@ -29,7 +29,7 @@ from .sources.messages import (
     subscribe,
     to_envelope,
 )
-from .streaming.run import first_wins, merge_stream, run_stream, write_feed
+from .streaming.run import StreamCounts, first_wins, merge_stream, observe_counts, run_stream, write_feed
 
 __all__ = [
     "ENVELOPE",
@@ -39,6 +39,7 @@ __all__ = [
     "NoSuchTable",
     "RegisteredSchema",
     "StaleState",
+    "StreamCounts",
     "Tables",
     "UnsupportedSchema",
     "Versions",
@@ -62,6 +63,7 @@ __all__ = [
     "merge",
     "merge_stream",
     "message_schema",
+    "observe_counts",
     "one_per_key",
     "project",
     "project_json",

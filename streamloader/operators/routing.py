@@ -31,10 +31,10 @@ def _override(
     if len(topics) != len(overrides):
         return None
     if len(topics) == 1:
-        return qualify(F.lit(overrides[0].strip()), schema_name), F.lit(None).cast("string")
+        return qualify(F.lit(overrides[0]), schema_name), F.lit(None).cast("string")
     by_topic: dict[str, str] = {}
     for topic, table in zip(topics, overrides):
-        by_topic.setdefault(topic.strip().lower(), table.strip())
+        by_topic.setdefault(topic.strip().lower(), table)
     pairs = F.create_map(*[F.lit(x) for item in by_topic.items() for x in item])
     table = F.try_element_at(pairs, F.lower(F.trim("topic")))
     return qualify(table, schema_name), F.when(table.isNull(), F.lit(NO_OVERRIDE))
@@ -68,7 +68,7 @@ def route(
     """Add `dest_table`, by override, topic, schema name or text key.
 
     An override list of the topics' length wins over everything else; one of another length is
-    ignored.  With `single_table_per_topic` the topic names the table, and an empty topic falls
+    ignored.  Topics match trimmed and whatever their case, table names are taken as they are given.  With `single_table_per_topic` the topic names the table, and an empty topic falls
     back to the schema.  Otherwise the schema's simple name does; a schemaless message takes its
     text key, or else its topic, as schema name.  A message counts as schemaless when it has
     neither schema name nor version, unless `schemaless` says otherwise.

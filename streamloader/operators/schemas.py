@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -12,7 +11,8 @@ from ..sources.messages import ARRIVAL
 from .merge import one_per_key
 
 UNSUPPORTED_TYPE = "UNSUPPORTED_TYPE"
-
+# Columns that merged records may give a table, unless told otherwise.
+MAX_COLUMNS = 1000
 
 
 def first_rows(
@@ -50,16 +50,20 @@ def column_type(tag: Column) -> Column:
 
 
 def infer_schemas(
-    df: DataFrame, infer: str = "first_record", order: Sequence[str] = ARRIVAL, value: str = "value"
+    df: DataFrame,
+    infer: str = "first_record",
+    order: Sequence[str] = ARRIVAL,
+    value: str = "value",
+    max_columns: int | None = MAX_COLUMNS,
 ) -> DataFrame:
     """Columns of each destination table: (dest_table, position, column, type).
 
     `first_record` reads one message per table: one column per non-null field, in message order.
-    `all` reads every message and merges the types.  Nested and boolean fields come out as
-    UNSUPPORTED_TYPE.
+    `all` reads every message and merges the types; reading the result fails where a table would have more than
+    `max_columns`.  Nested and boolean fields come out as UNSUPPORTED_TYPE.
     """
     if infer == "all":
-        return _merged_fields(df, value)
+        return _merged_fields(df, value, max_columns)
     if infer != "first_record":
         raise ValueError(f"infer is 'first_record' or 'all', not {infer!r}")
     rows = first_rows(df, ["dest_table"], order, [value]).select(
@@ -77,29 +81,45 @@ def infer_schemas(
     return typed.select("dest_table", place.alias("position"), "column", "type")
 
 
-def _merged_fields(df: DataFrame, value: str) -> DataFrame:
-    """Fields of all records; one merged type text per table reaches the driver."""
-    merged = df.groupBy("dest_table").agg(F.schema_of_variant_agg(F.try_parse_json(value)).alias("tag"))
-    rows = []
-    for table, tag in merged.collect():
-        if not (tag or "").startswith("OBJECT"):
-            rows.append((table, 1, "value", UNSUPPORTED_TYPE))
-            continue
-        record = T.DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", tag))
-        fields = [f for f in record.fields if not isinstance(f.dataType, T.NullType)]
-        for position, f in enumerate(fields, 1):
-            rows.append((table, position, f.name, _flat_name(f.dataType)))
-    return df.sparkSession.createDataFrame(
-        rows, "dest_table string, position int, column string, type string"
-    )
+# Kinds of values a column has had, as bits: their union is the column's place in the lattice of types.
+_LONG, _DOUBLE, _STRING, _OTHER = 1, 2, 4, 8
 
 
-def _flat_name(dtype: T.DataType) -> str:
-    if isinstance(dtype, (T.DecimalType, T.DoubleType, T.FloatType)):
-        return "double"
-    if isinstance(dtype, (T.LongType, T.StringType)):
-        return dtype.simpleString()
-    return UNSUPPORTED_TYPE
+def _merged_fields(df: DataFrame, value: str, max_columns: int | None) -> DataFrame:
+    """Fields of all records in name order, with the least type that holds all their values.
+
+    Each record's fields meet by (table, column) as bits, which tasks join before they are shuffled; nothing reaches the driver.
+    A table of records that are not objects has one column that no table takes.
+    """
+    parsed = df.select("dest_table", F.col(value).alias("_text"), F.try_parse_json(value).alias("_v")).where(F.col("_v").isNotNull())
+    kind = F.schema_of_variant("_v")
+    objects = parsed.where(F.json_object_keys("_text").isNotNull())
+    fields = objects.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    name = column_type(F.schema_of_variant(F.col("value")))
+    bit = (
+        F.when(name == "bigint", _LONG).when(name == "double", _DOUBLE).when(name == "string", _STRING)
+        .when(name.isNotNull(), _OTHER).otherwise(0)
+    )
+    seen = fields.where(F.col("key").isNotNull()).select("dest_table", F.col("key").alias("column"), bit.alias("bit"))
+    bare = parsed.where(F.json_object_keys("_text").isNull() & (kind != "VOID")).select(
+        "dest_table", F.lit("value").alias("column"), F.lit(_OTHER << 1).alias("bit")
+    )
+    met = seen.unionByName(bare).groupBy("dest_table", "column").agg(F.bit_or("bit").alias("bits")).where("bits > 0")
+    table = Window.partitionBy("dest_table")
+    # One row for each column of the table.
+    counted = met.withColumns({"_n": F.count(F.lit(1)).over(table), "_bare": F.max("bits").over(table) >= _OTHER << 1})
+    if max_columns is not None:
+        message = F.concat(F.lit("table "), "dest_table", F.lit(" would have "), F.col("_n").cast("string"), F.lit(f" columns, more than {max_columns}"))
+        counted = counted.where(F.when(F.col("_n") <= max_columns, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    bits = F.col("bits")
+    kept = counted.where(~F.col("_bare") | (bits >= _OTHER << 1)).select(
+        "dest_table",
+        F.when(F.col("_bare"), F.lit("value")).otherwise(F.col("column")).alias("column"),
+        F.when(bits == _LONG, F.lit("bigint")).when(bits <= _LONG | _DOUBLE, F.lit("double")).when(bits == _STRING, F.lit("string"))
+        .otherwise(F.lit(UNSUPPORTED_TYPE)).alias("type"),
+    )
+    place = F.row_number().over(table.orderBy("column"))
+    return kept.select("dest_table", place.alias("position"), "column", "type")
 
 
 def schema_of_columns(rows: Sequence[tuple[int, str, str]]) -> T.StructType:

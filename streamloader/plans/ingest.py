@@ -28,6 +28,7 @@ from ..sources.decode import (
     open_registry,
     refused_columns,
     schema_from_message,
+    schema_shape,
 )
 from ..sources.messages import ARRIVAL, subscribe
 
@@ -37,6 +38,9 @@ RESERVED_TABLE = "RESERVED_TABLE"
 
 QUARANTINE = "_quarantine"
 
+# Column of what a row's payload is decoded by.
+_SHAPE = "__shape"
+
 VALUE_FORMATS = ("json", "schema_json", "struct", "registry")
 
 
@@ -50,8 +54,8 @@ class IngestOptions:
 
     Routed messages are kept while they are loaded: as files of the shared folder, one folder per
     destination, of which each table reads its own (`stage="files"`), or, for small batches, in executor
-    storage (`stage="cache"`).  `max_destinations` is the most tables one batch may feed; beyond it nothing
-    is loaded.
+    storage (`stage="cache"`).  `max_destinations` is the most tables one batch may feed, `max_schemas` the most new
+    versions, and shapes of payloads, that it may bring; beyond them nothing is loaded.
     """
 
     topics: Sequence[str] | None = None
@@ -71,7 +75,8 @@ class IngestOptions:
     typed_parse: bool = True
     on_error: str = "quarantine"
     stage: str = "files"
-    max_destinations: int | None = None
+    max_destinations: int = 1000
+    max_schemas: int = 1000
     retry_count: int = 1
     parallel_tables: int = 4
 
@@ -162,6 +167,23 @@ class TooManyDestinations(RuntimeError):
     """A batch would feed more tables than its options allow."""
 
 
+class TooManySchemas(RuntimeError):
+    """A batch brings more schema versions, or shapes of payloads, than its options allow."""
+
+
+def first_of_versions(usable: DataFrame, schema_key: str | None, known: DataFrame) -> DataFrame:
+    """(dest_table, schema_version, first, schema) of each version that is not known, by its earliest message.
+
+    `known` is (dest_table, schema_version); what is known is left out before anything leaves the executors.
+    """
+    arrival = F.struct(*ARRIVAL)
+    text = F.min_by(F.col(schema_key), arrival) if schema_key else F.lit(None).cast("string")
+    versions = usable.groupBy("dest_table", "schema_version").agg(F.min(arrival).alias("first"), text.alias("schema"))
+    held = known.toDF("_table", "_version")
+    same = (F.col("dest_table") == F.col("_table")) & F.col("schema_version").eqNullSafe(F.col("_version"))
+    return versions.join(held, same, "left_anti")
+
+
 class _Batch:
     def __init__(
         self, messages: DataFrame, tables: Tables, options: IngestOptions, job: str, batch_id: int
@@ -171,9 +193,12 @@ class _Batch:
         self.job = job
         self.batch_id = batch_id
         self.label = f"{job}-{batch_id:012d}"
-        # The column that tells the schemas of one frame apart.
+        # The columns that hold a version's schema, and that tell apart how payloads are decoded.
         self.schema_key = {"schema_json": "message_schema", "registry": "schema_id"}.get(options.value_format)
+        self.shape_key = {"schema_json": _SHAPE, "registry": "schema_id"}.get(options.value_format)
         self.routed = prepare(messages, options)
+        if self.shape_key == _SHAPE:
+            self.routed = self.routed.withColumn(_SHAPE, schema_shape("message_schema"))
 
     def run(self) -> dict[str, dict[str, int]]:
         self.staged = None
@@ -199,38 +224,45 @@ class _Batch:
         self.routed = spark.read.schema(self.routed.schema).parquet(self.staged).select(*names)
 
     def _profile(self) -> list[Row]:
-        """Rows, and the first arrival, of each destination, version, schema and reason."""
-        keys = ["dest_table", "schema_version", "reason"]
-        if self.schema_key is not None:
-            keys.append(self.schema_key)
+        """Rows of each destination and reason.  Destinations are bounded, reasons are few."""
         most = self.options.max_destinations
-        if most is not None:
-            tables = self.routed.groupBy("dest_table").agg(F.count(F.lit(1)).alias("n"))
-            sizes = tables.limit(most + 1).collect()
-            if len(sizes) > most:
-                listed = ", ".join(f"{r['dest_table']}: {r['n']}" for r in sizes[:20])
-                raise TooManyDestinations(f"more than {most} destinations, among them {listed}")
-        first = F.min(F.struct(*ARRIVAL)).alias("first")
-        return self.routed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), first).collect()
+        counts = self.routed.groupBy("dest_table").agg(F.count(F.lit(1)).alias("n"))
+        sizes = counts.limit(most + 1).collect()
+        if len(sizes) > most:
+            listed = ", ".join(f"{r['dest_table']}: {r['n']}" for r in sizes[:20])
+            raise TooManyDestinations(f"more than {most} destinations, among them {listed}")
+        return self.routed.groupBy("dest_table", "reason").agg(F.count(F.lit(1)).alias("n")).collect()
+
+    def _few(self, rows: DataFrame, what: str) -> list[Row]:
+        """Rows for the driver, of which there may be only so many."""
+        most = self.options.max_schemas
+        found = rows.limit(most + 1).collect()
+        if len(found) > most:
+            tables = sorted({r["dest_table"] for r in found})[:20]
+            raise TooManySchemas(f"more than {most} {what}, among others for {', '.join(tables)}")
+        return found
 
     def _run(self) -> dict[str, dict[str, int]]:
         profile = self._profile()
         counts: dict[str, dict[str, int]] = {}
         early = 0
-        self.schemas: dict[str, set] = {}
         names = sorted({r["dest_table"] for r in profile if r["reason"] is None})
         for row in profile:
             table = counts.setdefault(row["dest_table"] or "", {"accepted": 0, "refused": 0})
             if row["reason"] is not None:
                 table["refused"] += row["n"]
                 early += row["n"]
-            elif self.schema_key is not None:
-                self.schemas.setdefault(row["dest_table"], set()).add(row[self.schema_key])
+        usable = self.routed.where(F.col("reason").isNull())
+        self.shapes: dict[str, list] = {}
+        if self.shape_key is not None and names:
+            shapes = usable.select("dest_table", F.col(self.shape_key).alias("shape")).distinct()
+            for row in self._few(shapes, "shapes of payloads"):
+                self.shapes.setdefault(row["dest_table"], []).append(row["shape"])
         if early and self.options.on_error == "fail":
             stop_on_refusal(self.routed).write.format("noop").mode("overwrite").save()
         if early:
             self._quarantine(None, self.routed.where(F.col("reason").isNotNull()))
-        arrivals = self._arrivals(names, [r for r in profile if r["reason"] is None])
+        arrivals = self._arrivals(names, usable)
         with ThreadPoolExecutor(self.options.parallel_tables) as pool:
             outcomes = list(pool.map(lambda name: self._load(name, arrivals.get(name, [])), names))
         for name, (accepted, bad) in zip(names, outcomes):
@@ -249,9 +281,8 @@ class _Batch:
                 state = self.tables.require(QUARANTINE)
         self.tables.write(state, rows, f"{self.label}~{name or ''}")
 
-    def _arrivals(self, names: Sequence[str], profile: Sequence[Row]) -> dict[str, list[_Arrival]]:
-        """Versions of each table in the batch, earliest first, with their columns."""
-        usable = self.routed.where(F.col("reason").isNull())
+    def _arrivals(self, names: Sequence[str], usable: DataFrame) -> dict[str, list[_Arrival]]:
+        """Versions of each table that the batch brings first, earliest first, with their columns."""
         found: dict[str, list[_Arrival]] = {}
         if self.options.value_format == "json":
             # Objects without schema all have version None, and never evolve a table.
@@ -270,19 +301,21 @@ class _Batch:
                 for name in new:
                     found[name] = [_inferred(columns.get(name, []))]
             return found
-        # The profile has the first message of each version already; known versions are left to the match.
-        firsts: dict[tuple, Row] = {}
-        for row in sorted(profile, key=lambda r: tuple((v is not None, v) for v in r["first"])):
-            firsts.setdefault((row["dest_table"], row["schema_version"]), row)
-        typed = self.options.value_format == "struct"
-        for (name, version), row in firsts.items():
-            if typed:
+        if not names:
+            return found
+        states = {n: self.tables.state(n) for n in names}
+        known = [(n, v) for n, s in states.items() if s is not None for v in (*s.versions.known, *s.versions.blocked)]
+        held = usable.sparkSession.createDataFrame(known, "dest_table string, schema_version int")
+        new = self._few(first_of_versions(usable, self.schema_key, held), "new schema versions")
+        for row in sorted(new, key=lambda r: tuple((v is not None, v) for v in r["first"])):
+            version = row["schema_version"]
+            if self.options.value_format == "struct":
                 arrival = _checked(version, self.routed.schema["value"].dataType)
             elif self.options.value_format == "registry":
-                arrival = _checked(version, self.options.registry[row["schema_id"]].columns)
+                arrival = _checked(version, self.options.registry[row["schema"]].columns)
             else:
-                arrival = _declared(version, row["message_schema"])
-            found.setdefault(name, []).append(arrival)
+                arrival = _declared(version, row["schema"])
+            found.setdefault(row["dest_table"], []).append(arrival)
         return found
 
     def _load(self, name: str, arrivals: list[_Arrival]) -> tuple[int, int]:
@@ -373,7 +406,7 @@ class _Batch:
         return self._project_payloads(rows, state)
 
     def _project_payloads(self, rows: DataFrame, state: TableState) -> DataFrame:
-        """Decode payloads by their own schema; one branch per distinct schema of the table."""
+        """Decode payloads by their own schema; one branch per shape of the table's payloads in the batch."""
         record = T.StructType([T.StructField(f.name, f.dataType) for f in state.schema.fields])
         out = rows.where(F.col("reason").isNotNull()).withColumns(
             {
@@ -383,12 +416,12 @@ class _Batch:
             }
         )
         out = out.drop("payload")
-        for schema in sorted(self.schemas[state.name]):
-            mine = rows.where(F.col("reason").isNull() & (F.col(self.schema_key) == schema))
+        for shape in sorted(self.shapes[state.name]):
+            mine = rows.where(F.col("reason").isNull() & (F.col(self.shape_key) == shape))
             if self.options.value_format == "registry":
-                opened, body = decode_registered(mine, self.options.registry[schema]), "body"
+                opened, body = decode_registered(mine, self.options.registry[shape]), "body"
             else:
-                opened, body = decode_payload(mine, schema_from_message(schema)), "payload"
+                opened, body = decode_payload(mine, schema_from_message(shape)), "payload"
             out = out.unionByName(project(opened, state.schema, source=body).drop(body))
         return out
 

@@ -97,7 +97,7 @@ ORACLES: dict[str, str] = {
     """,
     "q03_route_override": """
         SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'hot.urgent' WHEN '2-HIGH' THEN 'sales.high'
-                    WHEN '3-MEDIUM' THEN 'sales.medium' WHEN '4-NOT SPECIFIED' THEN 'sales.other'
+                    WHEN '3-MEDIUM' THEN 'sales. medium' WHEN '4-NOT SPECIFIED' THEN 'sales.other '
                END AS dest_table,
                CASE WHEN o_orderpriority = '5-LOW' THEN 'NO_OVERRIDE' END AS reason,
                count(*) AS n
@@ -361,6 +361,11 @@ ORACLES: dict[str, str] = {
         FROM events WHERE regexp_full_match('app.events.' || event_type, 'app\\.events\\.(click|view|sign)')
         GROUP BY event_type
     """,
+    "q27s_stream_counts": """
+        SELECT 'app_events_' || event_type AS dest_table, count(*) FILTER (value > 5) AS accepted,
+               count(*) FILTER (value <= 5) AS refused
+        FROM events GROUP BY event_type
+    """,
     "q27_ingest_counts": """
         SELECT 'app_events_' || event_type AS dest_table, count(*) FILTER (value > 5) AS accepted,
                count(*) FILTER (value <= 5) AS refused

@@ -23,7 +23,7 @@ from ..sinks.tables import Tables
 from ..sources.decode import RegisteredSchema, decode_payload, decode_schema_json, json_body, message_schema, wire_header
 from ..sources.feed import as_message_columns, change_feed, fan_in, stream_table, stream_tables
 from ..sources.messages import json_value, subscribe, to_envelope
-from ..streaming.run import merge_stream, write_feed
+from ..streaming.run import StreamCounts, merge_stream, observe_counts, write_feed
 from .ingest import IngestOptions, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -828,6 +828,29 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_counts(require_key(project_json(routed, target), ["event_id"]))
 
 
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts from the progress of a running stream, one row per table and batch."""
+    events = table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    value = F.to_json(F.struct(F.when(F.col("value") > 5, F.col("event_id")).alias("event_id"), "user_id"))
+    target = schema(column("event_id", LONG), column("user_id", LONG))
+    messages = to_envelope(
+        stream, topic=F.concat(F.lit("app.events."), F.col("event_type")), value=value, offset=F.col("event_id"), timestamp=F.col("ts")
+    )
+    routed = require_key(project_json(route(messages, single_table_per_topic=True), target), ["event_id"])
+    listed = [f"app_events_{kind}" for kind in ("click", "error", "purchase", "signup", "view")]
+    listener = StreamCounts()
+    spark.streams.addListener(listener)
+    try:
+        writer = observe_counts(routed, listed).writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "checkpoint"))
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        listener.wait(query)
+    finally:
+        spark.streams.removeListener(listener)
+    return listener.frame(spark).groupBy("dest_table").agg(F.sum("accepted").alias("accepted"), F.sum("refused").alias("refused"))
+
+
 QUERIES: dict[str, Query] = {
     "q01_route_topic": route_topic,
     "q01w_create_write": create_write,
@@ -874,4 +897,5 @@ QUERIES: dict[str, Query] = {
     "q25_stream_upsert": stream_upsert,
     "q26_subscribe_regex": subscribe_regex,
     "q27_ingest_counts": counts,
+    "q27s_stream_counts": stream_counts,
 }

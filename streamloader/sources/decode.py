@@ -76,6 +76,15 @@ def schema_from_message(text: str) -> T.StructType:
     return schema
 
 
+def schema_shape(text: str | Column) -> Column:
+    """What a payload's decoding depends on: names and types of a message schema's fields, as the text of a schema.
+
+    Many schema texts share a shape, as documentation, defaults and versions are no part of it.
+    """
+    fields = F.from_json(text, "fields array<struct<field: string, type: string>>")["fields"]
+    return F.to_json(F.struct(fields.alias("fields")))
+
+
 def decode_payload(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Parse payload texts by their declared columns into a struct `payload`.
 

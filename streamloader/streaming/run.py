@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import threading
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..plans.ingest import IngestOptions, ingest
 from ..sinks import files
@@ -50,6 +52,63 @@ def run_stream(
     return writer.trigger(**(trigger or AVAILABLE_NOW)).start()
 
 
+COUNTS = "ingest_counts"
+# Key of rows for tables that are not listed.
+OTHER_TABLES = ""
+
+
+def observe_counts(rows: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """Named metrics on a stream of projected rows: accepted and refused rows of each table, the others' under "".
+
+    They ride on the stream itself; `StreamCounts` reads them batch by batch.
+    """
+    refused = F.col("reason").isNotNull()
+    conditions = [(t, F.col("dest_table").eqNullSafe(F.lit(t))) for t in tables]
+    listed = F.coalesce(F.col("dest_table").isin(list(tables)), F.lit(False))
+    entries = []
+    for name, mine in [*conditions, (OTHER_TABLES, ~listed)]:
+        both = F.struct(F.count_if(mine & ~refused).alias("accepted"), F.count_if(mine & refused).alias("refused"))
+        entries += [F.lit(name), both]
+    return rows.observe(COUNTS, F.create_map(*entries).alias("tables"))
+
+
+class StreamCounts(StreamingQueryListener):
+    """Counts of the streams of a session, per run, batch and table, from their progress events.
+
+    Register it with `spark.streams.addListener`; it holds one small row for each.
+    """
+
+    def __init__(self) -> None:
+        self.rows: list[tuple[str, int, str, int, int]] = []
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        metrics = progress.observedMetrics.get(COUNTS)
+        if metrics is not None:
+            for table, (accepted, refused) in sorted(metrics["tables"].items()):
+                if accepted or refused:
+                    self.rows.append((str(progress.runId), progress.batchId, table, accepted, refused))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until the events of a query that has ended are here."""
+        if not self._ended[str(query.runId)].wait(seconds):
+            raise TimeoutError("the stream's last event did not arrive")
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """(run, batch, dest_table, accepted, refused) of everything seen."""
+        return spark.createDataFrame(self.rows, "run string, batch bigint, dest_table string, accepted bigint, refused bigint")
+
+
 def merge_stream(
     rows: DataFrame,
     tables: Tables,

@@ -11,6 +11,7 @@ from streamloader import (
     IngestOptions,
     RegisteredSchema,
     Tables,
+    StreamCounts,
     UnsupportedSchema,
     change_feed,
     column,
@@ -21,6 +22,7 @@ from streamloader import (
     inserted_rows,
     json_body,
     merge_stream,
+    observe_counts,
     read_messages,
     run_stream,
     stream_feed,
@@ -182,6 +184,29 @@ def test_stream_equals_batch(spark, tmp_path):
     assert len(seen) == 3
 
 
+def test_counts_of_a_running_stream(spark, tmp_path):
+    """Progress events tell accepted and refused rows of every batch and table, unlisted tables together."""
+    source = str(tmp_path / "in")
+    shape = "dest_table string, reason string"
+    batches = [[("a", None)] * 3 + [("b", "X")], [("a", "X"), ("c", None), (None, "Y")], [("b", None)] * 2]
+    for rows in batches:
+        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(source)
+    listener = StreamCounts()
+    spark.streams.addListener(listener)
+    try:
+        writer = observe_counts(stream, ["a", "b"]).writeStream.foreachBatch(lambda df, n: df.write.format("noop").mode("overwrite").save())
+        query = writer.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        listener.wait(query)
+    finally:
+        spark.streams.removeListener(listener)
+    assert [(b, t, x, y) for _, b, t, x, y in listener.rows] == [
+        (0, "a", 3, 0), (0, "b", 0, 1), (1, "", 1, 1), (1, "a", 0, 1), (2, "b", 2, 0),
+    ]
+    assert listener.frame(spark).where("dest_table = 'a'").agg(F.sum("accepted")).first()[0] == 3
+
+
 def test_typed_stream_first_wins(spark, tmp_path):
     source, root = str(tmp_path / "in"), str(tmp_path)
     for n in range(2):

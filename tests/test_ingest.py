@@ -19,9 +19,10 @@ from streamloader import (
     to_envelope,
 )
 from streamloader.plans import ingest as job_module
-from streamloader.plans.ingest import TooManyDestinations
+from streamloader.plans.ingest import TooManyDestinations, TooManySchemas
 from streamloader.sinks import files
 from streamloader.sinks.tables import JobInUse
+from streamloader.sources.decode import schema_shape
 from test_schemas import VERSIONS
 
 SINGLE = dict(single_table_per_topic=True)
@@ -418,6 +419,38 @@ def test_bound_on_destinations_and_clean_scratch(spark, tables):
     assert not [n for n in files.list_names(spark, files.shared_folder(spark)) if n.startswith("routed-")]
 
 
+def texts_of_one_version(spark, many, version=1):
+    """Messages whose schema texts all differ in their documentation."""
+    head = F.concat(
+        F.lit('{"schema":{"type":"struct","name":"rec","version":%d,"fields":[{"field":"k","type":"int64","optional":true,"doc":"' % version),
+        F.col("id").cast("string"), F.lit('"}]},"payload":{"k":'), F.col("id").cast("string"), F.lit("}}"),
+    )
+    return to_envelope(spark.range(many), topic="t", value=head, offset=F.col("id"), partition=F.lit(0))
+
+
+def test_many_schema_texts_of_one_version(spark, tables):
+    """A hundred thousand texts of a version bring one row to the driver while it is new, and none once it is known."""
+    options = IngestOptions(value_format="schema_json", **SINGLE)
+    sent = job_module.prepare(texts_of_one_version(spark, 100_000), options)
+    nothing = spark.createDataFrame([], "dest_table string, schema_version int")
+    (first,) = job_module.first_of_versions(sent, "message_schema", nothing).collect()
+    assert (first.schema_version, first["first"].offset) == (1, 0) and '"doc":"0"' in first.schema
+    known = spark.createDataFrame([("t", 1), ("t", None)], nothing.schema)
+    assert job_module.first_of_versions(sent, "message_schema", known).collect() == []
+    assert sent.select(schema_shape("message_schema")).distinct().count() == 1
+    assert ingest(texts_of_one_version(spark, 2000), tables, options) == {"t": {"accepted": 2000, "refused": 0}}
+    assert ingest(texts_of_one_version(spark, 300), tables, options) == {"t": {"accepted": 300, "refused": 0}}
+    assert ingest(texts_of_one_version(spark, 7, version=2), tables, options) == {"t": {"accepted": 0, "refused": 7}}
+    assert tables.read("t").agg(F.sum("k")).first()[0] == 1999 * 1000 + 299 * 150
+
+
+def test_bound_on_schemas(spark, tables):
+    rows = [row for v in VERSIONS for row in declared(v, [v])]
+    with pytest.raises(TooManySchemas, match="more than 2"):
+        ingest(messages(spark, rows), tables, IngestOptions(value_format="schema_json", max_schemas=2, **SINGLE))
+    assert tables.names() == []
+
+
 def test_reserved_table_and_quotes(spark, tables):
     counts = ingest(messages(spark, [(0, "_quarantine", '{"a":1}'), (1, None, "{'a':'x'}"), (2, None, '{"a":1}')]), tables, IngestOptions())
     assert counts == {"_quarantine": {"accepted": 0, "refused": 1}, "t": {"accepted": 1, "refused": 1}}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from streamloader import route, subscribe
 
 LISTS = (("alpha",), ("alpha", "beta"), ("al.pha", "be.ta", "ga.mma"), None)
-OVERRIDES = (None, ("first",), ("own.first", "second"), ("first", "own.second", "third"))
+OVERRIDES = (None, ("first",), ("own.first", " second"), ("first ", "own.second", "third"))
 PREFIXES = ("", "p_", " padded_ ", "dotted.p_")
 NAMESPACES = ("", "ns")
 SCHEMA = "com.shop.Order"

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Row, functions as F, types as T
 
 from streamloader import (
     UnsupportedSchema,
@@ -157,6 +158,33 @@ def test_infer(spark):
     }
 
 
+def test_merged_types_form_a_lattice(spark):
+    """Every combination of kinds, nulls that say nothing, fields of one record in any order."""
+    texts = {"l": "1", "d": "1.5", "s": '"x"', "o": "true", "n": "null"}
+    rows, wanted = [], {}
+    for kinds in (c for n in (1, 2, 3) for c in itertools.combinations("ldson", n)):
+        name = "".join(kinds)
+        rows += [("t", f'{{"{name}":{texts[k]}}}') for k in kinds]
+        said = set(kinds) - {"n"}
+        if said:
+            wanted[name] = "bigint" if said == {"l"} else "double" if said <= {"l", "d"} else "string" if said == {"s"} else "UNSUPPORTED_TYPE"
+    rows += [("t", "oops"), ("t", None), ("t", "null"), ("list", "[1]"), ("list", '{"a":1}'), ("none", '{"a":null}')]
+    df = spark.createDataFrame(rows, "dest_table string, value string")
+    found = infer_schemas(df, infer="all").collect()
+    assert {r.column: r.type for r in found if r.dest_table == "t"} == wanted
+    assert [r.position for r in sorted(found, key=lambda r: r.column) if r.dest_table == "t"] == list(range(1, len(wanted) + 1))
+    assert [tuple(r) for r in found if r.dest_table != "t"] == [("list", 1, "value", "UNSUPPORTED_TYPE")]
+
+
+def test_fifty_thousand_field_names(spark):
+    """No schema text is built: rows come out of the executors, or an error that names the table and its count."""
+    many = spark.range(50_000).selectExpr("if(id < 9, 'few', 'many') AS dest_table", "concat('{\"f', id, '\":', id, '}') AS value")
+    assert infer_schemas(many, infer="all", max_columns=None).groupBy("type").count().collect() == [Row(type="bigint", count=50_000)]
+    with pytest.raises(Exception, match="table many would have 49991 columns, more than 1000"):
+        infer_schemas(many, infer="all").collect()
+    assert infer_schemas(many.where("dest_table = 'few'"), infer="all").count() == 9
+
+
 def test_first_rows_with_null_order(spark):
     from streamloader.operators.schemas import first_rows
 
