@@ -114,21 +114,21 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 def classes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows (vec_id, k1, k2) with null keys where a vector links with nothing, and classes (id, label, m, vec).
 
-    A class is what shares label and vector, named by its smallest id.  A vector is fit for comparison if
-    it has an id, a label, a direction, only finite components, and the most common length (of equally common ones the
-    greatest).
+    A class is what shares label and vector, named by its smallest id; `label` is the label's text and the vector's length,
+    as vectors of different lengths link no more than those of different labels.  A vector is fit for comparison
+    if it has an id, a label, a direction and only finite components.  Double components stay so.
     """
-    plain = vectors.select("vec_id", "label", F.col("embedding").cast("array<float>").alias("vec"))
+    wide = vectors.schema["embedding"].dataType.elementType.simpleString() == "double"
+    vec = F.col("embedding").cast("array<double>" if wide else "array<float>")
+    plain = vectors.select("vec_id", F.concat_ws("/", F.col("label").cast("string"), F.size(vec).cast("string")).alias("label"), F.col("label").isNotNull().alias("labelled"), vec.alias("vec"))
     fit = (
         F.col("vec_id").isNotNull()
-        & F.col("label").isNotNull()
+        & F.col("labelled")
         & F.col("vec").isNotNull()
         & ~F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
         & F.exists("vec", lambda x: x != 0)
     )
     keyed = plain.withColumn("fit", F.coalesce(fit, F.lit(False)))
-    sizes = keyed.where("fit").groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
-    keyed = keyed.withColumn("fit", F.col("fit") & (F.size("vec") == (sizes["size"] if sizes else -1)))
     keyed = keyed.select(
         "vec_id", "label", "vec", "fit",
         F.when(F.col("fit"), F.xxhash64("label", "vec")).alias("k1"),
@@ -224,7 +224,8 @@ def _place(grouped: DataFrame, quantiser: Quantiser, radius: np.ndarray | None,
                 )
 
     label = grouped.schema["label"].dataType.simpleString()
-    schema = f"id long, m long, vec array<float>, label {label}, cell int, code binary, err double, away double, probes array<int>"
+    vec = grouped.schema["vec"].dataType.simpleString()
+    schema = f"id long, m long, vec {vec}, label {label}, cell int, code binary, err double, away double, probes array<int>"
     return grouped.select("id", "m", "vec", "label").mapInArrow(run, schema)
 
 
@@ -303,18 +304,9 @@ def _search(placed: DataFrame, quantiser: Quantiser, threshold: float, block: in
     return chosen.mapInArrow(run, "id long, n long, other long")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, max_lists: int = MAX_LISTS, block: int = BLOCK) -> DataFrame:
-    """One row per vector: vec_id, n_links, component_id, kept.
-
-    Vectors link within a label.  Vectors unfit for comparison (see `classes_of`) and those with a null label
-    link with nothing and are components of their own; a null id is kept, its component is null.  Repeated
-    rows are vectors of their own that link with each other.  An empty table gives no rows; further columns are not read.
-    """
-    keyed, grouped = classes_of(vectors)
-    grouped = cut(grouped)
+def _found(grouped: DataFrame, threshold: float, max_lists: int, block: int) -> DataFrame:
+    """(id, n, other) of classes with vectors of one length: what `_search` finds under a quantiser of their own."""
     most = grouped.groupBy("label").count().agg(F.max("count")).first()[0]
-    if not most:
-        return vectors.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     lists = max(1, min(max_lists, math.isqrt(most)))
     drawn = hash_sample(grouped.select("id", "vec"), "id", max(LEAST_SAMPLE, SAMPLE_PER_LIST * lists), SEED)
     sample = np.array([r["vec"] for r in drawn.select("vec").collect()], dtype=np.float64)
@@ -323,7 +315,28 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, max_lists:
     for row in _place(grouped, quantiser, None, threshold).groupBy("cell").agg(F.max("away").alias("away")).collect():
         radius[row["cell"]] = row["away"]
     placed = cut(_place(grouped, quantiser, radius, threshold))
-    found = cut(_search(placed, quantiser, threshold, block))
+    return cut(_search(placed, quantiser, threshold, block))
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, max_lists: int = MAX_LISTS, block: int = BLOCK) -> DataFrame:
+    """One row per vector: vec_id, n_links, component_id, kept.
+
+    Vectors link within a label and a length.  Vectors unfit for comparison (see `classes_of`) and those with a null label
+    link with nothing and are components of their own; a null id is kept, its component is null.  Repeated
+    rows are vectors of their own that link with each other.  An empty table gives no rows; further columns are not read.
+    """
+    keyed, grouped = classes_of(vectors)
+    grouped = cut(grouped)
+    # Lengths in powers of two, of which there are few; within one vectors are filled up with zeros, which change no cosine.
+    power = F.ceil(F.log2(F.size("vec"))).cast("int")
+    sizes = grouped.groupBy(power.alias("power")).agg(F.max(F.size("vec")).alias("size")).orderBy("power").collect()
+    found = None
+    for row in sizes:
+        filled = F.concat("vec", F.array_repeat(F.lit(0).cast(grouped.schema["vec"].dataType.elementType), row["size"] - F.size("vec")))
+        own = _found(grouped.where(power == row["power"]).withColumn("vec", filled), threshold, max_lists, block)
+        found = own if found is None else found.unionByName(own)
+    if found is None:
+        return vectors.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     counts = found.where("n is not null").groupBy("id").agg(F.sum("n").alias("found"))
     roots = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
     per_class = (

@@ -99,7 +99,7 @@ def test_product_quantisation_against_all_pairs(spark):
     centres = rng.normal(size=(6, 12))
     made = [(centres[k % 6] + rng.normal(size=12) * (0.05 + 0.3 * (k % 4))).astype(float).tolist() for k in range(260)]
     made += [made[3], made[3], [2 * x for x in made[4]], [1e-30 * x for x in made[5]]]
-    odd = [None, [0.0] * 12, [float("nan")] * 12, [float("inf")] + [1.0] * 11, [None] + [1.0] * 11, [1.0], []]
+    odd = [None, [0.0] * 12, [float("nan")] * 12, [float("inf")] + [1.0] * 11, [None] + [1.0] * 11, []]
     rows = [(k, v, k % 3 if k % 17 else None, *["x"] * 4) for k, v in enumerate(made + odd)]
     rows += [(None, made[0], 0, *["x"] * 4), (1, *rows[1][1:])]
     fit = {}
@@ -125,6 +125,24 @@ def test_product_quantisation_against_all_pairs(spark):
     assert pq_neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_of_every_length_and_doubles(spark):
+    """Lengths one, two, three and nine beside each other, doubles that as floats would be equal, labels as text."""
+    rng = np.random.default_rng(10)
+    made = [rng.normal(size=size).tolist() for size in (3, 2, 9, 1, 2, 3, 3) for _ in range(24)]
+    made += [made[1], [3 * x for x in made[30]], [1.0, 0.0], [1.0, 0.0, 0.0], [0.93, (1 - 0.93**2) ** 0.5], [0.93, (1 - 0.93**2) ** 0.5 + 1e-12]]
+    rows = [(k, v, f"l{k % 2}") for k, v in enumerate(made)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(3)
+    unit = [np.array(v) / np.linalg.norm(v) for v in made]
+
+    def linked(a, b):
+        return a % 2 == b % 2 and len(made[a]) == len(made[b]) and unit[a] @ unit[b] >= 0.93
+
+    roots = brute_components(range(len(made)), linked)
+    wanted = {k: (sum(linked(k, j) for j in range(len(made)) if j != k), roots[k]) for k in range(len(made))}
+    found = pq_neardup.near_duplicates(df).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == wanted
+
+
 def test_no_pair_across_wide_lists_is_missed(spark):
     """Vectors in two dimensions: differences of near copies lie along the normals of the planes between lists."""
     rng = np.random.default_rng(9)
