@@ -351,13 +351,11 @@ class _Batch:
             good = stop_on_refusal(observed)
         else:
             good = observed.where(F.col("reason").isNull())
-        if self.tables.has_batch(name, self.label):
+        order = [F.col(c).alias(f"__arrival_{c}") for c in ARRIVAL]
+        mode = self.options.mode if state.primary_key else APPEND
+        if not self.tables.write(state, good.select("record.*", *order), self.label, [f"__arrival_{c}" for c in ARRIVAL], mode):
             # A replay: count again, write nothing.
             observed.write.format("noop").mode("overwrite").save()
-        else:
-            order = [F.col(c).alias(f"__arrival_{c}") for c in ARRIVAL]
-            mode = self.options.mode if state.primary_key else APPEND
-            self.tables.write(state, good.select("record.*", *order), self.label, [f"__arrival_{c}" for c in ARRIVAL], mode)
         metrics = watch.get
         # Refused rows are a batch of their own; a replay after a crash in between writes what is missing.
         if metrics["refused"]:

@@ -150,6 +150,7 @@ class Tables:
         self.root = root.rstrip("/")
         self.database = database or _word(f"tables_{hashlib.md5(self.root.encode()).hexdigest()[:12]}")
         self.buckets = buckets
+        self._created: set[str] = set()
 
     def path(self, name: str) -> str:
         """Folder of a table.  Names come from messages, so they are escaped to stay under the root."""
@@ -172,10 +173,15 @@ class Tables:
 
     def state(self, name: str) -> TableState | None:
         table = self.catalog_name(name)
-        if not self.spark.catalog.tableExists(table):
-            return None
+        try:
+            properties = self._properties(table)
+        except AnalysisException as error:
+            if error.getCondition() in ("TABLE_OR_VIEW_NOT_FOUND", "SCHEMA_NOT_FOUND"):
+                return None
+            raise
+        # Another session may have altered the table since this one read it.
         self.spark.catalog.refreshTable(table)
-        return TableState.of(self._properties(table), self.spark.table(table).schema)
+        return TableState.of(properties, self.spark.table(table).schema)
 
     def require(self, name: str) -> TableState:
         state = self.state(name)
@@ -226,8 +232,10 @@ class Tables:
         return state
 
     def _create_schema(self, name: str) -> None:
-        folder = self.path(name).rsplit("/", 1)[0]
-        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(self._schema_name(name))} LOCATION {_text(folder)}")
+        schema, folder = self._schema_name(name), self.path(name).rsplit("/", 1)[0]
+        if schema not in self._created:
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(schema)} LOCATION {_text(folder)}")
+            self._created.add(schema)
 
     def _create_table(self, name: str, definition: str, properties: dict[str, str]) -> None:
         try:
@@ -280,17 +288,14 @@ class Tables:
         found = self.spark.sql(f"SHOW PARTITIONS {self.catalog_name(name)}").collect()
         return sorted(BatchName.of(r["partition"].partition("=")[2]) for r in found)
 
-    def has_batch(self, name: str, label: str) -> bool:
-        state = self.require(name)
-        return self._partition(state, label, self.batches(name) if state.primary_key else None, APPEND) is None
-
-    def _partition(self, state: TableState, label: str, known: list[BatchName] | None, mode: str) -> BatchName | None:
+    def _partition(self, state: TableState, label: str, mode: str) -> BatchName | None:
         """The partition of a new batch, or None where one of that label is there."""
         label = _label(label)
-        if known is None:
+        if not state.primary_key:
             new = BatchName(0, APPEND, label)
             spec = f"PARTITION ({_BATCH} = {_text(new.value)})"
             return new if not self.spark.sql(f"SHOW PARTITIONS {self.catalog_name(state.name)} {spec}").head(1) else None
+        known = self.batches(state.name)
         if any(b.label == label for b in known):
             return None
         return BatchName(1 + max((b.number for b in known), default=0), mode, label)
@@ -318,7 +323,7 @@ class Tables:
         if state.primary_key and mode not in (UPSERT, INSERT):
             raise ValueError(f"mode is {UPSERT!r} or {INSERT!r}, not {mode!r}")
         self.check_current(state)
-        batch = self._partition(state, label, self.batches(state.name) if state.primary_key else None, mode)
+        batch = self._partition(state, label, mode)
         if batch is None:
             return False
         if state.primary_key:
