@@ -194,7 +194,8 @@ class Tables:
         for db in self.spark.catalog.listDatabases(f"{self.database}*"):
             if db.name == self.database or db.name.startswith(f"{self.database}_"):
                 for table in self.spark.catalog.listTables(db.name):
-                    if table.tableType != "VIEW":
+                    # The session's temporary views are listed with every schema.
+                    if table.tableType != "VIEW" and not table.isTemporary:
                         properties = self._properties(f"{_quoted(db.name)}.{_quoted(table.name)}")
                         if _STATE in properties:
                             found.append(TableState.of(properties, T.StructType()).name)

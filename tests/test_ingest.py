@@ -471,3 +471,13 @@ def test_bad_options(options):
     with pytest.raises(ValueError):
         IngestOptions(**options)
     assert job_module.VALUE_FORMATS
+
+
+def test_names_pass_over_temporary_views(spark, tables):
+    ingest(messages(spark, [(0, '{"a":1}')]), tables, IngestOptions(**SINGLE))
+    spark.range(3).createOrReplaceTempView("passing_view")
+    try:
+        assert tables.names() == ["t"]
+        assert len(tables.create_views()) == 1
+    finally:
+        spark.catalog.dropTempView("passing_view")
