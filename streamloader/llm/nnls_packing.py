@@ -32,8 +32,8 @@ SEPARATOR = 1
 TRIPLES = 16
 ROUNDS = 4
 STEPS = 200
-# Words that a worker remembers, and the longest one it does.
-REMEMBERED = 800_000
+# Words and parts of words that a worker remembers, and the bytes of the longest one it does.
+REMEMBERED = 600_000
 LONGEST_WORD = 64
 
 
@@ -46,58 +46,52 @@ def tokenizer(path: str = TOKENIZER) -> Tokenizer:
 # any other word goes through the whole tokenizer.  Fixed: the tokenizer's own split, for these characters.
 _PLAIN = re.compile(r"[\x21-\x7e\xa1-\xff]+")
 _PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|\n|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾\n]+")
-class _Remembered(dict):
-    """Ids found when first asked for.  When full, the older half goes, but for what is asked for again."""
 
-    def __init__(self) -> None:
-        self.older: dict = {}
-
-    def __missing__(self, key):
-        ids = self.older.get(key)
-        if ids is None:
-            ids = self.find(key)
-        if len(key) <= LONGEST_WORD:
-            if len(self) >= REMEMBERED // 2:
-                self.older = dict(self)
-                self.clear()
-            self[key] = ids
-        return ids
-
-
-class _Parts(_Remembered):
-    """Ids of the parts of words."""
-
-    def __init__(self, path: str) -> None:
-        super().__init__()
-        self.model = tokenizer(path).model
-        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.spelling = {c: spelled(chr(c))[0][0] for c in (*range(0x21, 0x7F), *range(0xA1, 0x100))}
 
-    def find(self, part: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(part.translate(self.spelling))]).tobytes()
-
-
-class WordIds(_Remembered):
+class WordIds(dict):
     """Ids of texts, word by word: the tokenizer drops white space and merges nothing across it.
 
-    Words and their parts are remembered, so a text is one pass of look-ups.  Texts that spell one of the tokenizer's own
-    marks go to it whole, as marks are cut out before words are.
+    Words are remembered, and the parts of words as words of their own, which they are: one table holds both.  A text is then
+    one pass of look-ups.  When the table is full, its older half goes, but for what is asked for again.  Texts that spell one
+    of the tokenizer's own marks go to it whole, as marks are cut out before words are.
     """
 
     def __init__(self, path: str = TOKENIZER) -> None:
         super().__init__()
+        self.older: dict = {}
         self.tokenizer = tokenizer(path)
-        self.parts = _Parts(path)
+        self.model = self.tokenizer.model
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {c: spelled(chr(c))[0][0] for c in (*range(0x21, 0x7F), *range(0xA1, 0x100))}
         self.marks = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
+    @property
+    def parts(self) -> WordIds:
+        """Where the parts of words are remembered."""
+        return self
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.find(word)
+        if len(word) <= LONGEST_WORD:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
     def _ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def find(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(text):
-            return b"".join(map(self.parts.__getitem__, _PART.findall(text.lower())))
-        return self._ids(text)
+        if not _PLAIN.fullmatch(text):
+            return self._ids(text)
+        parts = _PART.findall(text.lower())
+        if parts == [text]:
+            return array("I", [t.id for t in self.model.tokenize(text.translate(self.spelling))]).tobytes()
+        return b"".join([self[part.encode()] for part in parts])
 
     def encode(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""

@@ -42,6 +42,14 @@ def test_small_memory_gives_the_same_ids(monkeypatch):
     assert max(len(words), len(words.older), len(words.parts)) <= 4
 
 
+def test_words_and_their_parts_share_one_bound(monkeypatch):
+    monkeypatch.setattr(op, "REMEMBERED", 100)
+    words, rows = op.WordIds(), [f"x{'ab'[k % 2]}{'c' * (k % 7)}{'d' * (k // 7)}.".encode() for k in range(190)]
+    assert [array("I", i).tolist() for i in words.encode(rows)] == [whole_ids(t.decode())[:-1] for t in rows]
+    held = {id(t): len(t) for t in (words, words.older, words.parts, words.parts.older)}
+    assert sum(held.values()) <= 100
+
+
 @pytest.mark.parametrize(
     "lengths",
     [
