@@ -8,8 +8,8 @@ the class by their smoothed corpus frequency:
 
 so every text has a probability, and the states' tables stay the same size whatever the corpus.  Counts
 come from every training text.  The `HEAD` most frequent words and their counts are broadcast; rarer words meet
-their counts in a join.  EM starts from a model fitted on a bounded sample, and each round then takes the
-expected counts of all training texts, summed over partitions.
+their counts in a join.  EM takes all training texts in each of its passes, their expected counts summed over partitions:
+the first passes slice by slice, the model moving on after each (stepwise EM), the last one at once (Baum-Welch).
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamloader.llm.common import columns, cut, fold, hash_sample, scratch_path, small_batches
+from streamloader.llm.common import columns, cut, fold, scratch_path, small_batches
 
 FOLDS = 5
 HELD_OUT = 1
@@ -35,12 +35,11 @@ HEAD = 200_000
 CLASSES = 1024
 # Bins of counts for each factor e.
 BINS = 64
-# Baum-Welch rounds over all training texts.
-ROUNDS = 2
-# The start: at most this many training texts of at most this many tokens, the first by a hash.
-START_TEXTS = 600
-START_TOKENS = 4000
-START_ROUNDS = 30
+# Passes over all training texts, and the slices of each.  The model moves on after every slice; a pass in one slice is a
+# Baum-Welch round.
+PASSES = (16, 8, 1)
+# The weight of a slice's counts falls by this power of the steps taken.
+FORGET = 0.6
 SEED = 7
 # Expected counts that each state's table has from the corpus frequencies before it sees any text.
 PRIOR = 50.0
@@ -283,8 +282,11 @@ def _buffered(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[li
         yield ids, texts
 
 
-def baum_welch_round(encoded: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
-    """One EM step over all given texts: expected counts per partition, summed by symbol."""
+Counts = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def corpus_counts(encoded: DataFrame, model: Hmm) -> Counts | None:
+    """Expected starts, moves and emissions of all given texts: counted per partition, summed by symbol.  None without texts."""
     shared = encoded.sparkSession.sparkContext.broadcast(model)
     states = len(model.start)
     names = [f"s{k}" for k in range(states)]
@@ -305,26 +307,39 @@ def baum_welch_round(encoded: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
     partial = encoded.select("row_id", "symbols").mapInArrow(run, "symbol long, " + ", ".join(f"{n} float" for n in names))
     # At most one row for each symbol and state.
     sums = partial.groupBy("symbol").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    shared.destroy()
+    if sums.empty:
+        return None
     values, symbol = sums[names].to_numpy(float), sums["symbol"].to_numpy(int)
-    start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((len(share), states))
+    start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emit)
     emit[symbol[symbol >= 0]] = values[symbol >= 0]
     for k, row in zip(symbol[symbol < 0], values[symbol < 0], strict=True):
         if k == -1 - states:
             start = row
         else:
             move[-1 - k] = row
-    return Hmm.from_counts(start, move, emit, share)
-
-
-def train(encoded: DataFrame, share: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> Hmm:
-    """A start from a bounded sample, then Baum-Welch rounds over all of `encoded`."""
-    model = Hmm.random(share, states)
-    first = hash_sample(encoded.where(F.col("n_tokens") <= START_TOKENS), "row_id", START_TEXTS, SEED)
-    texts = [np.frombuffer(r["symbols"], dtype="<u2").astype(np.int64) for r in first.select("symbols").collect()]
-    for _ in range(START_ROUNDS if texts else 0):
-        model = Hmm.from_counts(*expected_counts(texts, model), share)
-    for _ in range(rounds):
-        model = baum_welch_round(encoded, model, share)
+    return start, move, emit
+
+
+def train(encoded: DataFrame, share: np.ndarray, states: int = STATES, passes: tuple[int, ...] = PASSES) -> Hmm:
+    """The model of all texts of `encoded`: each pass takes every text once, in as many slices as `passes` says.
+
+    A slice's counts stand for the whole corpus, times the slices; they are mixed with those before, of which less and less is
+    forgotten.  A pass in one slice takes its own counts alone.
+    """
+    model, held, steps = Hmm.random(share, states), None, 0
+    for slices in passes:
+        own = F.pmod(F.xxhash64(F.lit(SEED), "row_id"), F.lit(slices))
+        for k in range(slices):
+            found = corpus_counts(encoded.where(own == k) if slices > 1 else encoded, model)
+            if found is None:
+                continue
+            steps += 1
+            new = 1.0 if held is None or slices == 1 else steps**-FORGET
+            held = tuple(new * slices * b + (1 - new) * a for a, b in zip(held or found, found, strict=True))
+            model = Hmm.from_counts(*held, share)
+        if held is None:
+            break
     return model
 
 

@@ -95,6 +95,20 @@ def test_states_beat_the_unigram_on_held_out_texts(spark):
     assert total[0] / total[2] > total[1] / total[2] + 0.2
 
 
+def test_every_pass_takes_every_text_once(spark, monkeypatch):
+    taken, counts = [], hmm_scoring.corpus_counts
+
+    def counted(encoded, model):
+        taken.append([r.row_id for r in encoded.select("row_id").collect()])
+        return counts(encoded, model)
+
+    monkeypatch.setattr(hmm_scoring, "corpus_counts", counted)
+    symbols = np.array([1, 2, 3, 0], dtype="<u2").tobytes()
+    rows = spark.createDataFrame([(k, symbols) for k in range(700)], "row_id long, symbols binary")
+    hmm_scoring.train(rows, np.full(5, 0.2), passes=(3, 1))
+    assert len(taken) == 4 and sorted(itertools.chain(*taken[:3])) == sorted(taken[3]) == list(range(700))
+
+
 def brute_bits(word, leaves):
     """Code length of a word and its end from raw counts, byte by byte."""
     coded = b"   " + word.encode() + b" "
