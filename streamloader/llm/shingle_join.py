@@ -1,6 +1,7 @@
-"""Near-duplicates by the similarity of their word-shingle sets: MinHash bands propose, the sets themselves decide.
+"""Near-duplicates by the similarity of their word-shingle sets: SimHash and MinHash bands propose, the sets themselves decide.
 
-Each distinct text is filed under `BANDS` keys, each the hash of `ROWS` minima of its shingles.  Two sets with Jaccard
+Each distinct text has the SimHash fingerprint of its shingles, and operator 7's BK-trees link the fingerprints within two bits.
+That finds copies with hardly an edit; two sets at similarity 0.8 differ in some ten bits.  For these each distinct text is filed under `BANDS` keys, each the hash of `ROWS` minima of its shingles.  Two sets with Jaccard
 similarity s share a key with probability 1 - (1 - s**ROWS)**BANDS: at s = 0.8 all but 3 in a million pairs do, above
 fewer still.  Texts under one key are tied to the key's smallest text, so rows stay linear in a key's texts, and a key
 that very many share is reduced before it is shuffled.
@@ -23,7 +24,7 @@ from xxhash import xxh64_intdigest
 
 from streamloader.llm.common import columns, cut, discard, release, scratch_path, small_batches
 from streamloader.llm.components import components
-from streamloader.llm.simhash_bktree import shingle_hashes
+from streamloader.llm.simhash_bktree import fingerprint_of, links, shingle_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -107,28 +108,46 @@ def group_links(sets: list[np.ndarray], parts: list[int], own: list[int], simila
     return links
 
 
+def fingerprint_ties(prints: DataFrame) -> DataFrame:
+    """Texts (h, fp) to (a, b): texts of one fingerprint to the smallest of them, those of linked fingerprints to each other."""
+    classes = cut(prints.groupBy("fp").agg(F.min("h").alias("first")))
+    equal = prints.join(classes, "fp").where("h <> first").select(F.col("h").alias("a"), F.col("first").alias("b"))
+    one, two = classes.toDF("a", "h1"), classes.toDF("b", "h2")
+    near = links(classes.select("fp")).join(one, "a").join(two, "b").select(F.col("h1").alias("a"), F.col("h2").alias("b"))
+    tied = cut(equal.union(near))
+    release(classes)
+    return tied
+
+
 def candidates(rows: DataFrame, words: int) -> DataFrame:
-    """(a, b): each text (by h) that shares a band with others, and the smallest of those."""
+    """(a, b): texts (by h) of near fingerprints, and each text that shares a band with others with the smallest of those."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            texts = []
+            keys, texts, prints = [], [], []
             for h, body in zip(*columns(batch, "h", "body"), strict=True):
                 if h not in seen:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(h)
-                    texts.append((h, band_keys(shingle_set(body, words))))
-            keys = pa.array([k for _, own in texts for k in own], pa.int64())
-            yield pa.RecordBatch.from_arrays([keys, pa.array([h for h, own in texts for _ in own], pa.int64())], ["key", "h"])
+                    hashes = shingle_hashes(body, words)
+                    # A text's first row carries its fingerprint.
+                    keys += band_keys(np.unique(hashes.view(np.int64)))
+                    texts += [h] * BANDS
+                    prints += [fingerprint_of(hashes)] + [None] * (BANDS - 1)
+            arrays = [pa.array(values, pa.int64()) for values in (keys, texts, prints)]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "h", "fp"])
 
     spark = rows.sparkSession
     path = scratch_path(spark, "bands")
-    rows.select("h", "body").mapInArrow(run, "key long, h long").write.parquet(path)
-    filed = spark.read.schema("key long, h long").parquet(path)
+    rows.select("h", "body").mapInArrow(run, "key long, h long, fp long").write.parquet(path)
+    filed = spark.read.schema("key long, h long, fp long").parquet(path)
+    near = fingerprint_ties(filed.where("fp is not null").select("h", "fp"))
     least = filed.groupBy("key").agg(F.min("h").alias("b"), F.max("h").alias("most")).where("b <> most").select("key", "b")
-    tied = cut(filed.join(least, "key").where("h <> b").select(F.col("h").alias("a"), "b").distinct())
+    banded = filed.join(least, "key").where("h <> b").select(F.col("h").alias("a"), "b")
+    tied = cut(banded.union(near).distinct())
+    release(near)
     discard(spark, path)
     return tied
 

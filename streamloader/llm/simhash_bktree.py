@@ -46,8 +46,11 @@ def shingle_hashes(text: bytes | None, words: int) -> np.ndarray:
 
 
 def fingerprint(text: bytes | None, words: int = WORDS) -> int:
+    return fingerprint_of(shingle_hashes(text, words))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
     """Signed 64-bit SimHash; a bit is set when more than half of the shingles' hashes have it."""
-    hashes = shingle_hashes(text, words)
     if not len(hashes):
         return 0
     ones = np.zeros(64, dtype=np.int64)

@@ -226,3 +226,23 @@ def test_no_checkpoint_outlives_its_scope(spark):
         corpus_pipeline.near_dedup(spark, df, "").collect()
         assert parts() != before
     assert parts() == before
+
+
+def test_fingerprints_propose_pairs_for_the_stage(spark, monkeypatch):
+    """Fingerprints within two bits are tied; the stage asks for those of every text and lets the sets decide."""
+    prints = [(1, 0b1011), (2, 0b1011), (3, 0b1000), (4, 1 << 40), (5, -1), (6, -1 ^ 1 << 62)]
+    tied = shingle_join.fingerprint_ties(spark.createDataFrame(prints, "h long, fp long")).collect()
+    assert {frozenset(r) for r in tied} == {frozenset(p) for p in ((1, 2), (1, 3), (3, 4), (5, 6))}
+    asked, ties = [], shingle_join.fingerprint_ties
+
+    def unlike(found):
+        asked.extend(r.fp for r in found.collect())
+        ties(found)
+        # All texts as one candidate group: what is not similar stays all the same.
+        return shingle_join.cut(found.selectExpr("h AS a", "min(h) OVER () AS b"))
+
+    monkeypatch.setattr(shingle_join, "fingerprint_ties", unlike)
+    one, two = (sentence(random.Random(k), 60, " ".join(f"w{k}{j}" for j in range(300))) for k in (1, 2))
+    rows = [one, one + " more", two, None]
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, frame(spark, rows), "").collect()} == {None, 0, 2, 3}
+    assert set(asked) == {simhash_bktree.fingerprint((t or "").encode(), 5) for t in rows}
