@@ -77,6 +77,11 @@ def release(*frames: DataFrame) -> None:
         discard(df.sparkSession, df.cut_path)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of frames that are gone: it does when the driver's JVM collects their handles."""
+    spark._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Hand whole texts to Python in small Arrow batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_BATCH_ROWS)

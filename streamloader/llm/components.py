@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamloader.llm.common import cut, release
+from streamloader.llm.common import cut, forget_shuffles, release
 
 # The alternation needs about log2(nodes) rounds; far more means a fault, and that is an error, never a cut result.
 MAX_ROUNDS = 60
@@ -44,4 +44,6 @@ def components(links: DataFrame) -> DataFrame:
         before = mark
         last, state = state, cut(_small_star(_large_star(state)).distinct())
         release(last)
+        del last
+        forget_shuffles(links.sparkSession)
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

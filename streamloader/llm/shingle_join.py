@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from streamloader.llm.common import columns, cut, discard, release, scratch_path, small_batches
+from streamloader.llm.common import columns, cut, discard, forget_shuffles, release, scratch_path, small_batches
 from streamloader.llm.components import components
 from streamloader.llm.simhash_bktree import fingerprint_of, links, shingle_hashes
 
@@ -149,6 +149,7 @@ def candidates(rows: DataFrame, words: int) -> DataFrame:
     tied = cut(banded.union(near).distinct())
     release(near)
     discard(spark, path)
+    forget_shuffles(spark)
     return tied
 
 
