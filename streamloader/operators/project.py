@@ -23,6 +23,8 @@ BAD_JSON = "BAD_JSON"
 RESULT_COLUMNS = ("record", "reason", "bad_column", "bad_value")
 
 _CORRUPT = "_corrupt_text"
+# Start of a text whose root is an object.
+_OBJECT = r"^[ \t\r\n]*[{]"
 _JSON_OPTIONS = {"columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
 
 
@@ -185,7 +187,9 @@ def project_json(
         text = F.when(again, F.try_variant_get(values[i], "$", "string"))
         texts.append(text.otherwise(F.col("__fast")[f.name].cast("string")))
     unreadable = again & (F.col("__exact").isNull() | F.col("__exact")[_CORRUPT].isNotNull())
-    other_root = F.try_parse_json(text_of_record).isNotNull() | text_of_record.isNull()
+    # An object that cannot be read is no JSON.  Only other roots are parsed once more: a parse that fails costs most of all.
+    is_object = text_of_record.rlike(_OBJECT)
+    other_root = text_of_record.isNull() | F.when(~is_object, F.try_parse_json(text_of_record).isNotNull()).otherwise(F.lit(False))
     record_reason = F.when(
         unreadable, F.when(other_root, F.lit(UNSUPPORTED_RECORD)).otherwise(F.lit(BAD_JSON))
     )

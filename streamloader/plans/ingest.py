@@ -41,6 +41,9 @@ QUARANTINE = "_quarantine"
 # Column of what a row's payload is decoded by.
 _SHAPE = "__shape"
 
+# Readers split a file between its row groups only, and decoding takes far longer than reading.
+_STAGE_GROUP_BYTES = 8 << 20
+
 VALUE_FORMATS = ("json", "schema_json", "struct", "registry")
 
 
@@ -219,7 +222,8 @@ class _Batch:
         spark = self.routed.sparkSession
         self.staged = scratch_path(spark, "routed")
         # Small destinations share tasks, large ones are split: neither many small files nor one large task.
-        self.routed.hint("rebalance", "dest_table").write.partitionBy("dest_table").parquet(self.staged)
+        writer = self.routed.hint("rebalance", "dest_table").write.partitionBy("dest_table")
+        writer.option("parquet.block.size", _STAGE_GROUP_BYTES).parquet(self.staged)
         names = self.routed.columns
         self.routed = spark.read.schema(self.routed.schema).parquet(self.staged).select(*names)
 

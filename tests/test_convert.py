@@ -224,3 +224,17 @@ def test_text_times_do_not_depend_on_the_session_zone(spark):
                 assert tuple(row) == (1719835200250, "2024-07-01 12:00:00.250")
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_unreadable_roots(spark):
+    table = T.StructType([column("a", LONG)])
+    texts = {
+        ' \t{"a":1': "BAD_JSON",
+        '{"a":"q","z":NaN,}': "BAD_JSON",
+        '\n[1,{"a":2}]': "UNSUPPORTED_RECORD",
+        "[1,": "BAD_JSON",
+        ' "{"': "UNSUPPORTED_RECORD",
+        "\u00a0{}": "BAD_JSON",
+    }
+    out = project_json(spark.createDataFrame([(t,) for t in texts], "value string"), table)
+    assert {r["value"]: r["reason"] for r in out.collect()} == texts

@@ -481,3 +481,24 @@ def test_names_pass_over_temporary_views(spark, tables):
         assert len(tables.create_views()) == 1
     finally:
         spark.catalog.dropTempView("passing_view")
+
+
+def test_staged_messages_are_read_in_parts(spark, tables):
+    # One destination of some 25 MB, which is staged as one file.
+    rows = spark.range(100_000, numPartitions=2)
+    body = F.concat(*[F.sha2(F.concat_ws("-", "id", F.lit(k)), 256) for k in range(4)])
+    value = F.to_json(F.struct("id", body.alias("body")))
+    messages = to_envelope(
+        rows, topic="t", value=value, offset=F.col("id"), partition=F.lit(0), timestamp=F.lit(datetime(2024, 1, 1))
+    )
+    batch = job_module._Batch(messages, tables, IngestOptions(**SINGLE), "parts", 0)
+    batch.staged = None
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2m")
+    try:
+        batch._hold()
+        parts = batch.routed.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        files.delete_folder(spark, batch.staged)
+    assert sum(r["count"] for r in parts) == 100_000
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 60_000
