@@ -13,7 +13,8 @@ MAX_ROUNDS = 60
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Every node's larger neighbours are tied to the node's smallest neighbour."""
-    both = links.union(links.select("b", "a")).toDF("u", "v")
+    # One pass over the links, which a union would read twice.
+    both = links.select(F.inline(F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in ("ab", "ba")])))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
@@ -22,8 +23,8 @@ def _small_star(links: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are tied to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+    # The link to the smallest itself carries the node.
+    return down.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("a"), F.col("m").alias("b"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before or mark[0] == 0:
-            found = state.select(F.col("a").alias("id"), F.col("b").alias("root")).union(state.select("b", "b"))
+            found = state.select(F.explode(F.array("a", "b")).alias("id"), F.col("b").alias("root"))
             rooted = cut(found.groupBy("id").agg(F.min("root").alias("root")))
             release(state)
             return rooted

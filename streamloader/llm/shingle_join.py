@@ -75,22 +75,20 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 
 
 def group_links(sets: list[np.ndarray], parts: list[int], own: list[int], similarity: float) -> list[tuple[int, int]]:
-    """Links of similar sets that connect what `parts` leaves apart.
+    """The parts that similar sets connect with a part of a smaller label: (label, smallest label reached).
 
     Pairs of one block (`own`) were compared before, unless all are of one block.
     """
     sizes, block, part = np.array([len(s) for s in sets]), np.array(own), np.array(parts)
     across = len(set(own)) > 1
     filed: dict[int, list[int]] = {}
-    links = []
 
     def tie(x: int, y: int) -> bool:
         if part[x] == part[y] or across and block[x] == block[y] or sizes[y] < similarity * sizes[x] - 1e-9:
             return False
         if not similar(sets[x], sets[y], similarity):
             return False
-        links.append((x, y))
-        part[part == part[x]] = part[y]
+        part[part == max(part[x], part[y])] = min(part[x], part[y])
         return True
 
     order = np.argsort(sizes, kind="stable")
@@ -105,7 +103,7 @@ def group_links(sets: list[np.ndarray], parts: list[int], own: list[int], simila
                 tie(x, y)
         for k in keys:
             filed.setdefault(k, []).append(x)
-    return links
+    return sorted({(a, b) for a, b in zip(parts, part.tolist(), strict=True) if a != b})
 
 
 def fingerprint_ties(prints: DataFrame) -> DataFrame:
@@ -154,35 +152,34 @@ def candidates(rows: DataFrame, words: int) -> DataFrame:
 
 
 def _compared(dealt: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Texts (root, i, j, own, part, h, body), dealt by (root, i, j), to the links found among those that meet."""
+    """Texts (root, i, j, own, part, h, body), dealt by (root, i, j), to (of, to): parts that similar texts among those that meet
+    connect, each with the smallest label it is connected with there."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current = None
-        held: list[tuple[int, int, int, np.ndarray]] = []
+        held: list[tuple[int, int, np.ndarray]] = []
 
         def closed() -> Iterator[pa.RecordBatch]:
             if len(held) > 1:
-                names, own, parts, sets = zip(*held, strict=True)
+                own, parts, sets = zip(*held, strict=True)
                 found = group_links(list(sets), list(parts), list(own), similarity)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[x] for x, _ in found], pa.int64()), pa.array([names[y] for _, y in found], pa.int64())], ["a", "b"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in found], pa.int64()) for n in (0, 1)], ["of", "to"])
             held.clear()
 
         for batch in batches:
-            for root, i, j, own, part, h, body in zip(*columns(batch, "root", "i", "j", "own", "part", "h", "body"), strict=True):
+            for root, i, j, own, part, body in zip(*columns(batch, "root", "i", "j", "own", "part", "body"), strict=True):
                 if (root, i, j) != current:
                     yield from closed()
                     current = (root, i, j)
-                held.append((h, own, part, shingle_set(body, words)))
+                held.append((own, part, shingle_set(body, words)))
         yield from closed()
 
-    sent = dealt.select("root", "i", "j", "own", "part", "h", "body")
-    return sent.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(run, "a long, b long")
+    sent = dealt.select("root", "i", "j", "own", "part", "body")
+    return sent.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(run, "of long, to long")
 
 
 def roots_of(rows: DataFrame, classes: DataFrame, words: int, similarity: float, block_texts: int) -> DataFrame:
-    """Rows (doc_id, h, body) and classes (h, first_id, bytes) to (id, root) of the texts that are similar to others."""
+    """Rows (doc_id, h, body) and classes (h, first_id, bytes) to (of, to) of the texts that are similar to a smaller one (by h)."""
     tied = candidates(rows, words)
     grouped = cut(components(tied).toDF("h", "root").join(classes, "h"))
     release(tied)
@@ -196,24 +193,29 @@ def roots_of(rows: DataFrame, classes: DataFrame, words: int, similarity: float,
     one.select("root", "blocks", "own", "h", "body").dropDuplicates(["h"]).write.parquet(path)
     release(grouped)
     held = rows.sparkSession.read.parquet(path)
-    roots = components(_compared(held.withColumns({"i": F.col("own"), "j": F.col("own"), "part": F.col("h")}), words, similarity))
+    # A text is in one block, so what its block says of it is all there is, and no rounds of `components` are needed.
+    roots = cut(_compared(held.withColumns({"i": F.col("own"), "j": F.col("own"), "part": F.col("h")}), words, similarity))
     large = held.where("blocks > 1")
     if not large.isEmpty():
-        # A few texts of each part meet those of other parts, many blocks' at a time.
+        # A few texts of each part meet those of other parts, many blocks' at a time; all those of a part meet in one place.
         place = F.row_number().over(Window.partitionBy("root", "own", "part").orderBy("h"))
         few = _parts(large, roots).withColumn("place", place).where(F.col("place") <= REPRESENTATIVES)
         bucket = F.pmod(F.xxhash64("part"), F.ceil(F.col("blocks") / 16)).cast("int")
-        roots = _tied(roots, _compared(few.withColumns({"i": bucket, "j": F.lit(0), "own": F.lit(0)}), words, similarity))
-        roots = _tied(roots, _compared(_still_apart(_parts(large, roots), block_texts), words, similarity))
+        roots = _tied(roots, cut(_compared(few.withColumns({"i": bucket, "j": F.lit(0), "own": F.lit(0)}), words, similarity)))
+        # Here a part is in several places.
+        met = _compared(_still_apart(_parts(large, roots), block_texts), words, similarity)
+        roots = _tied(roots, components(met.toDF("a", "b")))
     discard(rows.sparkSession, path)
     return roots
 
 
-def _tied(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """Components of what was connected before and more links: stars already, so few rounds do."""
-    more = components(roots.toDF("a", "b").union(links))
-    release(roots)
-    return more
+def _tied(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """Texts whose part is tied to a smaller label follow it, and so does the text that the part is named after."""
+    labels = more.toDF("label", "least").where("label <> least")
+    followed = roots.join(labels, F.col("to") == F.col("label"), "left").select("of", F.coalesce("least", "to").alias("to"))
+    moved = cut(followed.union(labels))
+    release(roots, more)
+    return moved
 
 
 def _still_apart(parted: DataFrame, block_texts: int) -> DataFrame:
@@ -236,7 +238,7 @@ def _still_apart(parted: DataFrame, block_texts: int) -> DataFrame:
 
 def _parts(texts: DataFrame, roots: DataFrame) -> DataFrame:
     """The texts with the part of their group that the links found so far connect."""
-    return texts.join(roots.toDF("of", "to"), F.col("h") == F.col("of"), "left").withColumn("part", F.coalesce("to", "h")).drop("of", "to")
+    return texts.join(roots, F.col("h") == F.col("of"), "left").withColumn("part", F.coalesce("to", "h")).drop("of", "to")
 
 
 def text_hash(text: Column) -> Column:
@@ -261,8 +263,7 @@ def near_duplicates(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("h"), body.alias("body"))
     classes = cut(rows.groupBy("h").agg(F.min("doc_id").alias("first_id"), F.max(F.octet_length("body")).cast("long").alias("bytes")))
     roots = roots_of(rows, classes, words, similarity, block_texts)
-    named_roots = roots.toDF("of", "root")
-    rooted = cut(classes.join(named_roots, F.col("h") == F.col("of"), "left").select("h", "first_id", F.coalesce("root", "h").alias("root")))
+    rooted = cut(classes.join(roots, F.col("h") == F.col("of"), "left").select("h", "first_id", F.coalesce("to", "h").alias("root")))
     release(classes, roots)
     first = F.min(F.when(F.col("first_id").isNotNull(), F.struct("first_id", "h"))).alias("first")
     named = rooted.join(rooted.groupBy("root").agg(first), "root").select(F.col("h").alias("of"), "first")

@@ -191,6 +191,25 @@ def test_pipeline_links_edited_copies_like_all_pairs(spark):
     assert left == set(wanted.values())
 
 
+def test_what_meets_in_one_place_needs_no_rounds(spark, monkeypatch):
+    """Links inside blocks, and between parts that meet in one place, are joined there; rounds over the table have a task a partition each."""
+    rng = random.Random(13)
+    base = sentence(rng, 300, " ".join(f"w{k}" for k in range(400))).split()
+    rows = [" ".join(base[:k] + [f"new{k}"] + base[k + 1 :]) for k in range(20)] + ["other words", None]
+    called = []
+    monkeypatch.setattr(shingle_join, "components", lambda links: called.append(links) or components(links))
+    found = shingle_join.near_duplicates(frame(spark, rows), block_texts=3).collect()
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == {k: 0 if k < 20 else k for k in range(22)}
+    assert len(called) == 2
+
+
+def test_parts_take_the_smallest_label_they_reach():
+    sets = [np.arange(k, k + 40) for k in (0, 1, 2, 500, 501, 900)]
+    assert shingle_join.group_links(sets, [7, 3, 5, 9, 8, 1], [0] * 6, 0.8) == [(5, 3), (7, 3), (9, 8)]
+    # Texts of one block were compared before.
+    assert shingle_join.group_links(sets, [7, 3, 5, 9, 8, 1], [0, 0, 1, 0, 0, 0], 0.8) == [(5, 3), (7, 3)]
+
+
 def test_bands_find_pairs_at_the_threshold():
     """Of 3,000 pairs of sets at similarity 0.8 none is missed; of unrelated sets hardly one is proposed."""
     rng = np.random.default_rng(5)
