@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamloader.llm.common import columns, cut, fold, scratch_path, small_batches
+from streamloader.llm.common import columns, cut, discard, fold, scratch_path, small_batches
 
 FOLDS = 5
 HELD_OUT = 1
@@ -325,13 +325,24 @@ def train(encoded: DataFrame, share: np.ndarray, states: int = STATES, passes: t
     """The model of all texts of `encoded`: each pass takes every text once, in as many slices as `passes` says.
 
     A slice's counts stand for the whole corpus, times the slices; they are mixed with those before, of which less and less is
-    forgotten.  A pass in one slice takes its own counts alone.
+    forgotten.  A pass in one slice takes its own counts alone.  The symbols are filed by the finest slices, so a slice
+    reads what it takes instead of the whole table.
     """
     model, held, steps = Hmm.random(share, states), None, 0
+    spark, finest = encoded.sparkSession, max(passes, default=1)
+    path, filed = None, encoded
+
+    def own(slices: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(SEED), "row_id"), F.lit(slices))
+
+    if finest > 1:
+        path = scratch_path(spark, "slices")
+        encoded.select("row_id", "symbols", own(finest).cast("int").alias("slice")).write.partitionBy("slice").parquet(path)
+        filed = spark.read.schema("row_id long, symbols binary, slice int").parquet(path)
     for slices in passes:
-        own = F.pmod(F.xxhash64(F.lit(SEED), "row_id"), F.lit(slices))
+        of = own(slices) if finest % slices else F.pmod("slice", F.lit(slices))
         for k in range(slices):
-            found = corpus_counts(encoded.where(own == k) if slices > 1 else encoded, model)
+            found = corpus_counts(filed.where(of == k) if slices > 1 else encoded, model)
             if found is None:
                 continue
             steps += 1
@@ -340,6 +351,8 @@ def train(encoded: DataFrame, share: np.ndarray, states: int = STATES, passes: t
             model = Hmm.from_counts(*held, share)
         if held is None:
             break
+    if path:
+        discard(spark, path)
     return model
 
 

@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from helpers import frame, sentence, texts
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from streamloader.llm import hmm_scoring, nnpu_toxicity, ppm_language
@@ -109,6 +110,22 @@ def test_every_pass_takes_every_text_once(spark, monkeypatch):
     assert len(taken) == 4 and sorted(itertools.chain(*taken[:3])) == sorted(taken[3]) == list(range(700))
 
 
+def test_a_slice_reads_its_own_files_only(spark, monkeypatch, tmp_path):
+    read, counts = [], hmm_scoring.corpus_counts
+
+    def counted(encoded, model):
+        read.append({r[0] for r in encoded.select(F.input_file_name()).collect()})
+        return counts(encoded, model)
+
+    monkeypatch.setattr(hmm_scoring, "corpus_counts", counted)
+    symbols = np.array([1, 2, 3, 0], dtype="<u2").tobytes()
+    spark.createDataFrame([(k, symbols) for k in range(400)], "row_id long, symbols binary").coalesce(1).write.parquet(str(tmp_path / "texts"))
+    hmm_scoring.train(spark.read.parquet(str(tmp_path / "texts")), np.full(5, 0.2), passes=(4, 2, 1))
+    first, second = read[:4], read[4:6]
+    assert all(first) and not any(a & b for a, b in itertools.combinations(first, 2))
+    assert not second[0] & second[1] and second[0] | second[1] == set().union(*first)
+
+
 def brute_bits(word, leaves):
     """Code length of a word and its end from raw counts, byte by byte."""
     coded = b"   " + word.encode() + b" "
